@@ -12,9 +12,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ordermill.operators import reports
+from ordermill.operators import flatten, reports, shape
+from ordermill.plans import nested
 from ordermill.plans import shopviews as sv
+from ordermill.sources import raw
 from ordermill.plans.present import present
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +86,153 @@ GROUP BY CAST(o.created_on AS DATE), oi.product_sku, oi.product_name, oi.product
 def q_order_schedule_catalog(spark: SparkSession, d: str) -> DataFrame:
     return reports.order_schedule(sv.shop_order_headers_df(spark, d), sv.shop_items_df(spark, d),
                                   products=sv.shop_products_df(spark, d, drop_every=7))
+
+
+# --- flatten and shaping (O-11..O-20, O-04) ---------------------------------------
+
+_FLAT_SQL = """
+SELECT o.order_id, o.order_number, o.created_on, o.modified_on, o.fulfilled_on,
+       o.customer_email, o.customer_name, o.shipping_city, o.shipping_state, o.shipping_country,
+       o.fulfillment_status,
+       CAST(o.discount_total AS DOUBLE) AS discount_total,
+       CAST(CASE WHEN o.o_orderkey % 13 = 0 THEN 0 ELSE o.refund_total END AS DOUBLE) AS refund_total,
+       CAST(o.order_total AS DOUBLE) AS order_total,
+       i.product_id, i.product_sku, i.product_name,
+       CAST(i.product_quantity AS INTEGER) AS product_quantity,
+       CAST(i.product_price AS DOUBLE) AS product_price,
+       i.product_color
+FROM shop_orders o JOIN shop_items i ON o.order_id = i.order_id"""
+
+
+@register("flatten_order_lines", sv.with_views(_FLAT_SQL, "shop_orders", "shop_items"))
+def q_flatten_order_lines(spark: SparkSession, d: str) -> DataFrame:
+    return flatten.flatten_order_lines(nested.raw_documents(spark, d))
+
+
+@register("flatten_keep_empty", sv.with_views(f"""
+SELECT * REPLACE (CAST(product_quantity AS DOUBLE) AS product_quantity) FROM ({_FLAT_SQL}) x
+UNION ALL
+SELECT o.order_id, o.order_number, o.created_on, o.modified_on, o.fulfilled_on,
+       o.customer_email, o.customer_name, o.shipping_city, o.shipping_state, o.shipping_country,
+       o.fulfillment_status, CAST(o.discount_total AS DOUBLE),
+       CAST(CASE WHEN o.o_orderkey % 13 = 0 THEN 0 ELSE o.refund_total END AS DOUBLE),
+       CAST(o.order_total AS DOUBLE),
+       NULL, NULL, NULL, CAST(NULL AS DOUBLE), 0.0, 'Default'
+FROM shop_orders o WHERE NOT EXISTS (SELECT 1 FROM shop_items i WHERE i.order_id = o.order_id)
+""", "shop_orders", "shop_items"))
+def q_flatten_keep_empty(spark: SparkSession, d: str) -> DataFrame:
+    # product_quantity is null for orders without items; shown as double so
+    # that both client libraries map the null the same way
+    lines = flatten.flatten_order_lines(nested.raw_documents(spark, d), keep_empty=True)
+    return lines.withColumn("product_quantity", F.col("product_quantity").cast("double"))
+
+
+@register("raw_file_audit", sv.with_views("""
+SELECT 'raw/orders/shop_orders_'
+         || strftime(TIMESTAMP '2025-01-06 05:04:00' + to_hours(CAST(floor(page / 10) AS BIGINT)), '%m%d%Y_%H%M%S')
+         || '.json' AS file,
+       'shop_orders_'
+         || strftime(TIMESTAMP '2025-01-06 05:04:00' + to_hours(CAST(floor(page / 10) AS BIGINT)), '%m%d%Y_%H%M%S')
+         || '.json' AS file_name,
+       TIMESTAMP '2025-01-06 05:04:00' + to_hours(CAST(floor(page / 10) AS BIGINT)) AS fetched_at,
+       CAST(COUNT(*) AS BIGINT) AS documents,
+       CAST(SUM(n) AS BIGINT) AS orders,
+       bool_or(n >= 20) AS has_next_page
+FROM (SELECT CAST(floor(o_orderkey / 20) AS BIGINT) AS page, COUNT(*) AS n FROM shop_orders GROUP BY 1) p
+GROUP BY floor(page / 10)
+""", "shop_orders"))
+def q_raw_file_audit(spark: SparkSession, d: str) -> DataFrame:
+    return raw.raw_file_audit(nested.raw_documents(spark, d))
+
+
+@register("order_headers", sv.with_views("""
+SELECT DISTINCT o.order_id, o.order_number, o.created_on, o.modified_on, o.fulfilled_on,
+       o.customer_email, o.customer_name, o.shipping_city, o.shipping_state, o.shipping_country,
+       o.fulfillment_status,
+       CAST(o.discount_total AS DOUBLE) AS discount_total,
+       CAST(CASE WHEN o.o_orderkey % 13 = 0 THEN 0 ELSE o.refund_total END AS DOUBLE) AS refund_total,
+       CAST(o.order_total AS DOUBLE) AS order_total
+FROM shop_orders o JOIN shop_items i ON o.order_id = i.order_id
+""", "shop_orders", "shop_items"))
+def q_order_headers(spark: SparkSession, d: str) -> DataFrame:
+    lines = flatten.flatten_order_lines(nested.raw_documents(spark, d))
+    return shape.distinct_rows(shape.order_headers(lines))
+
+
+@register("order_items", sv.with_views("""
+SELECT o.order_id, o.created_on, i.product_id, i.product_sku, i.product_name,
+       CAST(i.product_quantity AS INTEGER) AS product_quantity,
+       CAST(i.product_price AS DOUBLE) AS product_price, i.product_color
+FROM shop_orders o JOIN shop_items i ON o.order_id = i.order_id
+""", "shop_orders", "shop_items"))
+def q_order_items(spark: SparkSession, d: str) -> DataFrame:
+    return shape.order_items(flatten.flatten_order_lines(nested.raw_documents(spark, d)))
+
+
+# --- de-duplication (O-46, O-47) ----------------------------------------------------
+
+def _lines_with_copies(spark: SparkSession, d: str) -> DataFrame:
+    """Line items twice: the second copy equals the first where the line number
+    is a multiple of 3 and has a changed quantity elsewhere (exact copies to drop)."""
+    li = sv.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
+    altered = li.withColumn("l_quantity", F.when(F.col("l_linenumber") % 3 == 0, F.col("l_quantity"))
+                            .otherwise(F.col("l_quantity") + 1000))
+    return li.unionByName(altered)
+
+
+@register("distinct_rows", """
+SELECT DISTINCT * FROM (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag FROM lineitem
+  UNION ALL
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+         CASE WHEN l_linenumber % 3 = 0 THEN l_quantity ELSE l_quantity + 1000 END,
+         l_extendedprice, l_returnflag FROM lineitem
+) t
+""")
+def q_distinct_rows(spark: SparkSession, d: str) -> DataFrame:
+    return shape.distinct_rows(_lines_with_copies(spark, d))
+
+
+@register("latest_per_key", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) t
+WHERE rn = 1
+""")
+def q_latest_per_key(spark: SparkSession, d: str) -> DataFrame:
+    ev = sv.table(spark, d, "events")
+    return shape.latest_per_key(ev, ["user_id", "event_type"], ["ts"], tie_break=[F.col("event_id").desc()])
+
+
+@register("latest_order_snapshot", sv.with_views("""
+SELECT order_id, order_number, created_on, modified_on, fulfillment_status, CAST(order_total AS DOUBLE) AS order_total
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY modified_on DESC, order_number DESC) AS rn
+  FROM (
+    SELECT order_id, order_number, created_on, modified_on, fulfillment_status, order_total FROM shop_orders
+    UNION ALL
+    SELECT order_id, order_number || '-r', created_on, created_on, 'PENDING', order_total FROM shop_orders
+  ) s) t
+WHERE rn = 1
+""", "shop_orders"))
+def q_latest_order_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """Two snapshots per order (the current one and the one at creation); the
+    latest by ``modified_on`` wins, ties broken by order number (O-47, D3)."""
+    o = sv.shop_orders_df(spark, d).select("order_id", "order_number", "created_on", "modified_on",
+                                          "fulfillment_status", "order_total")
+    first = o.select("order_id", F.concat("order_number", F.lit("-r")).alias("order_number"), "created_on",
+                     F.col("created_on").alias("modified_on"), F.lit("PENDING").alias("fulfillment_status"),
+                     "order_total")
+    return shape.latest_per_key(o.unionByName(first), ["order_id"], ["modified_on"],
+                                tie_break=[F.col("order_number").desc()])
+
+
+@register("assign_ids", sv.with_views("""
+SELECT CAST(999 + row_number() OVER (ORDER BY product_sku) AS BIGINT) AS product_key,
+       product_sku, product_id, product_name, product_color
+FROM shop_products
+""", "shop_products"))
+def q_assign_ids(spark: SparkSession, d: str) -> DataFrame:
+    p = sv.shop_products_df(spark, d).select("product_sku", "product_id", "product_name", "product_color")
+    return shape.assign_ids(p, "product_key", ["product_sku"], start=1000)

@@ -1,0 +1,88 @@
+"""All-or-nothing table publishing without a transactional table format
+(O-63, D19).
+
+A table is a folder ``<root>`` holding version folders ``data/v=<id>`` and a
+commit log ``_log`` (Parquet rows: version, path, published_at). A new version
+is written completely, validated by reading it back, and only then committed
+by appending one log row; readers take the latest committed version. An
+unvalidated or half-written version is never visible. Writing the same
+version id twice is a no-op once committed, so a replayed batch is idempotent.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+LOG = "_log"
+
+
+class PublishRejected(Exception):
+    def __init__(self, problems: list[str]):
+        self.problems = problems
+        super().__init__("version not published: " + "; ".join(problems))
+
+
+def new_version_id() -> str:
+    return f"{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def _log(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(f"{root.rstrip('/')}/{LOG}")
+    except AnalysisException:
+        return None
+
+
+def committed_versions(spark: SparkSession, root: str) -> DataFrame | None:
+    return _log(spark, root)
+
+
+def current_path(spark: SparkSession, root: str) -> str | None:
+    log = _log(spark, root)
+    if log is None:
+        return None
+    row = log.orderBy(F.col("version").desc()).select("path").first()
+    return row["path"] if row else None
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame | None:
+    """The latest committed version, or None when nothing was published."""
+    path = current_path(spark, root)
+    return spark.read.parquet(path) if path else None
+
+
+def publish(df: DataFrame, root: str, checks: Callable[[DataFrame], list[str]] | None = None,
+            version: str | None = None) -> str:
+    """Write ``df`` as a new version, validate it, then commit it (O-63)."""
+    spark = df.sparkSession
+    root = root.rstrip("/")
+    vid = version or new_version_id()
+    log = _log(spark, root)
+    if log is not None and log.filter(F.col("version") == vid).limit(1).count():
+        return f"{root}/data/v={vid}"
+    path = f"{root}/data/v={vid}"
+    df.write.mode("overwrite").parquet(path)
+    written = spark.read.parquet(path)
+    problems = checks(written) if checks else []
+    if problems:
+        raise PublishRejected(problems)
+    entry = spark.createDataFrame([(vid, path)], "version string, path string") \
+        .withColumn("published_at", F.current_timestamp())
+    entry.coalesce(1).write.mode("append").parquet(f"{root}/{LOG}")
+    return path
+
+
+def expect_counts(counts: Callable[[DataFrame], DataFrame], expected: dict[str, int],
+                  key: str = "category", value: str = "count") -> Callable[[DataFrame], list[str]]:
+    """A check for ``publish``: class counts of the written data must equal
+    ``expected`` (the validation step of the migration)."""
+    def check(written: DataFrame) -> list[str]:
+        got = {r[key]: r[value] for r in counts(written).collect()}
+        return [f"{k}: expected {v}, got {got.get(k)}" for k, v in expected.items() if got.get(k) != v]
+    return check
