@@ -13,8 +13,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ordermill.operators import flatten, reports, shape
+from ordermill import schemas
+from ordermill.operators import flatten, reports, shape, tables
 from ordermill.plans import nested
 from ordermill.plans import shopviews as sv
 from ordermill.sources import raw
@@ -236,3 +238,262 @@ FROM shop_products
 def q_assign_ids(spark: SparkSession, d: str) -> DataFrame:
     p = sv.shop_products_df(spark, d).select("product_sku", "product_id", "product_name", "product_color")
     return shape.assign_ids(p, "product_key", ["product_sku"], start=1000)
+
+
+# --- table changes (O-27, O-35, O-41, O-55..O-63) -----------------------------------
+
+SNAPSHOT_END = "1999-01-01 00:00:00"      # target table = orders known before this time
+CHANGES_FROM = "1998-07-01 00:00:00"      # staged batch = orders modified since this time
+CHANGE_STAMP = "2025-05-01 00:00:00"      # fixed modification stamp of the migration
+_HEADER_SQL = ("order_id, order_number, created_on, modified_on, fulfilled_on, customer_email, customer_name, "
+               "shipping_city, shipping_state, shipping_country, fulfillment_status, "
+               "CAST(discount_total AS DOUBLE) AS discount_total, CAST(refund_total AS DOUBLE) AS refund_total, "
+               "CAST(order_total AS DOUBLE) AS order_total")
+_STAGED_SQL = _HEADER_SQL.replace("fulfillment_status,", "'FULFILLED' AS fulfillment_status,")
+_UPSERT_CTES = (
+    ("base", f"SELECT {_HEADER_SQL} FROM shop_orders WHERE created_on < TIMESTAMP '{SNAPSHOT_END}'"),
+    ("staged", f"SELECT {_STAGED_SQL} FROM shop_orders WHERE modified_on >= TIMESTAMP '{CHANGES_FROM}'"),
+)
+
+
+def _base_and_staged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    o = sv.shop_order_headers_df(spark, d)
+    base = o.filter(F.col("created_on") < F.lit(SNAPSHOT_END).cast("timestamp_ntz"))
+    staged = (o.filter(F.col("modified_on") >= F.lit(CHANGES_FROM).cast("timestamp_ntz"))
+              .withColumn("fulfillment_status", F.lit("FULFILLED")))
+    return base, staged
+
+
+@register("upsert_orders", sv.with_views("""
+SELECT * FROM base b WHERE NOT EXISTS (SELECT 1 FROM staged s WHERE s.order_id = b.order_id)
+UNION ALL
+SELECT * FROM staged
+""", "shop_orders", extra=_UPSERT_CTES))
+def q_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
+    base, staged = _base_and_staged(spark, d)
+    return tables.upsert(base, staged, ["order_id"])
+
+
+@register("upsert_counts", sv.with_views("""
+SELECT CAST(SUM(CASE WHEN b.order_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS inserted,
+       CAST(SUM(CASE WHEN b.order_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS updated,
+       CAST(COUNT(*) AS BIGINT) AS affected
+FROM staged s LEFT JOIN base b ON s.order_id = b.order_id
+""", "shop_orders", extra=_UPSERT_CTES))
+def q_upsert_counts(spark: SparkSession, d: str) -> DataFrame:
+    base, staged = _base_and_staged(spark, d)
+    return tables.upsert_counts(base, staged, ["order_id"])
+
+
+_ITEMS_TARGET = (
+    "target_items",
+    f"SELECT i.* FROM shop_items i WHERE EXISTS (SELECT 1 FROM shop_orders o WHERE o.order_id = i.order_id "
+    f"AND o.created_on < TIMESTAMP '{SNAPSHOT_END}')")
+_HWM_SQL = f"""
+SELECT COALESCE(MAX(o.created_on), TIMESTAMP '1900-01-01 00:00:00') AS max_date
+FROM shop_orders o
+WHERE o.created_on < TIMESTAMP '{SNAPSHOT_END}'
+  AND EXISTS (SELECT 1 FROM target_items i WHERE i.order_id = o.order_id)"""
+
+
+def _target_items(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    base, _ = _base_and_staged(spark, d)
+    items = sv.shop_items_df(spark, d)
+    return base, items.join(base.select("order_id"), "order_id", "left_semi"), items
+
+
+@register("high_watermark", sv.with_views(_HWM_SQL, "shop_orders", "shop_items", extra=(_ITEMS_TARGET,)))
+def q_high_watermark(spark: SparkSession, d: str) -> DataFrame:
+    base, target_items, _ = _target_items(spark, d)
+    return tables.high_watermark(target_items, base)
+
+
+@register("append_since_watermark", sv.with_views(f"""
+SELECT i.order_id, i.product_id, i.product_sku, i.product_name, i.product_quantity,
+       CAST(i.product_price AS DOUBLE) AS product_price, i.product_color
+FROM shop_items i JOIN shop_orders o ON i.order_id = o.order_id
+WHERE o.created_on > ({_HWM_SQL})
+""", "shop_orders", "shop_items", extra=(_ITEMS_TARGET,)))
+def q_append_since_watermark(spark: SparkSession, d: str) -> DataFrame:
+    base, target_items, items = _target_items(spark, d)
+    orders = sv.shop_order_headers_df(spark, d)
+    incoming = items.join(orders.select("order_id", "created_on"), "order_id", "inner")
+    return tables.append_since_watermark(incoming, target_items, base)
+
+
+_CATALOG_SQL = """
+SELECT 'SQ' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS product_sku,
+       'P' || CAST(p_partkey AS VARCHAR) AS product_id,
+       p_name AS product_name,
+       CASE p_partkey % 4 WHEN 0 THEN 'Red' WHEN 1 THEN 'Blue' WHEN 2 THEN 'Green' ELSE 'Default Color' END AS product_color,
+       TIMESTAMP '2025-01-01 00:00:00' AS created_at, TIMESTAMP '2025-01-01 00:00:00' AS modified_at,
+       p_partkey, p_size
+FROM part"""
+_NEW_PRODUCTS_SQL = f"""
+SELECT 'SQ' || lpad(CAST(p_partkey + 1000 AS VARCHAR), 7, '0') AS product_sku,
+       'N' || CAST(p_partkey AS VARCHAR) AS product_id,
+       p_name || ' (new)' AS product_name,
+       CASE WHEN p_partkey % 5 = 0 THEN 'Default Color' ELSE 'Natural' END AS product_color,
+       TIMESTAMP '{CHANGE_STAMP}' AS created_at, TIMESTAMP '{CHANGE_STAMP}' AS modified_at
+FROM part"""
+
+
+def _new_products(spark: SparkSession, d: str) -> DataFrame:
+    """New catalog rows with shifted SKUs; some collide with existing SKUs and
+    some carry no color (the column default applies)."""
+    p = sv.table(spark, d, "part")
+    k = F.col("p_partkey")
+    return p.select(
+        F.concat(F.lit("SQ"), F.lpad((k + 1000).cast("string"), 7, "0")).alias("product_sku"),
+        F.concat(F.lit("N"), k.cast("string")).alias("product_id"),
+        F.concat(F.col("p_name"), F.lit(" (new)")).alias("product_name"),
+        F.when(k % 5 != 0, F.lit("Natural")).alias("product_color"))
+
+
+def _catalog_defaults() -> dict:
+    return {c.name: c.default for c in schemas.PRODUCTS.columns if c.default is not None} | {
+        "created_at": CHANGE_STAMP, "modified_at": CHANGE_STAMP}
+
+
+@register("insert_rows_ignore", f"""
+WITH catalog AS ({_CATALOG_SQL}), fresh AS ({_NEW_PRODUCTS_SQL})
+SELECT product_sku, product_id, product_name, product_color, created_at, modified_at FROM catalog
+UNION ALL
+SELECT * FROM fresh f WHERE NOT EXISTS (SELECT 1 FROM catalog c WHERE c.product_sku = f.product_sku)
+""")
+def q_insert_rows_ignore(spark: SparkSession, d: str) -> DataFrame:
+    catalog = sv.shop_products_df(spark, d)
+    return tables.insert_rows(catalog, _new_products(spark, d), ["product_sku"],
+                              defaults=_catalog_defaults(), on_conflict="ignore")
+
+
+@register("insert_rows_replace", f"""
+WITH catalog AS ({_CATALOG_SQL}), fresh AS ({_NEW_PRODUCTS_SQL})
+SELECT product_sku, product_id, product_name, product_color, created_at, modified_at FROM catalog c
+WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE c.product_sku = f.product_sku)
+UNION ALL
+SELECT * FROM fresh
+""")
+def q_insert_rows_replace(spark: SparkSession, d: str) -> DataFrame:
+    catalog = sv.shop_products_df(spark, d)
+    return tables.insert_rows(catalog, _new_products(spark, d), ["product_sku"],
+                              defaults=_catalog_defaults(), on_conflict="replace")
+
+
+def _legacy_keys(spark: SparkSession, d: str) -> DataFrame:
+    p = sv.table(spark, d, "part")
+    return p.filter(F.col("p_size") <= 10).select(
+        F.concat(F.lit("SQ"), F.lpad(F.col("p_partkey").cast("string"), 7, "0")).alias("product_sku"))
+
+
+_LEGACY_SQL = f"""
+SELECT product_sku, product_id,
+       CASE WHEN p_size <= 10 THEN product_name || ' - V1' ELSE product_name END AS product_name,
+       product_color, created_at,
+       CASE WHEN p_size <= 10 THEN TIMESTAMP '{CHANGE_STAMP}' ELSE modified_at END AS modified_at
+FROM catalog"""
+
+
+@register("update_where_suffix", f"WITH catalog AS ({_CATALOG_SQL})\n{_LEGACY_SQL}")
+def q_update_where_suffix(spark: SparkSession, d: str) -> DataFrame:
+    return tables.mark_legacy(sv.shop_products_df(spark, d), _legacy_keys(spark, d), at=CHANGE_STAMP)
+
+
+def _sku_sql(expr: str) -> str:
+    return f"'SQ' || lpad(CAST({expr} AS VARCHAR), 7, '0')"
+
+
+_MAPPING_SQL = f"""
+SELECT {_sku_sql('p_partkey')} AS old_sku, {_sku_sql('p_partkey + 100000')} AS new_sku,
+       TIMESTAMP '2025-04-01 00:00:00' AS migration_date, p_partkey
+FROM part WHERE p_size <= 25
+UNION ALL
+SELECT {_sku_sql('p_partkey')}, {_sku_sql('p_partkey + 200000')}, TIMESTAMP '2025-04-02 00:00:00', p_partkey
+FROM part WHERE p_size <= 25 AND p_partkey % 2 = 0
+UNION ALL
+SELECT {_sku_sql('p_partkey')}, {_sku_sql('p_partkey')}, TIMESTAMP '2025-04-03 00:00:00', p_partkey
+FROM part WHERE p_size = 1"""
+
+
+def _mapping(spark: SparkSession, d: str) -> DataFrame:
+    """Key-change log derived from the parts: one entry for small parts, a later
+    second entry for half of them (repeated old keys), and a latest identity
+    entry for the smallest (old = new)."""
+    p = sv.table(spark, d, "part")
+    k = F.col("p_partkey")
+
+    def sku(e):
+        return F.concat(F.lit("SQ"), F.lpad(e.cast("string"), 7, "0"))
+
+    first = p.filter(F.col("p_size") <= 25).select(
+        sku(k).alias("old_sku"), sku(k + 100000).alias("new_sku"),
+        F.lit("2025-04-01 00:00:00").cast("timestamp").alias("migration_date"))
+    second = p.filter((F.col("p_size") <= 25) & (k % 2 == 0)).select(
+        sku(k).alias("old_sku"), sku(k + 200000).alias("new_sku"),
+        F.lit("2025-04-02 00:00:00").cast("timestamp").alias("migration_date"))
+    ident = p.filter(F.col("p_size") == 1).select(
+        sku(k).alias("old_sku"), sku(k).alias("new_sku"),
+        F.lit("2025-04-03 00:00:00").cast("timestamp").alias("migration_date"))
+    return first.unionByName(second).unionByName(ident)
+
+
+@register("remap_bom_keys", sv.with_views(f"""
+SELECT COALESCE(m.new_sku, b.product_sku) AS product_sku, b.material_piece, b.material_color,
+       b.material_quantity, b.is_fabric,
+       CASE WHEN m.old_sku IS NOT NULL THEN TIMESTAMP '{CHANGE_STAMP}'
+            ELSE TIMESTAMP '2025-01-01 00:00:00' END AS modified_at
+FROM shop_bom b
+LEFT JOIN (SELECT old_sku, new_sku FROM (
+             SELECT *, row_number() OVER (PARTITION BY old_sku ORDER BY migration_date DESC, new_sku DESC) AS rn
+             FROM mapping) x WHERE rn = 1) m
+  ON b.product_sku = m.old_sku
+""", "shop_bom", extra=(("mapping", _MAPPING_SQL),)))
+def q_remap_bom_keys(spark: SparkSession, d: str) -> DataFrame:
+    bom = sv.shop_bom_df(spark, d).withColumn("modified_at", F.lit(sv.CATALOG_STAMP).cast("timestamp"))
+    return tables.remap_keys(bom, _mapping(spark, d), at=CHANGE_STAMP)
+
+
+@register("migration_counts", f"""
+WITH catalog AS ({_CATALOG_SQL}), fresh AS ({_NEW_PRODUCTS_SQL}), mapping AS ({_MAPPING_SQL}),
+legacy AS ({_LEGACY_SQL}),
+merged AS (
+  SELECT product_name FROM legacy
+  UNION ALL
+  SELECT f.product_name FROM fresh f WHERE NOT EXISTS (SELECT 1 FROM legacy c WHERE c.product_sku = f.product_sku))
+SELECT 'Legacy products' AS category, CAST(COUNT(*) AS BIGINT) AS count FROM merged WHERE product_name LIKE '% - V1'
+UNION ALL
+SELECT 'New products', CAST(COUNT(*) AS BIGINT) FROM merged WHERE product_name NOT LIKE '% - V1'
+UNION ALL
+SELECT 'Migration entries', CAST(COUNT(*) AS BIGINT) FROM mapping
+""")
+def q_migration_counts(spark: SparkSession, d: str) -> DataFrame:
+    legacy = tables.mark_legacy(sv.shop_products_df(spark, d), _legacy_keys(spark, d), at=CHANGE_STAMP)
+    merged = tables.insert_rows(legacy, _new_products(spark, d), ["product_sku"],
+                                defaults=_catalog_defaults(), on_conflict="ignore")
+    return tables.migration_counts(merged, _mapping(spark, d))
+
+
+@register("append_log_defaults", f"""
+SELECT CAST(row_number() OVER (ORDER BY old_sku, new_sku) AS BIGINT) AS migration_id,
+       old_sku, new_sku, TIMESTAMP '{CHANGE_STAMP}' AS migration_date,
+       COALESCE(reason, 'E-commerce migration') AS migration_reason
+FROM (SELECT m.old_sku, m.new_sku,
+             CASE WHEN m.p_partkey % 3 = 0 THEN NULL ELSE 'E-commerce migration - ' || p.p_name END AS reason
+      FROM ({_MAPPING_SQL}) m JOIN part p ON m.p_partkey = p.p_partkey) x
+""")
+def q_append_log_defaults(spark: SparkSession, d: str) -> DataFrame:
+    """Log rows with column defaults (reason, stamp) and serial ids (O-62, O-58)."""
+    p = sv.table(spark, d, "part").select(
+        F.concat(F.lit("SQ"), F.lpad(F.col("p_partkey").cast("string"), 7, "0")).alias("old_sku"),
+        "p_partkey", "p_name")
+    rows = (_mapping(spark, d).join(p, "old_sku", "inner")
+            .select("old_sku", "new_sku",
+                    F.when(F.col("p_partkey") % 3 != 0,
+                           F.concat(F.lit("E-commerce migration - "), F.col("p_name"))).alias("migration_reason")))
+    log_schema = T.StructType([T.StructField(c.name, c.dtype) for c in schemas.SKU_MIGRATION_LOG.columns
+                               if c.name != "migration_id"])
+    defaults = {"migration_reason": schemas.SKU_MIGRATION_LOG.column("migration_reason").default,
+                "migration_date": CHANGE_STAMP}
+    shaped = tables.with_defaults(rows, log_schema, defaults)
+    return shape.assign_ids(shaped, "migration_id", ["old_sku", "new_sku"], start=1).select(
+        "migration_id", "old_sku", "new_sku", "migration_date", "migration_reason")

@@ -207,7 +207,7 @@ VIEW_SQL = {
 }
 
 
-def with_views(sql: str, *names: str) -> str:
-    """Prefix a query with the named shop views as CTEs."""
-    ctes = ",\n".join(f"{n} AS ({VIEW_SQL[n]}\n)" for n in names)
-    return f"WITH {ctes}\n{sql}"
+def with_views(sql: str, *names: str, extra: tuple[tuple[str, str], ...] = ()) -> str:
+    """Prefix a query with the named shop views (and ``extra`` named queries) as CTEs."""
+    parts = [f"{n} AS ({VIEW_SQL[n]}\n)" for n in names] + [f"{n} AS ({q}\n)" for n, q in extra]
+    return "WITH " + ",\n".join(parts) + "\n" + sql
