@@ -20,34 +20,45 @@ def _decimal_limit(dt: T.DecimalType) -> float:
     return 10.0 ** (dt.precision - dt.scale)
 
 
-def column_checks(contract: Contract, columns: Sequence[str]) -> list[tuple[str, str, F.Column]]:
-    """(check, column, violation predicate) for every column rule that applies."""
+def column_checks(contract: Contract, columns: Sequence[str]) -> list[tuple[str, str]]:
+    """(check, column) for every column rule of ``contract`` that applies to ``columns``."""
     out = []
     for c in contract.columns:
         if c.name not in columns:
             continue
-        col = F.col(c.name)
         if not c.nullable:
-            out.append(("not_null", c.name, col.isNull()))
+            out.append(("not_null", c.name))
         if c.max_len is not None:
-            out.append((f"max_length_{c.max_len}", c.name, F.char_length(col.cast("string")) > c.max_len))
+            out.append((f"max_length_{c.max_len}", c.name))
         if isinstance(c.dtype, T.DecimalType):
-            lim = _decimal_limit(c.dtype)
-            out.append((f"numeric_{c.dtype.precision}_{c.dtype.scale}", c.name,
-                        F.abs(col.cast("double")) >= F.lit(lim)))
+            out.append((f"numeric_{c.dtype.precision}_{c.dtype.scale}", c.name))
     return out
 
 
+def violation(contract: Contract, check: str, column: str) -> F.Column:
+    """Row predicate: true where the row breaks ``check`` on ``column``."""
+    c = contract.column(column)
+    col = F.col(column)
+    if check == "not_null":
+        return col.isNull()
+    if check.startswith("max_length_"):
+        return F.char_length(col.cast("string")) > c.max_len
+    if check.startswith("numeric_"):
+        return F.abs(col.cast("double")) >= F.lit(_decimal_limit(c.dtype))
+    raise ValueError(check)
+
+
 def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
     """Violations per (check, column), all in one aggregate (O-64, O-65).
     Columns of the contract absent from ``df`` are reported as ``missing_column``."""
     checks = column_checks(contract, df.columns)
     missing = [c.name for c in contract.columns if c.name not in df.columns]
-    aggs = [F.count_if(F.coalesce(p, F.lit(False))).alias(f"_v{i}") for i, (_, _, p) in enumerate(checks)]
-    counted = df.agg(*aggs) if aggs else df.limit(0).agg(F.count(F.lit(1)).alias("_none"))
+    aggs = [F.count_if(F.coalesce(violation(contract, k, c), F.lit(False))).alias(f"_v{i}")
+            for i, (k, c) in enumerate(checks)]
+    counted = df.agg(*aggs, F.count(F.lit(1)).alias("_rows"))
     rows = [F.struct(F.lit(contract.name).alias("table_name"), F.lit(k).alias("check"),
                      F.lit(c).alias("column_name"), F.col(f"_v{i}").alias("violations"))
-            for i, (k, c, _) in enumerate(checks)]
+            for i, (k, c) in enumerate(checks)]
     rows += [F.struct(F.lit(contract.name).alias("table_name"), F.lit("missing_column").alias("check"),
                       F.lit(c).alias("column_name"), F.lit(1).cast("bigint").alias("violations"))
              for c in missing]

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill import schemas
-from ordermill.operators import flatten, reports, shape, tables
-from ordermill.plans import nested
+from ordermill.operators import contracts, flatten, manifest, quality, reports, shape, tables
+from ordermill.plans import fixtures, nested
 from ordermill.plans import shopviews as sv
 from ordermill.sources import raw
 from ordermill.plans.present import present
@@ -497,3 +497,175 @@ def q_append_log_defaults(spark: SparkSession, d: str) -> DataFrame:
     shaped = tables.with_defaults(rows, log_schema, defaults)
     return shape.assign_ids(shaped, "migration_id", ["old_sku", "new_sku"], start=1).select(
         "migration_id", "old_sku", "new_sku", "migration_date", "migration_reason")
+
+
+# --- data quality and contracts (O-36, O-48..O-52, O-64..O-68) ------------------------
+
+def _dq_oracle_rows() -> str:
+    parts = []
+    for r in quality.ORDER_LINE_RULES:
+        name = r.name.replace("'", "''")
+        if isinstance(r, quality.RowCount):
+            actual = "CAST(COUNT(*) AS DOUBLE)"
+            ok = f"COUNT(*) {r.op} {r.value}"
+        elif isinstance(r, quality.Completeness):
+            actual = f"CASE WHEN COUNT(*) = 0 THEN 1.0 ELSE CAST(COUNT({r.column}) AS DOUBLE) / COUNT(*) END"
+            ok = f"({actual}) {r.op} {r.value}"
+        else:
+            nn = f"COUNT({r.column})"
+            good = f"COUNT(*) FILTER (WHERE {r.column} {r.op} {r.value})"
+            actual = f"CASE WHEN {nn} = 0 THEN 1.0 ELSE CAST({good} AS DOUBLE) / {nn} END"
+            ok = f"({actual}) = 1.0"
+        parts.append(f"SELECT '{name}' AS rule, CASE WHEN {ok} THEN 'Passed' ELSE 'Failed' END AS outcome, "
+                     f"{actual} AS actual FROM dq_lines")
+    return "\nUNION ALL\n".join(parts)
+
+
+_DQ_CTE = (("dq_lines", fixtures.DQ_LINES_SQL),)
+
+
+@register("dq_outcomes", sv.with_views(_dq_oracle_rows(), "shop_orders", "shop_items", extra=_DQ_CTE))
+def q_dq_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    return quality.evaluate_rules(fixtures.dq_lines(spark, d))
+
+
+def _dq_row_sql() -> str:
+    cases = []
+    for r in quality.ORDER_LINE_RULES:
+        if isinstance(r, quality.Completeness):
+            cases.append(f"CASE WHEN {r.column} IS NULL THEN '{r.name}' END")
+        elif isinstance(r, quality.ColumnValues):
+            cases.append(f"CASE WHEN {r.column} IS NOT NULL AND NOT ({r.column} {r.op} {r.value}) THEN '{r.name}' END")
+    n = " + ".join(f"(CASE WHEN ({c}) IS NOT NULL THEN 1 ELSE 0 END)" for c in cases)
+    return (f"SELECT order_id, product_sku, l_linenumber, CAST({n} AS INTEGER) AS n_failed, "
+            f"concat_ws('; ', {', '.join(cases)}) AS failed FROM dq_lines")
+
+
+@register("dq_row_outcomes", sv.with_views(_dq_row_sql(), "shop_orders", "shop_items", extra=_DQ_CTE))
+def q_dq_row_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    rows = quality.row_outcomes(fixtures.dq_lines(spark, d))
+    return rows.select("order_id", "product_sku", "l_linenumber",
+                       F.size("failed_rules").alias("n_failed"),
+                       F.array_join("failed_rules", "; ").alias("failed"))
+
+
+def _contract_sql() -> str:
+    cols = [c.name for c in schemas.ORDERS.columns]
+    parts = []
+    for check, col in contracts.column_checks(schemas.ORDERS, cols):
+        c = schemas.ORDERS.column(col)
+        if check == "not_null":
+            cond = f"{col} IS NULL"
+        elif check.startswith("max_length"):
+            cond = f"length(CAST({col} AS VARCHAR)) > {c.max_len}"
+        else:
+            cond = f"abs(CAST({col} AS DOUBLE)) >= 1e8"
+        parts.append(f"SELECT 'orders' AS table_name, '{check}' AS \"check\", '{col}' AS column_name, "
+                     f"CAST(COUNT(*) FILTER (WHERE {cond}) AS BIGINT) AS violations FROM bad")
+    for ks in [schemas.ORDERS.key, *schemas.ORDERS.unique]:
+        k = ", ".join(ks)
+        parts.append(f"SELECT 'orders', 'unique', '{','.join(ks)}', CAST(COUNT(*) AS BIGINT) FROM "
+                     f"(SELECT {k} FROM bad GROUP BY {k} HAVING COUNT(*) > 1) d")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("contract_violations", sv.with_views(_contract_sql(), "shop_orders",
+                                               extra=(("bad", fixtures.BAD_ORDERS_SQL),)))
+def q_contract_violations(spark: SparkSession, d: str) -> DataFrame:
+    bad = fixtures.bad_orders(spark, d)
+    return contracts.check_contract(bad, schemas.ORDERS).unionByName(
+        contracts.key_violations(bad, schemas.ORDERS))
+
+
+@register("fk_orphans", sv.with_views("""
+SELECT 'order_items->orders' AS relation, i.order_id AS key_value FROM shop_items i
+WHERE NOT EXISTS (SELECT 1 FROM shop_orders o WHERE o.order_id = i.order_id)
+UNION ALL
+SELECT 'bill_of_materials->products', b.product_sku FROM shop_bom b
+WHERE NOT EXISTS (SELECT 1 FROM shop_products p WHERE p.product_sku = b.product_sku AND p.p_partkey % 7 <> 0)
+UNION ALL
+SELECT 'orders without items', o.order_id FROM shop_orders o
+WHERE NOT EXISTS (SELECT 1 FROM shop_items i WHERE i.order_id = o.order_id)
+""", "shop_orders", "shop_items", "shop_products", "shop_bom"))
+def q_fk_orphans(spark: SparkSession, d: str) -> DataFrame:
+    orders = sv.shop_order_headers_df(spark, d)
+    items = sv.shop_items_df(spark, d)
+    catalog = sv.shop_products_df(spark, d, drop_every=7)
+    bom = sv.shop_bom_df(spark, d)
+
+    def tag(df: DataFrame, rel: str, col: str) -> DataFrame:
+        return df.select(F.lit(rel).alias("relation"), F.col(col).alias("key_value"))
+
+    return (tag(contracts.fk_orphans(items, orders, ["order_id"]), "order_items->orders", "order_id")
+            .unionByName(tag(contracts.fk_orphans(bom, catalog, ["product_sku"]),
+                             "bill_of_materials->products", "product_sku"))
+            .unionByName(tag(contracts.fk_orphans(orders, items, ["order_id"]), "orders without items", "order_id")))
+
+
+@register("cascade_delete", sv.with_views("""
+SELECT i.order_id, i.product_sku, i.product_quantity, CAST(i.product_price AS DOUBLE) AS product_price
+FROM shop_items i
+WHERE NOT EXISTS (SELECT 1 FROM shop_orders o WHERE o.order_id = i.order_id AND o.fulfillment_status = 'CANCELED')
+""", "shop_orders", "shop_items"))
+def q_cascade_delete(spark: SparkSession, d: str) -> DataFrame:
+    """Items left after deleting canceled orders (ON DELETE CASCADE, O-68)."""
+    orders = sv.shop_order_headers_df(spark, d)
+    deleted = orders.filter(F.col("fulfillment_status") == "CANCELED")
+    items = sv.shop_items_df(spark, d).select("order_id", "product_sku", "product_quantity", "product_price")
+    return contracts.cascade_delete(items, deleted, ["order_id"])
+
+
+# --- delivery manifest (O-73..O-76) ----------------------------------------------------
+
+MANIFEST_RUN_DATE = "2025-06-30"
+RECIPIENTS = "ops@example.com,floor@example.com"
+_EVENT_KEY_SQL = """
+CASE WHEN page_id % 7 = 0 THEN 'order_reports' || ext
+     WHEN page_id % 11 = 0 THEN 'reports%2Flatest%2Fweekly%2Fcurrent%2Forder_reports' || ext
+     ELSE 'reports%2F' || strftime(d, '%Y') || '%2F' || strftime(d, '%m') || '%2F' || strftime(d, '%d')
+          || '%2Forder_reports_' || strftime(d, '%Y-%m-%d') || 'T05%3A04' || ext END"""
+
+
+def _storage_events(spark: SparkSession, d: str) -> DataFrame:
+    """One storage-event JSON document per page row, naming a report object."""
+    p = sv.table(spark, d, "pages").select("page_id")
+    pid = F.col("page_id")
+    day = F.date_add(F.lit("2025-01-01").cast("date"), pid.cast("int"))
+    ext = F.when(pid % 5 == 0, ".csv").when(pid % 5 == 1, ".XLSX").otherwise(".xlsx")
+    key = (F.when(pid % 7 == 0, F.concat(F.lit("order_reports"), ext))
+           .when(pid % 11 == 0, F.concat(F.lit("reports%2Flatest%2Fweekly%2Fcurrent%2Forder_reports"), ext))
+           .otherwise(F.concat(F.lit("reports%2F"), F.date_format(day, "yyyy"), F.lit("%2F"),
+                               F.date_format(day, "MM"), F.lit("%2F"), F.date_format(day, "dd"),
+                               F.lit("%2Forder_reports_"), F.date_format(day, "yyyy-MM-dd"),
+                               F.lit("T05%3A04"), ext)))
+    rec = F.struct(
+        F.lit("2025-06-30T05:10:00.000Z").alias("eventTime"),
+        F.lit("ObjectCreated:Put").alias("eventName"),
+        F.struct(F.struct(F.lit("reports-bucket").alias("name")).alias("bucket"),
+                 F.struct(key.alias("key"), (pid * 100).alias("size")).alias("object")).alias("s3"))
+    return p.select("page_id", F.to_json(F.struct(F.array(rec).alias("Records"))).alias("event"))
+
+
+@register("report_manifest", f"""
+WITH ev AS (
+  SELECT page_id, replace(replace({_EVENT_KEY_SQL}, '%3A', ':'), '%2F', '/') AS key
+  FROM (SELECT page_id, DATE '2025-01-01' + CAST(page_id AS INTEGER) AS d,
+               CASE WHEN page_id % 5 = 0 THEN '.csv' WHEN page_id % 5 = 1 THEN '.XLSX' ELSE '.xlsx' END AS ext
+        FROM pages) p),
+kept AS (SELECT page_id, key, string_split(key, '/') AS parts FROM ev WHERE lower(key) LIKE '%.xlsx'),
+dated AS (
+  SELECT page_id, key, parts,
+         CASE WHEN len(parts) >= 4 THEN parts[2] || '-' || parts[3] || '-' || parts[4]
+              ELSE '{MANIFEST_RUN_DATE}' END AS report_date
+  FROM kept)
+SELECT page_id, 'reports-bucket' AS bucket, key, parts[len(parts)] AS file_name, report_date,
+       strftime(COALESCE(try_strptime(report_date, '%Y-%m-%d'), TIMESTAMP '{MANIFEST_RUN_DATE}'),
+                '%B %d, %Y') AS display_date,
+       'Orders Report - ' || report_date AS subject,
+       unnest(string_split('{RECIPIENTS}', ',')) AS recipient
+FROM dated
+""")
+def q_report_manifest(spark: SparkSession, d: str) -> DataFrame:
+    events = manifest.parse_storage_events(_storage_events(spark, d), "event")
+    kept = manifest.filter_suffix(events, "key")
+    return manifest.report_manifest(kept, MANIFEST_RUN_DATE, RECIPIENTS).drop("event")
