@@ -17,9 +17,11 @@ from pyspark.sql import types as T
 
 from ordermill import schemas
 from ordermill.operators import contracts, flatten, manifest, quality, reports, shape, tables
-from ordermill.plans import fixtures, nested
+from ordermill.plans import bundle, fixtures, nested
 from ordermill.plans import shopviews as sv
-from ordermill.sources import raw
+from ordermill.session import scratch_path
+from ordermill.sources import raw, sinks
+from ordermill.streaming import files as stream_files
 from ordermill.plans.present import present
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -669,3 +671,70 @@ def q_report_manifest(spark: SparkSession, d: str) -> DataFrame:
     events = manifest.parse_storage_events(_storage_events(spark, d), "event")
     kept = manifest.filter_suffix(events, "key")
     return manifest.report_manifest(kept, MANIFEST_RUN_DATE, RECIPIENTS).drop("event")
+
+
+# --- sinks, streaming, report set (O-01..O-03, O-08, O-09) -----------------------------
+
+RUN_DATE = "2025-06-30"
+
+@register("date_partitioned_write", sv.with_views("""
+SELECT ordered_on, product_sku, product_name, product_color, quantity,
+       '2025' AS year, '06' AS month, '30' AS day
+FROM (SELECT CAST(CAST(o.created_on AS DATE) AS TIMESTAMP) AS ordered_on,
+             oi.product_sku, oi.product_name, oi.product_color,
+             CAST(SUM(oi.product_quantity) AS BIGINT) AS quantity
+      FROM shop_orders o JOIN shop_items oi ON o.order_id = oi.order_id
+      GROUP BY CAST(o.created_on AS DATE), oi.product_sku, oi.product_name, oi.product_color, oi.product_price) s
+""", "shop_orders", "shop_items"))
+def q_date_partitioned_write(spark: SparkSession, d: str) -> DataFrame:
+    """Schedule persisted under year=/month=/day= of the processing date and
+    read back (O-03); a rerun of the same date replaces only that partition."""
+    sched = reports.order_schedule(sv.shop_order_headers_df(spark, d), sv.shop_items_df(spark, d))
+    path = scratch_path(spark, "schedule")
+    sinks.write_partitioned_by_date(sched, path, run_date=RUN_DATE)
+    schema = T.StructType(sched.schema.fields + [T.StructField(c, T.StringType()) for c in ("year", "month", "day")])
+    return spark.read.schema(schema).parquet(path)
+
+
+@register("stream_ingest", sv.with_views(_FLAT_SQL, "shop_orders", "shop_items"))
+def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Raw documents landed as several JSON-lines files, picked up by the file
+    stream (checkpointed, archived after commit), flattened per micro-batch and
+    appended idempotently; the appended table is read back (O-02, O-01)."""
+    docs = nested.raw_documents(spark, d).select("doc_text")
+    landing = scratch_path(spark, "landing")
+    docs.repartition(4).write.text(landing)
+    out = scratch_path(spark, "flat")
+    stream = stream_files.stream_raw_orders(spark, landing, archive_dir=scratch_path(spark, "archive"),
+                                            max_files_per_trigger=1)
+    sink = stream_files.append_to_parquet(out)
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        sink(flatten.flatten_order_lines(df), batch_id)
+
+    stream_files.run_available(stream, batch, scratch_path(spark, "checkpoint"))
+    return spark.read.parquet(out).drop("batch_id")
+
+
+def _bundle_sql() -> str:
+    def sub(name: str, col: str) -> str:
+        return (f"SELECT '{name}' AS report, CAST(COUNT(*) AS BIGINT) AS row_count, "
+                f"CAST(SUM({col}) AS BIGINT) AS quantity_total FROM ({ORACLE[name]}) x")
+    return "\nUNION ALL\n".join([sub("pending_orders", "quantity"), sub("order_schedule", "quantity"),
+                                 sub("cut_list", "total_material_needed")])
+
+
+@register("report_bundle", _bundle_sql())
+def q_report_bundle(spark: SparkSession, d: str) -> DataFrame:
+    """The three reports written as dated CSV files from one shared join, then
+    read back and summarized (O-09, O-08)."""
+    root = scratch_path(spark, "reports")
+    paths = bundle.run_report_bundle(sv.shop_order_headers_df(spark, d), sv.shop_items_df(spark, d),
+                                     sv.shop_products_df(spark, d), sv.shop_bom_df(spark, d),
+                                     root, RUN_DATE)
+    qty = {"pending_orders": "quantity", "order_schedule": "quantity", "cut_list": "total_material_needed"}
+    frames = [spark.read.option("header", True).csv(paths[n])
+              .agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col(c).cast("bigint")).alias("quantity_total"))
+              .select(F.lit(n).alias("report"), "row_count", "quantity_total")
+              for n, c in qty.items()]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])

@@ -55,8 +55,10 @@ def write_partitioned_by_date(df: DataFrame, path: str, date_col: str | None = N
     first, so each task writes few files per date.
     """
     parted = with_date_parts(df, date_col, run_date)
-    (parted.repartition("year", "month", "day")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if date_col is not None:
+        # many dates: cluster rows by date so each task writes few folders
+        parted = parted.repartition("year", "month", "day")
+    (parted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month", "day").format(fmt).save(path))
     return path
 
