@@ -3,8 +3,9 @@
 Reads push a whole SQL query to the database (``query`` option), as the
 reference does for its high-water mark. Writes use one connection per
 partition; size ``num_partitions`` to what the database accepts.
-Quote identifiers in pushed queries: Spark creates tables with quoted
-lower-case names, and some databases fold unquoted names to upper case.
+Spark quotes column names when it creates a table but not the table name, so
+in pushed queries quote the columns and leave the table name as written
+(some databases fold unquoted names to upper case).
 """
 
 from __future__ import annotations

@@ -1,0 +1,260 @@
+"""Golden micro-fixtures: tiny literal frames with hand-computed answers."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from ordermill.functions import calendar_date, first_option, full_name, malformed_money, money, product
+from ordermill.operators import contracts, manifest, quality, reports, shape, tables
+from ordermill.operators.flatten import flatten_order_lines
+from ordermill.schemas import ORDERS, RAW_ORDERS
+
+
+def test_money(spark):
+    df = spark.createDataFrame([("105.74",), (None,), ("n/a",)], "v string")
+    out = df.select(money("v").alias("m"), malformed_money("v").alias("bad")).collect()
+    assert [r.m for r in out] == [Decimal("105.74"), Decimal("0.00"), Decimal("0.00")]
+    assert sum(r.bad for r in out) == 1
+    assert df.select(money("v")).schema[0].dataType.simpleString() == "decimal(10,2)"
+
+
+def test_first_option_color(spark):
+    df = spark.createDataFrame(
+        [(None,), ([],), ([("Color", "Red")],), ([("Color", "Blue"), ("Size", "L")],)],
+        "opts array<struct<optionName:string,value:string>>")
+    assert [r[0] for r in df.select(first_option("opts")).collect()] == ["Default", "Default", "Red", "Blue"]
+
+
+def test_full_name_null(spark):
+    df = spark.createDataFrame([("Ann", "Lee"), ("Bo", None)], "a string, b string")
+    assert [r[0] for r in df.select(full_name("a", "b")).collect()] == ["Ann Lee", None]
+
+
+def test_overflow_widened(spark):
+    df = spark.createDataFrame([(300, 300)], "a smallint, b smallint")
+    assert df.select(product("a", "b")).first()[0] == 90000
+
+
+def test_zone(spark):
+    df = spark.createDataFrame([("2025-04-02T03:35:52Z",)], "s string").select(F.to_timestamp("s").alias("t"))
+    assert df.select(calendar_date("t")).first()[0] == dt.date(2025, 4, 2)
+    assert df.select(calendar_date("t", "America/Denver")).first()[0] == dt.date(2025, 4, 1)
+
+
+def _doc(orders):
+    return {"result": orders, "pagination": {"nextPageUrl": None, "nextPageCursor": None, "hasNextPage": False}}
+
+
+def _order(oid, items, modified="2025-04-01T05:00:00.000Z", number=None):
+    return {"id": oid, "orderNumber": number or oid, "createdOn": "2025-04-01T03:35:52.123Z",
+            "modifiedOn": modified, "customerEmail": "a@x.com",
+            "shippingAddress": {"firstName": "Ann", "lastName": "Lee", "city": "Aspen", "state": "CO",
+                                "countryCode": "US"},
+            "fulfillmentStatus": "PENDING", "grandTotal": {"currency": "USD", "value": "10.50"},
+            "discountTotal": {"currency": "USD", "value": "0.00"}, "refundedTotal": None,
+            "lineItems": items}
+
+
+def _item(iid, sku="S1", qty=1, price="5.25"):
+    return {"id": iid, "sku": sku, "productId": "p", "productName": "Bag", "quantity": qty,
+            "unitPricePaid": {"currency": "USD", "value": price}, "variantOptions": []}
+
+
+def _raw(spark, docs):
+    import json
+    return spark.read.schema(RAW_ORDERS).json(spark.sparkContext.parallelize([json.dumps(d) for d in docs]))
+
+
+def test_explode_keep_empty(spark):
+    raw = _raw(spark, [_doc([_order("A", []), _order("B", [_item("b1")]),
+                             _order("C", [_item("c1"), _item("c2", "S2"), _item("c3", "S3")])])])
+    assert flatten_order_lines(raw).count() == 4
+    assert flatten_order_lines(raw, keep_empty=True).count() == 5
+    r = flatten_order_lines(raw).filter("order_id = 'B'").first()
+    assert r.order_total == Decimal("10.50") and r.refund_total == Decimal("0.00")
+    assert r.product_color == "Default" and r.customer_name == "Ann Lee"
+    assert r.created_on == dt.datetime(2025, 4, 1, 3, 35, 52, 123000)
+
+
+def test_equal_lines_and_two_snapshots(spark):
+    # two equal lines in one order: full-row dedup keeps one; with item ids both stay
+    raw = _raw(spark, [_doc([_order("A", [_item("a1"), _item("a2")])])])
+    assert shape.distinct_rows(flatten_order_lines(raw)).count() == 1
+    assert shape.distinct_rows(flatten_order_lines(raw, keep_item_id=True)).count() == 2
+    # one order in two snapshots: items doubled with "rows", once with "latest_snapshot"
+    two = _raw(spark, [_doc([_order("A", [_item("a1")], modified="2025-04-01T05:00:00.000Z")]),
+                       _doc([_order("A", [_item("a1")], modified="2025-04-02T05:00:00.000Z")])])
+    assert shape.distinct_rows(flatten_order_lines(two)).count() == 2
+    latest = flatten_order_lines(two, dedupe="latest_snapshot")
+    assert latest.count() == 1
+    assert latest.first().modified_on == dt.datetime(2025, 4, 2, 5, 0)
+
+
+def test_latest_per_key_tie_break(spark):
+    df = spark.createDataFrame([("k", 1, "a"), ("k", 3, "b"), ("k", 3, "c"), ("j", 2, "z")],
+                               "k string, ts int, v string")
+    out = {r.k: r.v for r in shape.latest_per_key(df, ["k"], ["ts"], tie_break=[F.col("v").desc()]).collect()}
+    assert out == {"k": "c", "j": "z"}
+
+
+def test_watermark(spark):
+    orders = spark.createDataFrame([("O1", dt.datetime(2025, 1, 1)), ("O2", dt.datetime(2025, 1, 5))],
+                                   "order_id string, created_on timestamp")
+    empty_items = spark.createDataFrame([], "order_id string")
+    mark = tables.high_watermark(empty_items, orders).first()[0]
+    assert mark == dt.datetime(1900, 1, 1)
+    items = spark.createDataFrame([("O1",)], "order_id string")
+    assert tables.high_watermark(items, orders).first()[0] == dt.datetime(2025, 1, 1)
+    new = spark.createDataFrame([("O1", dt.datetime(2025, 1, 1)), ("O3", dt.datetime(2025, 1, 2)),
+                                 ("O0", dt.datetime(2024, 12, 1))], "order_id string, created_on timestamp")
+    got = [r.order_id for r in tables.append_since_watermark(new, items, orders).collect()]
+    assert got == ["O3"]  # equal stamp and older are not appended (D5)
+    all_new = tables.append_since_watermark(new, empty_items, orders)
+    assert all_new.count() == 3 and "created_on" not in all_new.columns
+
+
+def test_upsert_counts_and_idempotence(spark):
+    target = spark.createDataFrame([("A", "old"), ("B", "same")], "order_id string, status string")
+    staged = spark.createDataFrame([("A", "new"), ("C", "ins")], "order_id string, status string")
+    c = tables.upsert_counts(target, staged, ["order_id"]).first()
+    assert (c.inserted, c.updated, c.affected) == (1, 1, 2)
+    once = tables.upsert(target, staged, ["order_id"])
+    assert sorted(map(tuple, once.collect())) == [("A", "new"), ("B", "same"), ("C", "ins")]
+    twice = tables.upsert(once, staged, ["order_id"])
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
+    c2 = tables.upsert_counts(once, staged, ["order_id"]).first()
+    assert (c2.inserted, c2.updated) == (0, 2)
+
+
+def test_upsert_newer_by(spark):
+    target = spark.createDataFrame([("A", 5, "t")], "order_id string, modified_on int, v string")
+    staged = spark.createDataFrame([("A", 3, "s"), ("B", 1, "n")], "order_id string, modified_on int, v string")
+    out = dict((r.order_id, r.v) for r in tables.upsert(target, staged, ["order_id"], newer_by="modified_on").collect())
+    assert out == {"A": "t", "B": "n"}
+
+
+def test_dq_rules(spark):
+    empty = spark.createDataFrame([], "order_id string, customer_email string, product_quantity smallint, "
+                                      "product_price decimal(10,2), order_total decimal(10,2)")
+    res = {r.rule: r.outcome for r in quality.evaluate_rules(empty).collect()}
+    assert res["RowCount > 0"] == "Failed"
+    rows = spark.createDataFrame(
+        [("A", "a@x", None, Decimal("1.00"), Decimal("1.00")),
+         ("B", "b@x", 0, Decimal("1.00"), Decimal("1.00")),
+         ("C", "c@x", 2, Decimal("-1.00"), Decimal("1.00"))],
+        "order_id string, customer_email string, product_quantity smallint, "
+        "product_price decimal(10,2), order_total decimal(10,2)")
+    res = {r.rule: r.outcome for r in quality.evaluate_rules(rows).collect()}
+    assert res['Completeness "product_quantity" = 1.0'] == "Failed"
+    assert res['ColumnValues "product_quantity" > 0'] == "Failed"
+    assert res['ColumnValues "product_price" >= 0'] == "Failed"
+    assert res['Completeness "order_id" = 1.0'] == "Passed"
+    with pytest.raises(quality.DataQualityError):
+        quality.dq_gate(rows)
+    per_row = {r.order_id: r.failed_rules for r in quality.row_outcomes(rows).collect()}
+    assert per_row["A"] == ['Completeness "product_quantity" = 1.0']  # nulls not judged by ColumnValues (D7)
+    assert per_row["C"] == ['ColumnValues "product_price" >= 0']
+
+
+def test_dq_single_scan(spark):
+    df = spark.range(100).select(F.col("id").alias("order_id"), F.col("id").alias("product_quantity"))
+    plan = quality.evaluate_rules(df, [quality.RowCount(">", 0), quality.Completeness("order_id", "=", 1.0),
+                                       quality.ColumnValues("product_quantity", ">=", 0)])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Range (") == 1 and text.count("HashAggregate") == 2
+
+
+def test_contract_checks(spark):
+    df = spark.createDataFrame(
+        [("O1", "N1", "x" * 256, Decimal("100000000.00")), ("O2", "N1", None, Decimal("1.00"))],
+        "order_id string, order_number string, customer_name string, order_total decimal(12,2)")
+    v = {(r.check, r.column_name): r.violations for r in contracts.check_contract(df, ORDERS).collect()}
+    assert v[("max_length_100", "customer_name")] == 1
+    assert v[("not_null", "customer_name")] == 1
+    assert v[("numeric_10_2", "order_total")] == 1
+    kv = {r.column_name: r.violations for r in contracts.key_violations(df, ORDERS).collect()}
+    assert kv == {"order_id": 0, "order_number": 1}
+    items = spark.createDataFrame([("O1",), ("O9",), (None,)], "order_id string")
+    assert [r.order_id for r in contracts.fk_orphans(items, df, ["order_id"]).collect()] == ["O9"]
+
+
+def test_insert_policies(spark):
+    target = spark.createDataFrame([("S1", "old", "Red")], "product_sku string, product_name string, product_color string")
+    rows = spark.createDataFrame([("S1", "new", None), ("S2", "two", None)],
+                                 "product_sku string, product_name string, product_color string")
+    d = {"product_color": "Default Color"}
+    with pytest.raises(tables.KeyCollision):
+        tables.insert_rows(target, rows, ["product_sku"], d, "error")
+    ign = {r.product_sku: (r.product_name, r.product_color)
+           for r in tables.insert_rows(target, rows, ["product_sku"], d, "ignore").collect()}
+    assert ign == {"S1": ("old", "Red"), "S2": ("two", "Default Color")}
+    rep = {r.product_sku: r.product_name for r in tables.insert_rows(target, rows, ["product_sku"], d, "replace").collect()}
+    assert rep == {"S1": "new", "S2": "two"}
+
+
+def test_remap_keys(spark):
+    bom = spark.createDataFrame([("S1", "panel", dt.datetime(2025, 1, 1)), ("S2", "strap", dt.datetime(2025, 1, 1)),
+                                 ("S3", "pocket", dt.datetime(2025, 1, 1))],
+                                "product_sku string, material_piece string, modified_at timestamp")
+    mapping = spark.createDataFrame(
+        [("S1", "N1", dt.datetime(2025, 4, 1)), ("S1", "N1b", dt.datetime(2025, 4, 2)), ("S2", "S2", dt.datetime(2025, 4, 1))],
+        "old_sku string, new_sku string, migration_date timestamp")
+    out = {r.material_piece: (r.product_sku, r.modified_at) for r in
+           tables.remap_keys(bom, mapping, at="2025-05-01 00:00:00").collect()}
+    assert out["panel"] == ("N1b", dt.datetime(2025, 5, 1))   # latest mapping wins, no fan-out
+    assert out["strap"] == ("S2", dt.datetime(2025, 5, 1))    # identity mapping still stamps
+    assert out["pocket"] == ("S3", dt.datetime(2025, 1, 1))
+    assert tables.remap_keys(bom, mapping).count() == 3
+
+
+def test_hidden_price_key(spark):
+    orders = spark.createDataFrame([("O1", "pending", dt.datetime(2025, 1, 1))],
+                                   "order_id string, fulfillment_status string, created_on timestamp")
+    items = spark.createDataFrame([("O1", "S1", "Bag", "Red", 1, Decimal("5.00")),
+                                   ("O1", "S1", "Bag", "Red", 2, Decimal("6.00"))],
+                                  "order_id string, product_sku string, product_name string, product_color string, "
+                                  "product_quantity smallint, product_price decimal(10,2)")
+    rows = reports.pending_orders(orders, items, ordered=True).collect()
+    assert [r.quantity for r in rows] == [2, 1]  # one SKU at two prices: two rows, price descending
+
+
+def test_cut_list_factoring_matches_direct_join(spark):
+    orders = spark.createDataFrame([("O1", "PENDING"), ("O2", "Pending"), ("O3", "FULFILLED")],
+                                   "order_id string, fulfillment_status string")
+    items = spark.createDataFrame([("O1", "S1", 3), ("O2", "S1", 300), ("O3", "S1", 7), ("O1", "S2", 1), ("O1", "S9", 4)],
+                                  "order_id string, product_sku string, product_quantity smallint")
+    products = spark.createDataFrame([("S1", "Bag", "Red"), ("S2", "Pouch", "Blue")],
+                                     "product_sku string, product_name string, product_color string")
+    bom = spark.createDataFrame([("S1", "panel", "Canvas", 300), ("S1", "strap", "Black", 1),
+                                 ("S1", "strap", "Black", 1)],
+                                "product_sku string, material_piece string, material_color string, material_quantity smallint")
+    got = {(r.material_piece, r.material_color): (r.total_material_needed, r.total_products_ordered)
+           for r in reports.cut_list(orders, items, products, bom).collect()}
+    # panel: 300 * (3 + 300); strap (listed twice): 2 * 303 needed, 2 * 303 ordered (D13)
+    assert got == {("panel", "Canvas"): (90900, 303), ("strap", "Black"): (606, 606)}
+
+
+def test_manifest(spark):
+    ev = spark.createDataFrame(
+        [('{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"reports%2F2025%2F04%2F01%2Fx.XLSX"}}}]}',),
+         ('{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"x.xlsx"}}}]}',),
+         ('{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"a+b.csv"}}}]}',)], "event string")
+    parsed = manifest.parse_storage_events(ev)
+    kept = manifest.filter_suffix(parsed)
+    out = manifest.report_manifest(kept, "2025-06-30", "a@x.com,b@x.com").collect()
+    assert len(out) == 4
+    first = [r for r in out if r.key.startswith("reports/")][0]
+    assert (first.report_date, first.display_date, first.file_name) == ("2025-04-01", "April 01, 2025", "x.XLSX")
+    second = [r for r in out if r.key == "x.xlsx"][0]
+    assert (second.report_date, second.display_date) == ("2025-06-30", "June 30, 2025")
+    assert parsed.filter("key = 'a+b.csv'").count() == 1  # '+' stays (not url_decode)
+
+
+def test_assign_ids_dense(spark):
+    df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"))
+    ids = shape.assign_ids(df, "rid", ["k"], start=5, num_partitions=7).orderBy("k").collect()
+    assert [r.rid for r in ids] == list(range(5, 1005))
+    assert [r.k for r in ids] == list(range(1000))
