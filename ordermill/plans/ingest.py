@@ -82,3 +82,19 @@ def run_batch(raw: DataFrame, tables: Tables, batch_id: int, dedupe: str = "rows
         return counts
     finally:
         flat.unpersist()
+
+
+def run_stream(spark: SparkSession, landing: str, tables: Tables, checkpoint: str,
+               archive_dir: str | None = None, dedupe: str = "rows",
+               max_files_per_trigger: int | None = None) -> None:
+    """Process every raw file landed since the last run, once, then stop (O-02).
+
+    The file source's checkpoint records processed files; each micro-batch runs
+    ``run_batch`` under its batch id, whose outputs are versioned by that id,
+    so a batch replayed after a failure changes nothing.
+    """
+    from ordermill.streaming.files import run_available, stream_raw_orders
+
+    stream = stream_raw_orders(spark, landing, archive_dir=archive_dir,
+                               max_files_per_trigger=max_files_per_trigger)
+    run_available(stream, lambda df, batch_id: run_batch(df, tables, batch_id, dedupe=dedupe), checkpoint)
