@@ -45,8 +45,23 @@ BOM_PIECES_SCHEMA = T.StructType([
 CATALOG_STAMP = "2025-01-01 00:00:00"
 
 
+# Fact tables whose scan is spread over the cores when the input has fewer
+# files than the session has task slots (see ``table``).
+FACT_TABLES = ("lineitem", "orders")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. A fact table stored as fewer files than task slots (the
+    test tables are one file with one row group, which Spark cannot split) is
+    redistributed round-robin right after the scan, so the work before the
+    first shuffle uses every core. Column pruning and filters still apply
+    below the redistribution; with many input files nothing is added."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in FACT_TABLES:
+        slots = spark.sparkContext.defaultParallelism
+        if len(df.inputFiles()) < slots:
+            df = df.repartition(slots)
+    return df
 
 
 def _color(key: F.Column, default: str) -> F.Column:
