@@ -2,8 +2,8 @@
 
 Per batch: flatten once and keep the flat lines for the three consumers (DQ
 aggregate, order headers, line items); gate on the rules; de-duplicate;
-upsert orders and publish a new version; append items newer than the
-high-water mark as a new committed segment. All outputs are keyed by the
+upsert orders into the month partitions the batch touches; append items
+newer than the high-water mark as a new committed segment. All outputs are keyed by the
 batch id, so a replayed batch changes nothing.
 """
 
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from ordermill.operators.flatten import flatten_order_lines
 from ordermill.operators.quality import ORDER_LINE_RULES, append_outcomes, dq_gate
 from ordermill.operators.shape import assign_ids, distinct_rows, latest_per_key, order_headers, order_items
-from ordermill.operators.tables import append_since_watermark, upsert, upsert_counts
+from ordermill.operators.tables import newer_than, upsert, upsert_counts
+from ordermill.schemas import WATERMARK_FLOOR
 from ordermill.sources import segments, versioned
 
 
@@ -45,10 +46,25 @@ def _empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame([], df.schema)
 
 
+# Orders are kept per month of creation: a batch mostly touches recent
+# months, so the upsert reads and rewrites those months only. ``created_on``
+# of an order must not change between snapshots (it is its creation time).
+PART_COL = "created_month"
+ITEM_ORDER = ["order_id", "product_sku", "product_id", "product_price", "product_quantity",
+              "product_name", "product_color"]
+
+
 def run_batch(raw: DataFrame, tables: Tables, batch_id: int, dedupe: str = "rows",
               rules=ORDER_LINE_RULES) -> dict:
-    """Process one batch of raw documents; returns run metrics."""
+    """Process one batch of raw documents; returns run metrics.
+
+    Cost is proportional to the batch and to the months it touches, not to
+    the tables: the order upsert reads only touched month partitions, and
+    the item high-water mark and next surrogate id come from the item commit
+    log (each append records its row count and largest ``created_on``).
+    """
     spark = raw.sparkSession
+    version = f"b{batch_id:012d}"
     flat = flatten_order_lines(raw, dedupe=dedupe).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         outcomes = dq_gate(flat, rules)
@@ -58,32 +74,33 @@ def run_batch(raw: DataFrame, tables: Tables, batch_id: int, dedupe: str = "rows
         headers = order_headers(lines)
         staged = latest_per_key(headers, ["order_id"], ["modified_on"],
                                 tie_break=[F.col("order_number").desc(), F.col("order_total").desc()])
-        target = versioned.read_current(spark, tables.orders)
+        staged = staged.withColumn(
+            PART_COL, F.coalesce(F.date_format("created_on", "yyyy-MM"), F.lit("unknown")))
+        # distinct months of one batch: a short list
+        touched = [r[0] for r in staged.select(PART_COL).distinct().collect()]
+        target = versioned.read_parts(spark, tables.orders, touched)
         if target is None:
             target = _empty_like(spark, staged)
         counts = upsert_counts(target, staged, ["order_id"]).first().asDict()
         new_orders = upsert(target, staged, ["order_id"])
-        versioned.publish(new_orders, tables.orders, version=f"b{batch_id:012d}")
-        orders_now = versioned.read_current(spark, tables.orders)
+        versioned.publish_parts(new_orders, tables.orders, PART_COL, version, touched)
 
-        items_now = segments.read_all(spark, tables.items)
+        appended_rows, mark = segments.log_summary(spark, tables.items)
         incoming = order_items(lines)
-        if items_now is None:
-            fresh = incoming.drop("created_on")
-            start = 1
-        else:
-            fresh = append_since_watermark(incoming, items_now, orders_now)
-            start = (items_now.agg(F.max("order_item_id")).first()[0] or 0) + 1
-        fresh = assign_ids(fresh, "order_item_id",
-                           ["order_id", "product_sku", "product_id", "product_price", "product_quantity",
-                            "product_name", "product_color"], start=start)
-        added = segments.append_segment(fresh, tables.items, f"b{batch_id:012d}")
-        counts["items_appended"] = added
+        fresh = newer_than(incoming, F.lit(mark or WATERMARK_FLOOR).cast("timestamp"))
+        fresh = assign_ids(fresh, "order_item_id", ITEM_ORDER, start=appended_rows + 1)
+        counts["items_appended"] = segments.append_segment(
+            fresh, tables.items, version, mark_col="created_on", drop=("created_on",))
         return counts
     finally:
         flat.unpersist()
 
 
+def read_orders(spark: SparkSession, tables: Tables) -> DataFrame | None:
+    """Current orders table (latest version of every month)."""
+    return versioned.read_parts(spark, tables.orders)
+
+
 def run_stream(spark: SparkSession, landing: str, tables: Tables, checkpoint: str,
                archive_dir: str | None = None, dedupe: str = "rows",
                max_files_per_trigger: int | None = None) -> None:

@@ -36,9 +36,15 @@ def read_all(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(*paths) if paths else None
 
 
-def append_segment(df: DataFrame, root: str, segment: str) -> int:
+def append_segment(df: DataFrame, root: str, segment: str, mark_col: str | None = None,
+                   drop: tuple[str, ...] = ()) -> int:
     """Write ``df`` as segment ``segment`` and commit it; returns its row count.
-    An empty frame commits a zero-row entry and writes no data folder."""
+
+    With ``mark_col`` the commit row also records the segment's largest value
+    of that column (observed during the write, before ``drop`` removes
+    carrier columns), so a high-water mark is read from the log, not from the
+    table. An empty frame commits a zero-row entry.
+    """
     spark = df.sparkSession
     root = root.rstrip("/")
     log = _log(spark, root)
@@ -48,10 +54,28 @@ def append_segment(df: DataFrame, root: str, segment: str) -> int:
             return int(prev["rows"])
     path = f"{root}/seg={segment}"
     obs = Observation(f"segment-{segment}")
-    # the row count is a metric of the write itself: no second pass over the data
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    rows = int(obs.get["n"])
-    entry = spark.createDataFrame([(segment, path, rows)], "segment string, path string, rows long") \
+    metrics = [F.count(F.lit(1)).alias("n")]
+    if mark_col:
+        metrics.append(F.max(mark_col).cast("timestamp").alias("mark"))
+    # the metrics come from the write itself: no second pass over the data
+    observed = df.observe(obs, *metrics)
+    if drop:
+        observed = observed.drop(*drop)
+    observed.write.mode("overwrite").parquet(path)
+    got = obs.get
+    rows = int(got["n"])
+    entry = spark.createDataFrame([(segment, path, rows, got.get("mark"))],
+                                  "segment string, path string, rows long, mark timestamp") \
         .withColumn("committed_at", F.current_timestamp())
     entry.coalesce(1).write.mode("append").parquet(f"{root}/{LOG}")
     return rows
+
+
+def log_summary(spark: SparkSession, root: str) -> tuple[int, object]:
+    """(rows in all committed segments, largest recorded mark) from the commit
+    log alone: one row per append, never the table itself."""
+    log = _log(spark, root)
+    if log is None:
+        return 0, None
+    r = log.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.max("mark").alias("mark")).first()
+    return int(r["rows"]), r["mark"]

@@ -15,7 +15,7 @@ import datetime as _dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -86,3 +86,53 @@ def expect_counts(counts: Callable[[DataFrame], DataFrame], expected: dict[str,
         got = {r[key]: r[value] for r in counts(written).collect()}
         return [f"{k}: expected {v}, got {got.get(k)}" for k, v in expected.items() if got.get(k) != v]
     return check
+
+
+# --- partitioned variant: versions per partition value ------------------------------
+
+PART_LOG = "_partlog"
+
+
+def _part_log(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(f"{root.rstrip('/')}/{PART_LOG}")
+    except AnalysisException:
+        return None
+
+
+def current_part_paths(spark: SparkSession, root: str, parts: list[str] | None = None) -> dict[str, str]:
+    """Latest committed folder per partition value (one row per partition: a
+    bounded list), optionally only for ``parts``."""
+    log = _part_log(spark, root)
+    if log is None:
+        return {}
+    if parts is not None:
+        log = log.filter(F.col("part").isin(list(parts)))
+    w = Window.partitionBy("part").orderBy(F.col("version").desc())
+    latest = log.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
+    return {r["part"]: r["path"] for r in latest.select("part", "path").collect()}
+
+
+def read_parts(spark: SparkSession, root: str, parts: list[str] | None = None) -> DataFrame | None:
+    """The current table, or only the given partitions of it (partition pruning
+    by path: other partitions are not listed or read)."""
+    paths = current_part_paths(spark, root, parts)
+    return spark.read.parquet(*paths.values()) if paths else None
+
+
+def publish_parts(df: DataFrame, root: str, part_col: str, version: str, parts: list[str]) -> list[str]:
+    """Write new versions of ``parts`` (rows of ``df`` grouped by ``part_col``)
+    and commit them together with one log append. Untouched partitions keep
+    their current version, so the cost is that of the touched partitions."""
+    spark = df.sparkSession
+    root = root.rstrip("/")
+    log = _part_log(spark, root)
+    if log is not None and log.filter(F.col("version") == version).limit(1).count():
+        return []
+    base = f"{root}/data/v={version}"
+    df.withColumn("_part", F.col(part_col)).write.mode("overwrite").partitionBy("_part").parquet(base)
+    rows = [(p, version, f"{base}/_part={p}") for p in parts]
+    entry = spark.createDataFrame(rows, "part string, version string, path string") \
+        .withColumn("published_at", F.current_timestamp())
+    entry.coalesce(1).write.mode("append").parquet(f"{root}/{PART_LOG}")
+    return [r[2] for r in rows]
