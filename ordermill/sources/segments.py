@@ -1,7 +1,7 @@
 """Append-only tables made of committed segments (O-06 with all-or-nothing commits).
 
 Each append writes a new folder ``<root>/seg=<id>`` and then commits it by
-appending one row to ``<root>/_log``. Readers read only committed segments, so
+appending one row to ``<root>/commits``. Readers read only committed segments, so
 a failed append leaves no partial rows, and the table is never rewritten:
 an append costs the size of the new rows, not of the table. Re-appending a
 committed segment id is a no-op (idempotent replay).
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-LOG = "_log"
+LOG = "commits"
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame | None:

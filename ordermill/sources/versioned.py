@@ -2,7 +2,7 @@
 (O-63, D19).
 
 A table is a folder ``<root>`` holding version folders ``data/v=<id>`` and a
-commit log ``_log`` (Parquet rows: version, path, published_at). A new version
+commit log ``commits`` (Parquet rows: seq, version, path, published_at). A new version
 is written completely, validated by reading it back, and only then committed
 by appending one log row; readers take the latest committed version. An
 unvalidated or half-written version is never visible. Writing the same
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-LOG = "_log"
+LOG = "commits"
 
 
 class PublishRejected(Exception):
@@ -39,6 +39,13 @@ def _log(spark: SparkSession, root: str) -> DataFrame | None:
         return None
 
 
+def _next_seq(log: DataFrame | None) -> int:
+    """Commit order: one more than the last commit (a single writer per table)."""
+    if log is None:
+        return 1
+    return int(log.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]) + 1
+
+
 def committed_versions(spark: SparkSession, root: str) -> DataFrame | None:
     return _log(spark, root)
 
@@ -47,7 +54,7 @@ def current_path(spark: SparkSession, root: str) -> str | None:
     log = _log(spark, root)
     if log is None:
         return None
-    row = log.orderBy(F.col("version").desc()).select("path").first()
+    row = log.orderBy(F.col("seq").desc()).select("path").first()
     return row["path"] if row else None
 
 
@@ -72,7 +79,8 @@ def publish(df: DataFrame, root: str, checks: Callable[[DataFrame], list[str]] |
     problems = checks(written) if checks else []
     if problems:
         raise PublishRejected(problems)
-    entry = spark.createDataFrame([(vid, path)], "version string, path string") \
+    seq = _next_seq(log)
+    entry = spark.createDataFrame([(seq, vid, path)], "seq long, version string, path string") \
         .withColumn("published_at", F.current_timestamp())
     entry.coalesce(1).write.mode("append").parquet(f"{root}/{LOG}")
     return path
@@ -90,7 +98,7 @@ def expect_counts(counts: Callable[[DataFrame], DataFrame], expected: dict[str,
 
 # --- partitioned variant: versions per partition value ------------------------------
 
-PART_LOG = "_partlog"
+PART_LOG = "part_commits"
 
 
 def _part_log(spark: SparkSession, root: str) -> DataFrame | None:
@@ -108,7 +116,7 @@ def current_part_paths(spark: SparkSession, root: str, parts: list[str] | None =
         return {}
     if parts is not None:
         log = log.filter(F.col("part").isin(list(parts)))
-    w = Window.partitionBy("part").orderBy(F.col("version").desc())
+    w = Window.partitionBy("part").orderBy(F.col("seq").desc())
     latest = log.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
     return {r["part"]: r["path"] for r in latest.select("part", "path").collect()}
 
@@ -130,9 +138,10 @@ def publish_parts(df: DataFrame, root: str, part_col: str, version: str, parts:
     if log is not None and log.filter(F.col("version") == version).limit(1).count():
         return []
     base = f"{root}/data/v={version}"
-    df.withColumn("_part", F.col(part_col)).write.mode("overwrite").partitionBy("_part").parquet(base)
-    rows = [(p, version, f"{base}/_part={p}") for p in parts]
-    entry = spark.createDataFrame(rows, "part string, version string, path string") \
+    df.withColumn("part_value", F.col(part_col)).write.mode("overwrite").partitionBy("part_value").parquet(base)
+    seq = _next_seq(log)
+    rows = [(seq, p, version, f"{base}/part_value={p}") for p in parts]
+    entry = spark.createDataFrame(rows, "seq long, part string, version string, path string") \
         .withColumn("published_at", F.current_timestamp())
     entry.coalesce(1).write.mode("append").parquet(f"{root}/{PART_LOG}")
-    return [r[2] for r in rows]
+    return [r[3] for r in rows]
