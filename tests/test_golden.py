@@ -258,3 +258,34 @@ def test_assign_ids_dense(spark):
     ids = shape.assign_ids(df, "rid", ["k"], start=5, num_partitions=7).orderBy("k").collect()
     assert [r.rid for r in ids] == list(range(5, 1005))
     assert [r.k for r in ids] == list(range(1000))
+
+
+def test_events_all_records(spark):
+    ev = spark.createDataFrame(
+        [('{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"r%2F1.xlsx"}}},'
+          '{"s3":{"bucket":{"name":"b"},"object":{"key":"r%2F2.xlsx"}}}]}',)], "event string")
+    assert [r.key for r in manifest.parse_storage_events(ev).collect()] == ["r/1.xlsx"]
+    assert sorted(r.key for r in manifest.parse_storage_events(ev, all_records=True).collect()) == \
+        ["r/1.xlsx", "r/2.xlsx"]
+
+
+def test_report_order_and_zone(spark):
+    orders = spark.createDataFrame(
+        [("O1", "PENDING", dt.datetime(2025, 4, 2, 3, 35)), ("O2", "FULFILLED", dt.datetime(2025, 4, 1, 12, 0))],
+        "order_id string, fulfillment_status string, created_on timestamp")
+    items = spark.createDataFrame(
+        [("O1", "S1", "Bag", "Red", 1, Decimal("5.00")), ("O2", "S2", "Pouch", "Blue", 2, Decimal("9.00")),
+         ("O1", "S3", "Strap", "Red", 4, Decimal("9.00"))],
+        "order_id string, product_sku string, product_name string, product_color string, "
+        "product_quantity smallint, product_price decimal(10,2)")
+    rows = reports.order_schedule(orders, items, ordered=True).collect()
+    # date ascending, then price descending, ties by SKU
+    assert [(str(r.ordered_on), r.product_sku) for r in rows] == [
+        ("2025-04-01", "S2"), ("2025-04-02", "S3"), ("2025-04-02", "S1")]
+    denver = reports.order_schedule(orders, items, zone="America/Denver").collect()
+    assert sorted({str(r.ordered_on) for r in denver}) == ["2025-04-01"]
+
+
+def test_report_path():
+    from ordermill.sources.sinks import report_path
+    assert report_path("/r", "cut_list", "2025-04-07") == "/r/reports/2025/04/07/cut_list_2025-04-07"
