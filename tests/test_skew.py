@@ -53,7 +53,9 @@ def test_hot_order_join_is_split_and_whole(spark):
 def test_hot_keys_combine_before_shuffle(spark):
     orders, items = _skewed(spark)
     pend = reports.pending_orders(orders, items)
-    assert pend.filter("product_sku = 'S0'").agg(F.sum("quantity")).first()[0] == 10000
+    expected = items.filter("product_sku = 'S0'").count()  # every order here is pending
+    assert expected > 10000
+    assert pend.filter("product_sku = 'S0'").agg(F.sum("quantity")).first()[0] == expected
     plan = pend._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan
     latest = shape.latest_per_key(items.withColumn("ts", F.monotonically_increasing_id()), ["order_id"], ["ts"])
