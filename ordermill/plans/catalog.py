@@ -146,6 +146,8 @@ FROM (SELECT CAST(floor(o_orderkey / 20) AS BIGINT) AS page, COUNT(*) AS n FROM
 GROUP BY floor(page / 10)
 """, "shop_orders"))
 def q_raw_file_audit(spark: SparkSession, d: str) -> DataFrame:
+    # every order of the test tables is one entry (at most 7 items, fewer than
+    # nested.CHUNK_ITEMS), so entries per page are the orders of the page
     return raw.raw_file_audit(nested.raw_documents(spark, d))
 
 

@@ -60,3 +60,23 @@ def test_hot_keys_combine_before_shuffle(spark):
     assert "partial_sum" in plan
     latest = shape.latest_per_key(items.withColumn("ts", F.monotonically_increasing_id()), ["order_id"], ["ts"])
     assert latest.count() == 5000
+
+
+def test_hot_order_documents_are_bounded_and_whole(spark):
+    from ordermill.plans import nested
+
+    _, items = _skewed(spark, n=12000)
+    items = items.select("*", F.lit(1).alias("l_linenumber"), F.col("product_name").alias("l_suppkey"),
+                         F.concat(F.lit("P"), F.col("product_sku")).alias("product_id"))
+    entries = nested.nest_items(items, chunk_items=100)
+    stats = entries.groupBy("order_id").agg(F.count(F.lit(1)).alias("entries"),
+                                            F.sum(F.size("lineItems")).alias("items"),
+                                            F.max(F.size("lineItems")).alias("largest"))
+    hot = stats.filter("order_id = 'O0'").first()
+    n_hot = items.filter("order_id = 'O0'").count()
+    assert n_hot > 4000
+    assert hot["items"] == n_hot  # every item of the hot order is kept
+    assert hot["entries"] == -(-n_hot // 100)  # split into ceil(n / 100) entries
+    assert hot["largest"] <= 200  # no entry grows with the order
+    assert stats.agg(F.sum("items")).first()[0] == 12000
+    assert stats.filter("order_id != 'O0'").agg(F.max("entries")).first()[0] == 1
