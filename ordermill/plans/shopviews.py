@@ -11,6 +11,8 @@ as SQL text for the DuckDB oracle. They are written independently on purpose.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,17 +52,28 @@ CATALOG_STAMP = "2025-01-01 00:00:00"
 FACT_TABLES = ("lineitem", "orders")
 
 
+# One resolved DataFrame per (session, table path), like a catalog entry: the
+# given tables are fixed read-only inputs, so the file listing and footer read
+# happen once per session. Only the lazy plan is kept, never data.
+_RESOLVED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table. A fact table stored as fewer files than task slots (the
     test tables are one file with one row group, which Spark cannot split) is
     redistributed round-robin right after the scan, so the work before the
     first shuffle uses every core. Column pruning and filters still apply
     below the redistribution; with many input files nothing is added."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _RESOLVED.setdefault(spark, {})
+    if path in known:
+        return known[path]
+    df = spark.read.parquet(path)
     if name in FACT_TABLES:
         slots = spark.sparkContext.defaultParallelism
         if len(df.inputFiles()) < slots:
             df = df.repartition(slots)
+    known[path] = df
     return df
 
 
