@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.functions import parse_ts
 from ordermill.schemas import ITEM_COLUMNS, ORDER_COLUMNS
@@ -67,16 +68,23 @@ def assign_ids(df: DataFrame, id_col: str, order_by: Sequence[Column | str],
     ``spark.checkpoint.dir``), so the counts and the rows come from the same
     materialized partitioning even if executors are lost; a second range
     shuffle would sample its own bounds. The offsets table has one row per
-    partition (a proven bound), so it is broadcast. ``order_by`` should be
-    unique for repeatable ids.
+    partition (a proven bound), so it is broadcast.
+
+    Rows with equal ``order_by`` values are ordered by a hash of their content,
+    then by their input position, so a value held by a third of all rows is
+    spread over many range partitions instead of landing in one task, and ties
+    get repeatable ids.
     """
     from ordermill.session import shared_dir
 
     spark = df.sparkSession
     shared_dir(spark)
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    tied = df.select("*", F.xxhash64(*hashable).alias("_tie_h"),
+                     F.monotonically_increasing_id().alias("_tie_pos"))
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by] + [F.col("_tie_h"), F.col("_tie_pos")]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = tied.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_tie_h", "_tie_pos")
     mid = F.monotonically_increasing_id()
     numbered = ranged.select("*", F.shiftright(mid, 33).alias("_part"),
                              mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos")).checkpoint(eager=True)

@@ -80,3 +80,16 @@ def test_hot_order_documents_are_bounded_and_whole(spark):
     assert hot["largest"] <= 200  # no entry grows with the order
     assert stats.agg(F.sum("items")).first()[0] == 12000
     assert stats.filter("order_id != 'O0'").agg(F.max("entries")).first()[0] == 1
+
+
+def test_surrogate_ids_spread_a_hot_sort_key(spark):
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    out = shape.assign_ids(rows, "sid", ["k"], start=1, num_partitions=8)
+    stats = out.agg(F.min("sid"), F.max("sid"), F.countDistinct("sid")).first()
+    assert tuple(stats) == (1, 30000, 30000)  # dense ids, nothing dropped
+    # ids follow the sort key: every hot row (k = 0) comes before every other row
+    assert out.filter("k = 0").agg(F.max("sid")).first()[0] == 10000
+    biggest = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert biggest < 10000  # the hot key is split over several range partitions
