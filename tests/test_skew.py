@@ -93,3 +93,38 @@ def test_surrogate_ids_spread_a_hot_sort_key(spark):
     assert out.filter("k = 0").agg(F.max("sid")).first()[0] == 10000
     biggest = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert biggest < 10000  # the hot key is split over several range partitions
+
+
+def test_dated_write_splits_a_hot_date(spark, tmp_dir):
+    import glob
+
+    from ordermill.sources import sinks
+
+    rows = spark.range(30000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, F.lit("2025-04-01"))
+        .otherwise(F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 60).cast("int")).cast("string"))
+        .cast("date").alias("d"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    # keep the 16 range partitions (AQE would merge this small input into one or two)
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        path = f"{tmp_dir}/dated"
+        sinks.write_partitioned_by_date(rows, path, date_col="d")
+        back = spark.read.parquet(path)
+        assert back.count() == 30000
+        assert back.filter("year = 2025 AND month = 4 AND day = 1").count() == rows.filter("d = '2025-04-01'").count()
+        hot_files = glob.glob(f"{tmp_dir}/dated/year=2025/month=04/day=01/*.parquet")
+        assert len(hot_files) >= 3  # the hot date (a third of all rows) is written by several tasks
+        # a rerun of one date replaces only that date (dynamic partition overwrite)
+        sinks.write_partitioned_by_date(rows.filter("d = '2025-01-02'"), path, date_col="d")
+        assert spark.read.parquet(path).count() == 30000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
