@@ -72,6 +72,23 @@ def test_hot_order_documents_are_bounded_and_whole(spark):
     stats = entries.groupBy("order_id").agg(F.count(F.lit(1)).alias("entries"),
                                             F.sum(F.size("lineItems")).alias("items"),
                                             F.max(F.size("lineItems")).alias("largest"))
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        entries.collect()  # small test input; runs this DataFrame's own plan
+        final = entries._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final  # the hot order's join partition is split
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     hot = stats.filter("order_id = 'O0'").first()
     n_hot = items.filter("order_id = 'O0'").count()
     assert n_hot > 4000
