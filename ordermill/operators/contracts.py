@@ -73,11 +73,19 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def fk_orphans(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],
-               parent_keys: Sequence[str] | None = None) -> DataFrame:
+               parent_keys: Sequence[str] | None = None, distinct_parent: bool = False) -> DataFrame:
     """Child rows whose key has no parent row (O-36, O-67). Null child keys are
-    not orphans (SQL foreign keys ignore nulls)."""
+    not orphans (SQL foreign keys ignore nulls).
+
+    ``distinct_parent``: the parent side repeats keys (e.g. which orders have
+    items). Its keys are then reduced map-side first, so a key held by a third
+    of the parent rows ships one row per task instead of its whole group into
+    one join task (AQE can split only the child side of an anti join). A
+    unique parent (a primary key) keeps the plain anti join."""
     parent_keys = list(parent_keys or child_keys)
     p = parent.select(*[F.col(pk).alias(ck) for pk, ck in zip(parent_keys, child_keys)])
+    if distinct_parent:
+        p = p.distinct()
     notnull = F.lit(True)
     for ck in child_keys:
         notnull = notnull & F.col(ck).isNotNull()

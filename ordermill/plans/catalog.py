@@ -603,7 +603,8 @@ def q_fk_orphans(spark: SparkSession, d: str) -> DataFrame:
     return (tag(contracts.fk_orphans(items, orders, ["order_id"]), "order_items->orders", "order_id")
             .unionByName(tag(contracts.fk_orphans(bom, catalog, ["product_sku"]),
                              "bill_of_materials->products", "product_sku"))
-            .unionByName(tag(contracts.fk_orphans(orders, items, ["order_id"]), "orders without items", "order_id")))
+            .unionByName(tag(contracts.fk_orphans(orders, items, ["order_id"], distinct_parent=True),
+                             "orders without items", "order_id")))
 
 
 @register("cascade_delete", sv.with_views("""

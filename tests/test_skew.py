@@ -145,3 +145,18 @@ def test_dated_write_splits_a_hot_date(spark, tmp_dir):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_orders_without_items_reduce_a_hot_parent_key(spark):
+    from ordermill.operators import contracts
+
+    _, items = _skewed(spark)
+    orders = spark.range(6000).select(F.concat(F.lit("O"), F.col("id").cast("string")).alias("order_id"))
+    lonely = contracts.fk_orphans(orders, items, ["order_id"], distinct_parent=True)
+    expected = orders.join(items.select("order_id").distinct(), "order_id", "left_anti").count()
+    assert expected == 1000
+    assert lonely.count() == expected
+    lonely.collect()
+    plan = lonely._jdf.queryExecution().executedPlan().toString()
+    # the item keys are aggregated (map-side first) before they reach the anti join
+    assert plan.count("HashAggregate(keys=[order_id") >= 2
