@@ -29,9 +29,11 @@ def high_watermark(items: DataFrame, orders: DataFrame, key: str = "order_id",
     or ``default`` when there are none (O-41, O-33).
 
     ``orders LEFT SEMI items`` gives the same MAX as the inner join without its
-    fan-out; the global MAX is a partial max per task plus one final row.
+    fan-out; the item keys are reduced map-side first, so an order holding a
+    third of all items ships one key per task, not its group, into the join.
+    The global MAX is a partial max per task plus one final row.
     """
-    with_items = orders.select(key, ts).join(items.select(key), key, "left_semi")
+    with_items = orders.select(key, ts).join(items.select(key).distinct(), key, "left_semi")
     ts_type = dict(orders.dtypes)[ts]
     floor = F.lit(default).cast(ts_type)
     return with_items.agg(F.coalesce(F.max(ts), floor).alias("max_date"))
