@@ -289,3 +289,15 @@ def test_report_order_and_zone(spark):
 def test_report_path():
     from ordermill.sources.sinks import report_path
     assert report_path("/r", "cut_list", "2025-04-07") == "/r/reports/2025/04/07/cut_list_2025-04-07"
+
+
+def test_outcomes_rerun_replaces_its_own_rows(spark, tmp_dir):
+    df = spark.range(5).select(F.col("id").alias("v"))
+    rules = [quality.RowCount(">", 3), quality.Completeness("v", ">=", 1.0)]
+    path = f"{tmp_dir}/outcomes"
+    quality.append_outcomes(quality.evaluate_rules(df, rules), path, run_id="batch-0")
+    quality.append_outcomes(quality.evaluate_rules(df, rules), path, run_id="batch-1")
+    quality.append_outcomes(quality.evaluate_rules(df, rules), path, run_id="batch-0")  # replay
+    back = spark.read.parquet(path)
+    assert back.count() == 4
+    assert sorted(r.run_id for r in back.select("run_id").distinct().collect()) == ["batch-0", "batch-1"]
