@@ -55,3 +55,13 @@ def test_global_single_partition_only_for_one_row_aggregates(spark):
     assert "SinglePartition" in p  # the 1-row MAX
     p2 = _plan(E.queries()["pending_orders"](spark, SMOKE))
     assert "SinglePartition" not in p2
+
+
+def test_snapshot_dedup_limits_before_shuffle(spark):
+    from ordermill.operators.flatten import flatten_order_lines
+    from ordermill.plans import nested
+
+    lines = flatten_order_lines(nested.raw_documents(spark, SMOKE), dedupe="latest_snapshot")
+    p = _plan(lines)
+    # each map task keeps only its best snapshot per order before the shuffle
+    assert "WindowGroupLimit" in p and "Partial" in p
