@@ -51,15 +51,15 @@ def write_partitioned_by_date(df: DataFrame, path: str, date_col: str | None = N
     """Persist rows under ``year=/month=/day=`` folders (O-03).
 
     Dynamic partition overwrite replaces only the dates present in ``df``, so a
-    rerun of one day is idempotent. With a date column the rows are range
-    partitioned on (date, content hash): each task writes a contiguous run of
-    dates (few folders per task), and a date holding a large share of all rows
-    is split over as many tasks as its size needs instead of one.
+    rerun of one day is idempotent. With a date column the rows are
+    rebalanced on the date (``REBALANCE`` hint): each task writes few date
+    folders, and AQE splits a date holding a large share of all rows into
+    advisory-sized pieces written by several tasks (and merges small ones).
+    Unlike a range repartition it needs no sampling pass over the input.
     """
     parted = with_date_parts(df, date_col, run_date)
     if date_col is not None:
-        hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-        parted = (parted.repartitionByRange("year", "month", "day", F.xxhash64(*hashable)))
+        parted = parted.hint("rebalance", "year", "month", "day")
     (parted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month", "day").format(fmt).save(path))
     return path
