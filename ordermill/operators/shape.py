@@ -70,21 +70,24 @@ def assign_ids(df: DataFrame, id_col: str, order_by: Sequence[Column | str],
     shuffle would sample its own bounds. The offsets table has one row per
     partition (a proven bound), so it is broadcast.
 
-    Rows with equal ``order_by`` values are ordered by a hash of their content,
-    then by their input position, so a value held by a third of all rows is
-    spread over many range partitions instead of landing in one task, and ties
-    get repeatable ids.
+    Rows with equal ``order_by`` values are ordered by a hash of their whole
+    content, so a value held by a third of all rows is spread over many range
+    partitions instead of landing in one task, and ties get repeatable ids.
+    The tie-breaker is deterministic on purpose: a position-based one would
+    let a recomputed map task (after an executor loss) route rows to other
+    range partitions. Rows identical in every column cannot be told apart and
+    stay in one range partition; reduce copies with ``distinct_rows`` first
+    when they are not meant to get ids of their own.
     """
     from ordermill.session import shared_dir
 
     spark = df.sparkSession
     shared_dir(spark)
     hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    tied = df.select("*", F.xxhash64(*hashable).alias("_tie_h"),
-                     F.monotonically_increasing_id().alias("_tie_pos"))
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by] + [F.col("_tie_h"), F.col("_tie_pos")]
+    tied = df.select("*", F.xxhash64(*hashable).alias("_tie_h"))
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by] + [F.col("_tie_h")]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = tied.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_tie_h", "_tie_pos")
+    ranged = tied.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_tie_h")
     mid = F.monotonically_increasing_id()
     numbered = ranged.select("*", F.shiftright(mid, 33).alias("_part"),
                              mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos")).checkpoint(eager=True)
