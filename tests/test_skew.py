@@ -164,3 +164,15 @@ def test_orders_without_items_reduce_a_hot_parent_key(spark):
     plan = lonely._jdf.queryExecution().executedPlan().toString()
     # the item keys are aggregated (map-side first) before they reach the anti join
     assert plan.count("HashAggregate(keys=[order_id") >= 2
+
+
+def test_copies_holding_a_third_collapse_map_side(spark):
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit("copy")).otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("v"))
+    out = shape.distinct_rows(rows)
+    assert out.count() == 20001  # 20,000 unique rows + one row for the 10,000 copies
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # a partial aggregate before the exchange: each task ships one row for the copies
+    assert plan.count("HashAggregate(keys=[k") >= 2
