@@ -26,9 +26,9 @@ CHUNK_BYTES = 4096
 #: Fixed values. Bytes from which a band holds, smallest and largest allowed
 #: compressed size over raw size of a whole document. Under the first band's
 #: length a ratio says nothing.
-BANDS = ((200, 0.20, 1.00), (1000, 0.15, 0.90), (4000, 0.12, 0.85), (16000, 0.10, 0.80))
+BANDS = ((200, 0.30, 1.00), (1000, 0.25, 0.75), (4000, 0.22, 0.72), (16000, 0.20, 0.70))
 #: The same for a full chunk, and the largest share of chunks outside of it.
-CHUNK_BAND = (0.12, 0.85)
+CHUNK_BAND = (0.20, 0.75)
 MAX_BAD_CHUNKS = 0.34
 
 COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
