@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, mixing, rules
+from ordermill.llm import bpe, mixing, quality, rules
 from ordermill.llm.store import table
 
-#: Vocabulary file of op8, on every machine.
 def vocabulary() -> str:
+    """Vocabulary file of op8, on every machine."""
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score and prediction of each document."""
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     sizes = mixing.measured(table(spark, sf_dir, "documents"))
@@ -36,6 +41,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_score": op1_quality_score,
     "op6_source_mix": op6_source_mix,
     "op8_bpe": op8_bpe,
     "op10_quality_rules": op10_quality_rules,
