@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, mixing, quality, rules
+from ordermill.llm import bpe, mixing, quality, rules, warc
 from ordermill.llm.store import table
 
 def vocabulary() -> str:
@@ -20,6 +20,13 @@ def op1_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as they are read back from the archives they were written to."""
+    got = warc.round_trip(spark, table(spark, sf_dir, "pages"), keep_payload=False)
+    return got.select(warc.page_number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      warc.page_number("refers_to").alias("refers_to"), F.col("error").isNull().alias("verified"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     sizes = mixing.measured(table(spark, sf_dir, "documents"))
@@ -42,8 +49,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_score": op1_quality_score,
+    "op3_warc": op3_warc,
     "op6_source_mix": op6_source_mix,
     "op8_bpe": op8_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS last FROM p)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(8), lambda g: list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(hex, CAST(5 * g + 1 AS INT), 5) AS BIGINT) >> s) & 31 AS INT), 1)),
+    'string_agg', '')), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to, true AS verified
+FROM d""",
+}
