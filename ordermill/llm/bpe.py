@@ -27,7 +27,7 @@ NONE = np.int32(2**31 - 1)
 #: Longer words are merged with a heap, as the scans would take the square of the length.
 SHORT = 64
 #: Words whose ids a task remembers at most; the memory is then begun anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 MARK, LETTER, DIGIT, SPACE = range(4)
 
 
