@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, mixing, quality, rules, warc
+from ordermill.llm import bpe, mixing, neardup, quality, rules, warc
 from ordermill.llm.store import table
 
 def vocabulary() -> str:
@@ -35,6 +35,11 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.select("doc_id", "size", "source_size", "target", "taken", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("r")).drop("r")
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of each document."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of each document and of the text decoded from them."""
     path = vocabulary()
@@ -51,6 +56,7 @@ QUERIES = {
     "op1_quality_score": op1_quality_score,
     "op3_warc": op3_warc,
     "op6_source_mix": op6_source_mix,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op8_bpe": op8_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
