@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, mixing, neardup, quality, rules, warc
+from ordermill.llm import bpe, embeds, mixing, neardup, quality, rules, warc
 from ordermill.llm.store import table
 
 def vocabulary() -> str:
@@ -27,6 +27,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                       warc.page_number("refers_to").alias("refers_to"), F.col("error").isNull().alias("verified"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of each embedding."""
+    return embeds.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     sizes = mixing.measured(table(spark, sf_dir, "documents"))
@@ -55,6 +60,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_score": op1_quality_score,
     "op3_warc": op3_warc,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op6_source_mix": op6_source_mix,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_bpe": op8_bpe,
