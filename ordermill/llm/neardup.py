@@ -66,10 +66,10 @@ def hub_pairs(postings: DataFrame) -> DataFrame:
     return postings.join(hubs, "posting").filter("key <> a").select("a", F.col("key").alias("b")).distinct()
 
 
-def bitmap(ids: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of SLOTS bits, set where a value of the column hashes to; its size does not depend on the data."""
-    slot = F.pmod(F.xxhash64(column), F.lit(SLOTS)) + 1  # the functions count from 1
-    rows = ids.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+def bitmap(slots: DataFrame) -> np.ndarray:
+    """A bitmap of SLOTS bits, set where the only column (a slot from 0) says; its size does not depend on the data."""
+    slot = F.col(slots.columns[0]) + 1  # the functions count from 1
+    rows = slots.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
     out = np.zeros(SLOTS // 8, np.uint8)
     for r in rows:
         part = np.frombuffer(bytes(r["bits"]), np.uint8)
@@ -83,7 +83,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     A bitmap of fixed size lets most other documents go before any work; those it lets pass are exact all the same.
     """
-    bits = bitmap(wanted, wanted.columns[0])
+    bits = bitmap(wanted.select(F.pmod(F.xxhash64(wanted.columns[0]), F.lit(SLOTS))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -184,6 +184,15 @@ def tile_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("tile", "group", "x", "y").applyInArrow(_tile(percent), "a binary, b binary")
 
 
+def unconnected(pairs: DataFrame, links: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members of the candidate groups that the links leave in several components: ``key``, ``n``, ``group``, ``comp``."""
+    group = connected_components(pairs).toDF("key", "group")
+    comp = connected_components(links).toDF("key", "comp")
+    members = group.join(comp, "key", "left").join(sizes, "key").withColumn("comp", F.coalesce("comp", "key"))
+    still = members.groupBy("group").agg((F.min("comp") != F.max("comp")).alias("still")).filter("still").select("group")
+    return written(members.join(still, "group", "left_semi").select("key", "n", "group", "comp"), "members")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, matches: int = MATCHES) -> DataFrame:
     """Component of every document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -203,11 +212,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, matches: int = MATC
     nodes = written(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "candidates")
     sets = written(full_sets(docs, nodes.join(classes, "key").select("rep")).join(nodes, "key", "left_semi"), "sets")
     links = written(confirm_pairs(pairs, classes, sets, matches, percent), "links")
-    group = connected_components(pairs).toDF("key", "group")
-    comp = connected_components(links).toDF("key", "comp")
-    members = group.join(comp, "key", "left").join(classes.select("key", "n"), "key").withColumn("comp", F.coalesce("comp", "key"))
-    still = members.groupBy("group").agg((F.min("comp") != F.max("comp")).alias("still")).filter("still").select("group")
-    members = written(members.join(still, "group", "left_semi").select("key", "n", "group", "comp"), "members")
+    members = unconnected(pairs, links, classes.select("key", "n"))
     more = written(tile_links(members, sets, percent), "tile-links")
     label = connected_components(links.union(more)).toDF("key", "root")
     place = classes.select("key", "rep").join(label, "key", "left").withColumn("root", F.coalesce("root", "key"))

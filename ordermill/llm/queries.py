@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, embeds, mixing, neardup, quality, rules, warc
+from ordermill.llm import bpe, embeds, linedup, mixing, neardup, quality, rules, warc
 from ordermill.llm.store import table
 
 def vocabulary() -> str:
@@ -52,6 +52,13 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's text without lines that (nearly) equal an earlier one, and how many those are."""
+    got = linedup.deduplicate_lines(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines_left"),
+                      F.coalesce(F.size("dropped_lines"), F.lit(0)).cast("long").alias("n_dropped"), "text")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, compression figures and verdict of each document."""
     return rules.quality_rules(table(spark, sf_dir, "documents"))
@@ -64,6 +71,7 @@ QUERIES = {
     "op6_source_mix": op6_source_mix,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_bpe": op8_bpe,
+    "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLE: dict[str, str] = {
