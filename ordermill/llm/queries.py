@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, embeds, linedup, mixing, neardup, quality, rules, warc
+from ordermill.llm import bpe, chat, embeds, linedup, mixing, neardup, quality, rules, secrets, warc
 from ordermill.llm.store import table
 
 def vocabulary() -> str:
@@ -20,6 +20,12 @@ def op1_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates for secrets of each document, by hash, and the forest's verdict."""
+    got = secrets.scan(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "place", F.length("value").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "probability", "secret")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as they are read back from the archives they were written to."""
     got = warc.round_trip(spark, table(spark, sf_dir, "pages"), keep_payload=False)
@@ -32,6 +38,11 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeds.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered pieces of the conversations that are no prefix of a longer one."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     sizes = mixing.measured(table(spark, sf_dir, "documents"))
@@ -66,8 +77,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_score": op1_quality_score,
+    "op2_secret_scan": op2_secret_scan,
     "op3_warc": op3_warc,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_chat_format": op5_chat_format,
     "op6_source_mix": op6_source_mix,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_bpe": op8_bpe,
@@ -85,4 +98,13 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> last THEN last END AS refers_to, true AS verified
 FROM d""",
+    "op5_chat_format": """
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
+p AS (SELECT conv_id, k, n, CAST(list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY k) AS VARCHAR) AS prefix FROM r),
+f AS (SELECT min(conv_id) AS conv_id, prefix, n, count(*) AS copies FROM p WHERE k = n GROUP BY prefix, n),
+m AS (SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.k < p.n AND p.k = f.n AND p.prefix = f.prefix))
+SELECT r.conv_id, (r.k - 1) // 64 AS piece, m.n AS n_turns, m.copies,
+  string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), '' ORDER BY r.k) AS text
+FROM r JOIN m ON r.conv_id = m.conv_id GROUP BY r.conv_id, (r.k - 1) // 64, m.n, m.copies""",
 }
