@@ -244,9 +244,12 @@ def deduplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def without_copied_lines(docs: DataFrame, **options) -> DataFrame:
-    """The documents after line deduplication, with the columns of ``docs``.
+    """The documents after line deduplication, with the columns of ``docs``; ``n_chars``, if there is one, follows a changed text.
 
     A document that loses all its visible text this way goes: all of it stays elsewhere.
     """
     got = deduplicate_lines(docs, **options)
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        got = got.withColumn("n_chars", F.when(F.col("dropped_lines").isNotNull(), size).otherwise(F.col("n_chars")))
     return got.filter(F.col("dropped_lines").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*[f"`{c}`" for c in docs.columns])
