@@ -97,9 +97,8 @@ class Members:
                 self.out = self.inflate.decompress(data, PIECE)
             except zlib.error as e:
                 raise Damaged(f"damaged member: {e}") from e
-            rest = self.inflate.unused_data if self.inflate.eof else b""
-            self.position += len(data) - len(rest) - len(self.inflate.unconsumed_tail)
-            self.ahead = rest
+            self.ahead = self.inflate.unused_data if self.inflate.eof else b""
+            self.position += len(data) - len(self.ahead if self.inflate.eof else self.inflate.unconsumed_tail)
         got, self.out = self.out[:at_most], self.out[at_most:]
         return got
 
