@@ -1,0 +1,144 @@
+"""Classifier, rules, mix and BPE."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from ordermill.llm import bpe, mixing, quality, queries, rules
+from tests_path import SF01
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def test_rules_match_brute_force(docs, doc_rows, no_docs, spark):
+    extra = [(900 + i, t) for i, t in enumerate(["a b\na b\n\n x\na b\n x", " ".join(["r1 r2 r3 r4 r5 r6 r7 r8 r9"] * 9), "#*$%&|<> <>", " ".join("u%d" % i for i in range(40)) + " " + " ".join("u%d" % i for i in range(12))])]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
+    got = rules.quality_rules(table).collect()
+    want = []
+    for i, t in [(r[0], r[1]) for r in doc_rows] + extra:
+        t = t or ""
+        w = WORD.findall(t)
+        times = Counter(tuple(w[j:j + 8]) for j in range(len(w) - 7))
+        covered = {k for j in range(len(w) - 7) if times[tuple(w[j:j + 8])] > 1 for k in range(j, j + 8)}
+        full = [x for x in t.split("\n") if WORD.search(x)]
+        want.append((str(i), len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(full) - len(set(full)), len(covered), len(w) < 20 or 100 * len(covered) > 30 * len(w)))
+    assert sorted((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got) == sorted(want)
+    assert all(not r.kept for r in got if r.base_failed)
+    assert next(r for r in got if r.doc_id == 0).kept and not next(r for r in got if r.doc_id == 309).kept
+    assert rules.quality_rules(no_docs).collect() == []
+
+
+def test_compression_bands(spark):
+    rng = np.random.default_rng(1)
+    noise = "".join(chr(33 + c) for c in rng.integers(0, 94, 20000))
+    noise = " ".join(noise[i:i + 9] for i in range(0, len(noise), 9))
+    plain = " ".join("%s%s" % (a, b) for a, b in zip(rng.choice(["the", "and", "of", "to", "tion", "re", "est"], 3000), rng.choice(["er", "ing", "ou", "hand", "men", "ly"], 3000), strict=True))
+    cycle = " ".join(str(i % 1000) for i in range(30000))  # long windows never repeat within the first thousand words
+    got = {r.doc_id: r.kept for r in rules.quality_rules(spark.createDataFrame([(1, noise), (2, plain[:6000]), (3, cycle)], "doc_id long, text string")).collect()}
+    assert got == {1: False, 2: True, 3: False}
+
+
+def test_bpe_equals_the_library(spark, docs, doc_rows, no_docs):
+    path = queries.vocabulary()
+    lib = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    lib.no_truncation()
+    lib.no_padding()
+    extra = ["Don't I'LL <|endoftext|>x<|startoftext|>", "ΑΣ ΟΔΟΣ. İstanbul ǅ Σ", "é xᲀ \x1c\x1d a\u0085b​c 12³½Ⅷ", "a" * 500 + "!" * 300, "日本語 😀👍🏽", "don't's're'rex !'s ''s a's't'q'll'l",
+             "<|endoftext|>" * 3 + " <|END", "ﬁ Å Å ẞ", "thethe" * 40, "'", "''", "x'", "'s", "\n", "ab\ncd\r\n"]
+    table = docs.select("doc_id", "text", "n").union(spark.createDataFrame([(5000 + i, t, "") for i, t in enumerate(extra)], "doc_id long, text string, n string"))
+    got = bpe.decode_documents(bpe.encode_documents(table, path), path).collect()
+    want = []
+    for i, t in [(r[0], r[1]) for r in doc_rows] + [(5000 + i, t) for i, t in enumerate(extra)]:
+        ids = lib.encode(t or "", add_special_tokens=False).ids
+        want.append((str(i), len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), lib.decode(ids, skip_special_tokens=False)))
+    assert sorted((str(r.doc_id), r.n_tokens, hashlib.sha256(bytes(r.ids_le)).hexdigest(), r.decoded) for r in got) == sorted(want)
+    assert bpe.encode_documents(no_docs, path).collect() == []
+
+
+def test_classifier_on_held_out_documents(spark):
+    got = {r.doc_id: r for r in queries.op1_quality_score(spark, SF01).collect()}
+    labels = spark.read.parquet(f"{SF01}/labels.parquet").collect()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
+    held = [r for r in labels if got[r.doc_id].held_out]
+    assert sum(got[r.doc_id].predicted == r.quality for r in held) >= 0.93 * len(held)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
+
+
+def test_classifier_edge_cases(spark, docs, no_docs):
+    labels = spark.createDataFrame([(i, i % 2, None, "x") for i in range(30)] + [(None, 1, None, "x"), (3, None, None, "x"), (2, 1, None, "x")], "doc_id long, quality int, toxic int, score string")
+    got = quality.score_documents(docs, labels).collect()
+    assert len(got) == docs.count() and len({r.score for r in got if r.doc_id == 307}) == 1
+    again = quality.score_documents(docs.repartition(2), labels, limit=1000).collect()
+    assert sorted((str(r.doc_id), r.score) for r in got) == sorted((str(r.doc_id), r.score) for r in again)
+    assert {r.score for r in quality.score_documents(docs, labels.limit(0)).collect()} <= {0.4995, 0.5, 0.49975, 0.499750, 0.49975}
+    assert quality.score_documents(no_docs, labels).collect() == []
+
+
+def shares(sizes, weights=(1, 2, 3)):
+    """Targets by cutting and resharing until none is above its cap."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        rest = total - sum(3 * sizes[s] for s in capped)
+        w = sum(weight[s] for s in order if s not in capped)
+        target = {s: 3.0 * sizes[s] if s in capped else rest * weight[s] / w for s in order}
+        over = {s for s in order if s not in capped and target[s] > 3 * sizes[s]}
+        if not over:
+            return target
+        capped |= over
+
+
+def check_mix(rows, taken):
+    sizes = {}
+    for i, s, t in rows:
+        sizes[s] = sizes.get(s, 0) + len(WORD.findall(t or ""))
+    target = shares(sizes)
+    got = {}
+    for r in taken:
+        assert abs(r.target - target[r.source]) < 1e-6 and r.source_size == sizes[r.source]
+        got[r.source] = got.get(r.source, 0) + (r.size * r.rows if r.copy is not None else 0)
+    return target, got
+
+
+def test_mix_targets_and_shards(spark, docs, doc_rows, no_docs):
+    mix = mixing.mix(mixing.measured(docs), shards=4, block_words=300).collect()
+    again = mixing.mix(mixing.measured(docs.repartition(2)), shards=4, block_words=300).collect()
+    assert sorted(map(str, mix)) == sorted(map(str, again))
+    target, got = check_mix([(r[0], r[3], r[1]) for r in doc_rows], mix)
+    largest = max(len(WORD.findall(r[1] or "")) for r in doc_rows)
+    assert all(abs(got[s] - t) <= largest for s, t in target.items())
+    times = Counter((r.doc_id, r.size) for r in mix if r.copy is not None)
+    assert max(times.values()) <= 3
+    placed = [r for r in mix if r.copy is not None]
+    assert all(r.shard in range(4) and r.place is not None for r in placed) and len({(r.shard, r.place) for r in placed}) == len(placed)
+    out = mixing.mix_documents(docs, shards=4, block_words=300)
+    assert out.columns == docs.columns and out.count() == sum(r.rows for r in placed)
+    assert mixing.mix(mixing.measured(no_docs)).collect() == []
+    # one source that cannot reach its share
+    small = [(i, "a" if i < 2 else "b" if i < 50 else "c", "x " * 10) for i in range(120)]
+    table = spark.createDataFrame(small, "doc_id long, source string, text string")
+    target, got = check_mix(small, mixing.mix(mixing.measured(table)).collect())
+    assert target["a"] == 60.0 and got["a"] == 60 and abs(got["c"] - target["c"]) <= 10
+
+
+def test_splitting_tree_gives_exact_hypergeometric_quotas(spark):
+    start = spark.createDataFrame([([40, 7, 0, 100],)], "quotas array<long>")
+    got = {r.shard: r.quotas for r in mixing.split_quotas(start, 6).collect()}
+    assert sorted(got) == list(range(6)) and [sum(q) for q in zip(*got.values(), strict=True)] == [40, 7, 0, 100]
+    assert max(map(sum, got.values())) - min(map(sum, got.values())) <= 1
+    from pyspark.sql import functions as F
+
+    n, k, c = 50, 20, 17
+    draws = spark.range(20000).select(mixing.hypergeometric((F.col("id") + 0.5) / 20000, F.lit(n), F.lit(k), F.lit(c)).alias("x")).groupBy("x").count().collect()
+    from math import comb
+
+    for r in draws:  # inversion of evenly spread numbers gives the distribution itself
+        assert abs(r["count"] / 20000 - comb(k, r.x) * comb(n - k, c - r.x) / comb(n, c)) < 2e-4
+    edge = spark.range(1).select(*[mixing.hypergeometric(F.lit(u), F.lit(n), F.lit(k), F.lit(c)).alias(f"e{i}") for i, (u, n, k, c) in enumerate([(0.3, 0, 0, 0), (0.9, 5, 5, 3), (0.1, 5, 0, 3), (0.99, 5, 3, 5), (0.0, 7, 2, 0)])]).first()
+    assert list(edge) == [0, 3, 0, 3, 0]
