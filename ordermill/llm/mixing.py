@@ -59,13 +59,12 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
             .withColumn("rest_w", F.sum("w").over(every) - F.coalesce(F.sum("w").over(before), F.lit(0))))
     # Uncapped from the first source on whose cap holds its share; the shares only grow until there.
     fits = F.col("rest") * F.col("w") <= MAX_REPEAT * F.col("source_size") * F.col("rest_w")
-    level = (room.filter(fits).agg(F.min(F.struct(F.col("source_size") / F.col("w"), F.col("source").isNull(), "source", "rest", "rest_w")).alias("l")).select("l.rest", "l.rest_w")
-             .toDF("level", "level_w"))
-    share = F.col("w") * F.col("level")
+    first = room.filter(fits).agg(F.min(F.struct(F.col("source_size") / F.col("w"), F.col("source").isNull(), "source", "rest", "rest_w")).alias("l"))
+    level = first.select(F.struct("l.rest", "l.rest_w")).scalar()
+    share = F.col("w") * level["rest"]
     cap = MAX_REPEAT * F.col("source_size")
-    return per.join(F.broadcast(level)).select(  # one row
-        "source", "source_size",
-        F.when(share >= cap * F.col("level_w"), cap.cast("double")).otherwise(share.cast("double") / F.col("level_w").cast("double")).alias("target"))
+    return per.select("source", "source_size",
+                      F.when(share >= cap * level["rest_w"], cap.cast("double")).otherwise(share.cast("double") / level["rest_w"].cast("double")).alias("target"))
 
 
 def _running(units: DataFrame) -> DataFrame:
@@ -200,8 +199,10 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, shards: int = SHAR
     blocks = taken.select("source", "block").distinct()
     quota = blocks.groupBy("source").agg(F.count(F.lit(1)).alias("quota"))
     listed = quota.agg(F.sort_array(F.collect_list(F.struct(F.col("source").isNull().alias("last"), "source", "quota"))).alias("all"))
+    listed = written(listed, "mix-quotas")  # one row
     tree = split_quotas(listed.select(F.col("all.quota").alias("quotas")).filter("size(quotas) > 0"), shards, seed)
-    dealt = tree.join(F.broadcast(listed.select(F.col("all.source").alias("sources")))).select("shard", F.inline(F.arrays_zip("sources", "quotas")))  # one row
+    sources = listed.select(F.col("all.source")).scalar()
+    dealt = tree.select("shard", F.inline(F.arrays_zip(sources.alias("sources"), "quotas")))
     upto = F.sum("quotas").over(Window.partitionBy("sources").orderBy("shard"))
     runs = dealt.select("shard", "sources", (upto - F.col("quotas")).alias("lo"), (upto - 1).alias("hi")).filter("hi >= lo")
     # The k-th block of a source (its line is in random order) goes to the shard whose run holds k.

@@ -75,6 +75,31 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+#: The plan of the mix: targets, then large documents, then small ones, each by position in the order of the key.
+OP6_SQL = """
+WITH s AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+u AS (SELECT doc_id, source, size, count(*) AS n_rows, CAST(size * count(*) AS BIGINT) AS weight,
+  md5(concat_ws('|', '7', coalesce(CAST(doc_id AS VARCHAR), '-'), CAST(size AS VARCHAR))) AS key FROM s GROUP BY doc_id, source, size),
+p AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [1, 2, 3][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT) + 1] AS w FROM s GROUP BY source),
+r AS (SELECT *, sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER o, 0) AS rest, sum(w) OVER () - coalesce(sum(w) OVER o, 0) AS rest_w,
+    row_number() OVER (ORDER BY source_size / w, source NULLS LAST) AS place
+  FROM p WINDOW o AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT rest AS level, rest_w AS level_w FROM r WHERE rest * w <= 3 * source_size * rest_w ORDER BY place LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN w * level >= 3 * source_size * level_w THEN CAST(3 * source_size AS DOUBLE)
+    ELSE CAST(w * level AS DOUBLE) / CAST(level_w AS DOUBLE) END AS target FROM p, l),
+m AS (SELECT u.*, t.source_size, t.target, u.weight * 200 > t.source_size AS coarse FROM u JOIN t ON u.source IS NOT DISTINCT FROM t.source),
+line AS (SELECT *, CAST(coalesce(sum(weight) OVER (PARTITION BY source, coarse ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before,
+    CAST(sum(weight) OVER (PARTITION BY source, coarse) AS BIGINT) AS line_size FROM m),
+big AS (SELECT *, target * line_size / source_size AS goal FROM line WHERE coarse),
+big2 AS (SELECT *, CASE WHEN line_size > 0 THEN least(floor(goal / line_size), 3) ELSE 0 END AS passes FROM big),
+big3 AS (SELECT *, CAST(passes + CASE WHEN before + weight / 2.0 < goal - passes * line_size AND passes < 3 THEN 1 ELSE 0 END AS BIGINT) AS copies FROM big2),
+got AS (SELECT source, sum(copies * weight) AS large_taken FROM big3 GROUP BY source),
+small AS (SELECT line.*, greatest(target - coalesce(large_taken, 0), 0.0) AS goal FROM line LEFT JOIN got ON line.source IS NOT DISTINCT FROM got.source WHERE NOT coarse),
+small2 AS (SELECT *, CASE WHEN line_size > 0 THEN least(floor(goal / line_size), 3) ELSE 0 END AS passes FROM small),
+small3 AS (SELECT *, CAST(passes + CASE WHEN before + weight / 2.0 < goal - passes * line_size AND passes < 3 THEN 1 ELSE 0 END AS BIGINT) AS copies FROM small2),
+every AS (SELECT doc_id, size, n_rows, source_size, target, copies FROM big3 UNION ALL SELECT doc_id, size, n_rows, source_size, target, copies FROM small3)
+SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken FROM (SELECT *, unnest(range(n_rows)) FROM every)"""
+
 QUERIES = {
     "op1_quality_score": op1_quality_score,
     "op2_secret_scan": op2_secret_scan,
@@ -98,6 +123,7 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> last THEN last END AS refers_to, true AS verified
 FROM d""",
+    "op6_source_mix": OP6_SQL,
     "op5_chat_format": """
 WITH r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, count(*) OVER (PARTITION BY conv_id) AS n
   FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
