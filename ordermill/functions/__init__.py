@@ -5,6 +5,7 @@ from ordermill.functions.columns import (
     full_name,
     malformed_money,
     money,
+    out_of_range_money,
     parse_ts,
     product,
     status_is,
@@ -15,5 +16,5 @@ from ordermill.functions.columns import (
 
 __all__ = [
     "calendar_date", "ends_with_ci", "first_option", "full_name", "malformed_money",
-    "money", "parse_ts", "product", "status_is", "touch", "widen", "with_suffix",
+    "money", "out_of_range_money", "parse_ts", "product", "status_is", "touch", "widen", "with_suffix",
 ]

@@ -21,19 +21,29 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_WIDE = T.DecimalType(38, 10)
+
+
 def money(value: ColumnOrName, dtype: T.DecimalType = DEC) -> Column:
-    """Money text -> decimal(10,2); null or malformed -> 0 (O-15, D1).
+    """Money text -> decimal(10,2) (O-15, D1): null and malformed text -> 0, an
+    amount beyond the type -> null, so that it cannot pass for an amount of 0.
 
-    ``try_cast`` keeps ANSI mode from failing the job on bad text; the zero
-    literal carries the same type so ``coalesce`` does not widen the result.
+    The zero literal carries the same type so ``coalesce`` does not widen the result.
     """
-    return F.coalesce(_c(value).try_cast(dtype), F.lit(0).cast(dtype))
+    v = _c(value)
+    return F.when(v.try_cast(_WIDE).isNull(), F.lit(0).cast(dtype)).otherwise(v.try_cast(dtype))
+
+
+def malformed_money(value: ColumnOrName) -> Column:
+    """True where text is present but is no number."""
+    v = _c(value)
+    return v.isNotNull() & v.try_cast(_WIDE).isNull()
 
 
-def malformed_money(value: ColumnOrName, dtype: T.DecimalType = DEC) -> Column:
-    """True where text is present but is no valid amount (for DQ counts)."""
+def out_of_range_money(value: ColumnOrName, dtype: T.DecimalType = DEC) -> Column:
+    """True where the text is a number beyond the type."""
     v = _c(value)
-    return v.isNotNull() & v.try_cast(dtype).isNull()
+    return v.try_cast(_WIDE).isNotNull() & v.try_cast(dtype).isNull()
 
 
 def first_option(options: ColumnOrName, field: str = "value",

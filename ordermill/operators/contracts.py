@@ -16,8 +16,7 @@ from pyspark.sql import types as T
 from ordermill.schemas import Contract
 
 
-def _decimal_limit(dt: T.DecimalType) -> float:
-    return 10.0 ** (dt.precision - dt.scale)
+_TYPE_CHECKS = {T.ShortType: "smallint", T.LongType: "bigint", T.BooleanType: "boolean", T.TimestampType: "timestamp"}
 
 
 def column_checks(contract: Contract, columns: Sequence[str]) -> list[tuple[str, str]]:
@@ -32,19 +31,29 @@ def column_checks(contract: Contract, columns: Sequence[str]) -> list[tuple[str,
             out.append((f"max_length_{c.max_len}", c.name))
         if isinstance(c.dtype, T.DecimalType):
             out.append((f"numeric_{c.dtype.precision}_{c.dtype.scale}", c.name))
+        elif type(c.dtype) in _TYPE_CHECKS:
+            out.append((f"type_{_TYPE_CHECKS[type(c.dtype)]}", c.name))
     return out
 
 
-def violation(contract: Contract, check: str, column: str) -> F.Column:
-    """Row predicate: true where the row breaks ``check`` on ``column``."""
+def violation(contract: Contract, check: str, column: str, kind: T.DataType | None = None) -> F.Column:
+    """Row predicate: true where the row breaks ``check`` on ``column``.
+
+    Types are checked by a ``try_cast`` to the declared type: a value that does
+    not fit (after rounding to the declared scale) or cannot be read breaks it.
+    ``kind`` is the column's actual type.
+    """
     c = contract.column(column)
     col = F.col(column)
     if check == "not_null":
         return col.isNull()
     if check.startswith("max_length_"):
         return F.char_length(col.cast("string")) > c.max_len
-    if check.startswith("numeric_"):
-        return F.abs(col.cast("double")) >= F.lit(_decimal_limit(c.dtype))
+    if check.startswith(("numeric_", "type_")):
+        if kind == c.dtype or isinstance(kind, T.TimestampNTZType) and isinstance(c.dtype, T.TimestampType):
+            return F.lit(False)
+        # Through text: try_cast takes it to every declared type.
+        return col.isNotNull() & col.cast("string").try_cast(c.dtype).isNull()
     raise ValueError(check)
 
 
@@ -53,7 +62,7 @@ def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
     Columns of the contract absent from ``df`` are reported as ``missing_column``."""
     checks = column_checks(contract, df.columns)
     missing = [c.name for c in contract.columns if c.name not in df.columns]
-    aggs = [F.count_if(F.coalesce(violation(contract, k, c), F.lit(False))).alias(f"_v{i}")
+    aggs = [F.count_if(F.coalesce(violation(contract, k, c, df.schema[c].dataType), F.lit(False))).alias(f"_v{i}")
             for i, (k, c) in enumerate(checks)]
     counted = df.agg(*aggs, F.count(F.lit(1)).alias("_rows"))
     rows = [F.struct(F.lit(contract.name).alias("table_name"), F.lit(k).alias("check"),

@@ -34,12 +34,6 @@ def pending_keys(orders: DataFrame, status_col: str = "fulfillment_status",
     return orders.filter(status_is(status_col, status)).select(key)
 
 
-def order_lines(orders: DataFrame, items: DataFrame, key: str = "order_id",
-                order_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Inner equi-join of order items with order columns (O-31, O-33)."""
-    return items.join(orders.select(key, *order_cols), key, "inner")
-
-
 def _ordered(df: DataFrame, ordered: bool, keys: list[Column]) -> DataFrame:
     return df.orderBy(*keys) if ordered else df
 
@@ -60,15 +54,16 @@ def order_schedule(orders: DataFrame, items: DataFrame, products: DataFrame | No
     """Quantity per order date and product, all statuses (O-70).
 
     With ``products`` the lines are restricted to catalog SKUs (O-71). The
-    catalog is keyed by SKU, so the inner join of the SQL text is a semi join;
+    catalog is keyed by SKU, so the inner join of the SQL text is a semi join, and as the SKU is
+    a grouping key it is made on the groups, not on the lines;
     product columns are taken from the line item (D8).
     """
     dated = orders.select("order_id", calendar_date("created_on", zone).alias("ordered_on"))
     lines = items.join(dated, "order_id", "inner")
-    if products is not None:
-        lines = lines.join(products.select("product_sku"), "product_sku", "left_semi")
     agg = (lines.groupBy("ordered_on", "product_sku", "product_name", "product_color", "product_price")
            .agg(F.sum(widen("product_quantity")).alias("quantity")))
+    if products is not None:
+        agg = agg.join(products.select("product_sku"), "product_sku", "left_semi")
     agg = _ordered(agg, ordered, [F.col("ordered_on").asc(), F.col("product_price").desc(),
                                   "product_sku", "product_name", "product_color"])
     return agg.select("ordered_on", "product_sku", "product_name", "product_color", "quantity")
@@ -103,39 +98,20 @@ def cut_list(orders: DataFrame, items: DataFrame, products: DataFrame, bom: Data
 
 # --- shared base for the report bundle (O-09) --------------------------------
 
-def report_base(orders: DataFrame, items: DataFrame, zone: str | None = None,
-                status: str = PENDING) -> DataFrame:
-    """All three reports need items joined to orders once. This aggregate keeps
-    just what they group on: (date, pending flag, product, price) -> quantity.
-    It is far smaller than the line items, so it is the piece worth keeping."""
-    o = orders.select("order_id",
-                      calendar_date("created_on", zone).alias("ordered_on"),
-                      status_is("fulfillment_status", status).alias("is_pending"))
-    lines = items.join(o, "order_id", "inner")
-    return (lines.groupBy("ordered_on", "is_pending", "product_sku", "product_name",
-                          "product_color", "product_price")
+def pending_base(orders: DataFrame, items: DataFrame, status: str = PENDING) -> DataFrame:
+    """Pending quantity by SKU, name, color and price: what the pending report and the cut
+    list group on. The schedule groups by date over all orders and shares nothing with it."""
+    lines = items.join(pending_keys(orders, status=status), "order_id", "left_semi")
+    return (lines.groupBy("product_sku", "product_name", "product_color", "product_price")
             .agg(F.sum(widen("product_quantity")).alias("quantity")))
 
 
 def pending_from_base(base: DataFrame, ordered: bool = False) -> DataFrame:
-    agg = (base.filter("is_pending")
-           .groupBy("product_sku", "product_name", "product_color", "product_price")
-           .agg(F.sum("quantity").alias("quantity")))
-    agg = _ordered(agg, ordered, [F.col("product_price").desc(), "product_sku",
-                                  "product_name", "product_color"])
-    return agg.select("product_sku", "product_name", "product_color", "quantity")
-
-
-def schedule_from_base(base: DataFrame, ordered: bool = False) -> DataFrame:
-    agg = (base.groupBy("ordered_on", "product_sku", "product_name", "product_color", "product_price")
-           .agg(F.sum("quantity").alias("quantity")))
-    agg = _ordered(agg, ordered, [F.col("ordered_on").asc(), F.col("product_price").desc(),
-                                  "product_sku", "product_name", "product_color"])
-    return agg.select("ordered_on", "product_sku", "product_name", "product_color", "quantity")
+    rows = _ordered(base, ordered, [F.col("product_price").desc(), "product_sku", "product_name", "product_color"])
+    return rows.select("product_sku", "product_name", "product_color", "quantity")
 
 
 def cut_list_from_base(base: DataFrame, products: DataFrame, bom: DataFrame,
                        ordered: bool = False) -> DataFrame:
-    sku_totals = (base.filter("is_pending").groupBy("product_sku")
-                  .agg(F.sum("quantity").alias("sku_quantity")))
+    sku_totals = base.groupBy("product_sku").agg(F.sum("quantity").alias("sku_quantity"))
     return cut_list_from_sku_totals(sku_totals, products, bom, ordered)

@@ -62,6 +62,17 @@ def append_since_watermark(new_items: DataFrame, items: DataFrame, orders: DataF
     return rows.drop(carrier) if carrier else rows
 
 
+class KeyCollision(Exception):
+    pass
+
+
+def require_unique(rows: DataFrame, keys: Sequence[str], what: str = "rows") -> None:
+    """Raise if a key occurs twice (a grouped count; at most 20 keys reach the driver)."""
+    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(20).collect()
+    if twice:
+        raise KeyCollision(f"{what} repeat keys: {[tuple(r)[:-1] for r in twice]}")
+
+
 # --- upsert -----------------------------------------------------------------------
 
 def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
@@ -71,10 +82,12 @@ def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
 
     Faithful default: the staged row wins unconditionally (D18). With
     ``newer_by`` a staged row only replaces a target row that is not newer.
-    ``staged`` must be unique on ``keys`` (reduce with ``latest_per_key``).
+    ``staged`` must be unique on ``keys`` (reduce with ``latest_per_key``); a
+    repeated key raises, as in a database.
     Plan: one shuffle of both sides on the key for the anti join, then a union.
     """
     keys = list(keys)
+    require_unique(staged, keys, "staged rows")
     cols = target.columns
     staged = staged.select(*cols)
     if newer_by is None:
@@ -145,19 +158,17 @@ def with_defaults(rows: DataFrame, target_schema: T.StructType,
     return rows.select(*cols)
 
 
-class KeyCollision(Exception):
-    pass
-
-
 def insert_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str],
                 defaults: Mapping[str, object] | None = None, on_conflict: str = "error") -> DataFrame:
     """``INSERT`` with column defaults and a key-collision policy (O-60, D15).
 
     ``error``: raise naming the colliding keys (a key check is run);
-    ``ignore``: keep the existing row; ``replace``: the new row wins.
+    ``ignore``: keep the existing row; ``replace``: the new row wins. New rows
+    that repeat a key raise under every policy: none of them says which to take.
     """
     keys = list(keys)
     shaped = with_defaults(rows, target.schema, defaults)
+    require_unique(shaped, keys, "new rows")
     if on_conflict == "error":
         clash = shaped.select(*keys).join(target.select(*keys), keys, "left_semi")
         sample = clash.limit(20).collect()

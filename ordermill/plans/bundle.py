@@ -1,43 +1,36 @@
 """The weekly report set: three reports for one run date (O-09, O-08).
 
-All three reports group line items joined to their orders. The bundle joins
-items and orders once, aggregates to (date, pending flag, product, price) and
-keeps that aggregate (it is far smaller than the line items) for the three
-report queries; each report is then written to its dated folder.
+The pending report and the cut list share the pending quantities per product and price, which
+are written once; the schedule is a job of its own. Each report is written to its dated folder.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ordermill.operators import reports
-from ordermill.sources.sinks import write_report
+from ordermill.session import remove
+from ordermill.sources.sinks import write_report, write_staging
 
 # Report names used in folder and file names.
 REPORT_NAMES = ("pending_orders", "order_schedule", "cut_list")
 
 
-def build_reports(orders: DataFrame, items: DataFrame, products: DataFrame, bom: DataFrame,
-                  zone: str | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """(shared base, {name: report DataFrame}) — the base is persisted; unpersist it when done."""
-    base = reports.report_base(orders, items, zone=zone).persist(StorageLevel.MEMORY_AND_DISK)
-    out = {
-        "pending_orders": reports.pending_from_base(base, ordered=True),
-        "order_schedule": reports.schedule_from_base(base, ordered=True),
-        "cut_list": reports.cut_list_from_base(base, products, bom, ordered=True),
-    }
-    return base, out
-
-
 def run_report_bundle(orders: DataFrame, items: DataFrame, products: DataFrame, bom: DataFrame,
                       root: str, run_date: _dt.date | str, fmt: str = "csv",
                       zone: str | None = None) -> dict[str, str]:
     """Write the three reports under ``<root>/reports/YYYY/MM/DD/``; returns their paths."""
-    base, frames = build_reports(orders, items, products, bom, zone)
+    spark = items.sparkSession
+    work = f"{root.rstrip('/')}/work"
     try:
+        base = spark.read.parquet(write_staging(reports.pending_base(orders, items), f"{work}/pending"))
+        frames = {
+            "pending_orders": reports.pending_from_base(base, ordered=True),
+            "order_schedule": reports.order_schedule(orders, items, ordered=True, zone=zone),
+            "cut_list": reports.cut_list_from_base(base, products, bom, ordered=True),
+        }
         return {name: write_report(df, root, name, run_date, fmt=fmt) for name, df in frames.items()}
     finally:
-        base.unpersist()
+        remove(spark, work)

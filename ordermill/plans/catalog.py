@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 
 from ordermill import schemas
 from ordermill.operators import contracts, flatten, manifest, quality, reports, shape, tables
-from ordermill.plans import bundle, fixtures, nested
+from ordermill.plans import bundle, fixtures, ingest, migration, nested
 from ordermill.plans import shopviews as sv
 from ordermill.session import scratch_path
-from ordermill.sources import raw, sinks
+from ordermill.sources import raw, sinks, snapshots
 from ordermill.streaming import files as stream_files
 from ordermill.plans.present import present
 
@@ -40,56 +40,55 @@ def register(name: str, oracle: str | None = None):
 
 # --- reports ------------------------------------------------------------------
 
+_PENDING_KEYS = ("pending_keys", "SELECT order_id FROM shop_orders WHERE upper(fulfillment_status) = 'PENDING'")
+_DAYS = ("days", "SELECT order_id, date_trunc('day', created_on) AS ordered_on FROM shop_orders")
+
+
 @register("cut_list", sv.with_views("""
-SELECT bom.material_piece, bom.material_color,
-       CAST(SUM(CAST(bom.material_quantity AS BIGINT) * oi.product_quantity) AS BIGINT) AS total_material_needed,
-       p.product_name, p.product_color,
-       CAST(SUM(oi.product_quantity) AS BIGINT) AS total_products_ordered
-FROM shop_orders o
-JOIN shop_items oi ON o.order_id = oi.order_id
-JOIN shop_products p ON oi.product_sku = p.product_sku
-JOIN shop_bom bom ON p.product_sku = bom.product_sku
-WHERE lower(o.fulfillment_status) = 'pending'
-GROUP BY bom.material_piece, bom.material_color, p.product_name, p.product_color, p.product_sku
-""", "shop_orders", "shop_items", "shop_products", "shop_bom"))
+SELECT b.material_piece, b.material_color, t.product_name, t.product_color,
+       CAST(SUM(b.material_quantity) * any_value(t.ordered) AS BIGINT) AS total_material_needed,
+       CAST(COUNT(*) * any_value(t.ordered) AS BIGINT) AS total_products_ordered
+FROM shop_bom b, totals t
+WHERE t.product_sku = b.product_sku
+GROUP BY b.product_sku, b.material_piece, b.material_color, t.product_name, t.product_color
+""",
+    "shop_orders", "shop_items", "shop_products", "shop_bom", extra=(_PENDING_KEYS, ("totals", """
+  SELECT product_sku, c.product_name, c.product_color, q.ordered FROM shop_products c
+  NATURAL JOIN (SELECT product_sku, SUM(CAST(product_quantity AS BIGINT)) AS ordered FROM shop_items
+                WHERE order_id IN (FROM pending_keys) GROUP BY product_sku) q"""))))
 def q_cut_list(spark: SparkSession, d: str) -> DataFrame:
     return reports.cut_list(sv.shop_order_headers_df(spark, d), sv.shop_items_df(spark, d),
                             sv.shop_products_df(spark, d), sv.shop_bom_df(spark, d))
 
 
 @register("pending_orders", sv.with_views("""
-SELECT product_sku, product_name, product_color, CAST(SUM(product_quantity) AS BIGINT) AS quantity
-FROM shop_orders o JOIN shop_items oi ON o.order_id = oi.order_id
-WHERE lower(fulfillment_status) = 'pending'
-GROUP BY product_sku, product_name, product_color, product_price
-""", "shop_orders", "shop_items"))
+SELECT product_sku, product_name, product_color, quantity FROM (
+  SELECT product_sku, product_name, product_color, product_price, CAST(SUM(product_quantity) AS BIGINT) AS quantity
+  FROM shop_items WHERE order_id IN (FROM pending_keys) GROUP BY 1, 2, 3, 4)
+""", "shop_orders", "shop_items", extra=(_PENDING_KEYS,)))
 def q_pending_orders(spark: SparkSession, d: str) -> DataFrame:
     return reports.pending_orders(sv.shop_order_headers_df(spark, d), sv.shop_items_df(spark, d))
 
 
 @register("order_schedule", sv.with_views("""
-SELECT CAST(CAST(o.created_on AS DATE) AS TIMESTAMP) AS ordered_on,
-       oi.product_sku, oi.product_name, oi.product_color,
-       CAST(SUM(oi.product_quantity) AS BIGINT) AS quantity
-FROM shop_orders o JOIN shop_items oi ON o.order_id = oi.order_id
-GROUP BY CAST(o.created_on AS DATE), oi.product_sku, oi.product_name, oi.product_color, oi.product_price
-""", "shop_orders", "shop_items"))
+SELECT CAST(ordered_on AS TIMESTAMP) AS ordered_on, product_sku, product_name, product_color, quantity FROM (
+  SELECT ordered_on, product_sku AS product_sku, product_name, product_color, product_price, CAST(SUM(product_quantity) AS BIGINT) AS quantity
+  FROM shop_items JOIN days USING (order_id) GROUP BY 1, 2, 3, 4, 5)
+""", "shop_orders", "shop_items", extra=(_DAYS,)))
 def q_order_schedule(spark: SparkSession, d: str) -> DataFrame:
     return reports.order_schedule(sv.shop_order_headers_df(spark, d), sv.shop_items_df(spark, d))
 
 
 @register("order_schedule_catalog", sv.with_views("""
-SELECT CAST(CAST(o.created_on AS DATE) AS TIMESTAMP) AS ordered_on,
-       oi.product_sku, oi.product_name, oi.product_color,
-       CAST(SUM(oi.product_quantity) AS BIGINT) AS quantity
-FROM shop_orders o
-JOIN shop_items oi ON o.order_id = oi.order_id
-JOIN (SELECT * FROM shop_products WHERE p_partkey % 7 <> 0) p ON oi.product_sku = p.product_sku
-GROUP BY CAST(o.created_on AS DATE), oi.product_sku, oi.product_name, oi.product_color, oi.product_price
-""", "shop_orders", "shop_items", "shop_products"))
+SELECT CAST(ordered_on AS TIMESTAMP) AS ordered_on, product_sku, product_name, product_color, quantity FROM (
+  SELECT ordered_on, product_sku AS product_sku, product_name, product_color, product_price, CAST(SUM(product_quantity) AS BIGINT) AS quantity
+  FROM shop_items JOIN days USING (order_id) WHERE CAST(substr(product_sku, 3) AS BIGINT) % 7 <> 0 GROUP BY 1, 2, 3, 4, 5)
+""", "shop_orders", "shop_items", extra=(_DAYS,)))
 def q_order_schedule_catalog(spark: SparkSession, d: str) -> DataFrame:
-    return reports.order_schedule(sv.shop_order_headers_df(spark, d), sv.shop_items_df(spark, d),
-                                  products=sv.shop_products_df(spark, d, drop_every=7))
+    """Every seventh product of the lines is in no catalog."""
+    items = sv.shop_items_df(spark, d)
+    return reports.order_schedule(sv.shop_order_headers_df(spark, d), items.withColumn("product_sku", sv.unknown_sku(F.col("product_sku"))),
+                                  products=sv.shop_products_df(spark, d))
 
 
 # --- flatten and shaping (O-11..O-20, O-04) ---------------------------------------
@@ -110,7 +109,7 @@ FROM shop_orders o JOIN shop_items i ON o.order_id = i.order_id"""
 
 @register("flatten_order_lines", sv.with_views(_FLAT_SQL, "shop_orders", "shop_items"))
 def q_flatten_order_lines(spark: SparkSession, d: str) -> DataFrame:
-    return flatten.flatten_order_lines(nested.raw_documents(spark, d))
+    return flatten.flatten_order_lines(nested.landed_documents(spark, d))
 
 
 @register("flatten_keep_empty", sv.with_views(f"""
@@ -127,7 +126,7 @@ FROM shop_orders o WHERE NOT EXISTS (SELECT 1 FROM shop_items i WHERE i.order_id
 def q_flatten_keep_empty(spark: SparkSession, d: str) -> DataFrame:
     # product_quantity is null for orders without items; shown as double so
     # that both client libraries map the null the same way
-    lines = flatten.flatten_order_lines(nested.raw_documents(spark, d), keep_empty=True)
+    lines = flatten.flatten_order_lines(nested.landed_documents(spark, d), keep_empty=True)
     return lines.withColumn("product_quantity", F.col("product_quantity").cast("double"))
 
 
@@ -161,7 +160,7 @@ SELECT DISTINCT o.order_id, o.order_number, o.created_on, o.modified_on, o.fulfi
 FROM shop_orders o JOIN shop_items i ON o.order_id = i.order_id
 """, "shop_orders", "shop_items"))
 def q_order_headers(spark: SparkSession, d: str) -> DataFrame:
-    lines = flatten.flatten_order_lines(nested.raw_documents(spark, d))
+    lines = flatten.flatten_order_lines(nested.landed_documents(spark, d))
     return shape.distinct_rows(shape.order_headers(lines))
 
 
@@ -172,7 +171,7 @@ SELECT o.order_id, o.created_on, i.product_id, i.product_sku, i.product_name,
 FROM shop_orders o JOIN shop_items i ON o.order_id = i.order_id
 """, "shop_orders", "shop_items"))
 def q_order_items(spark: SparkSession, d: str) -> DataFrame:
-    return shape.order_items(flatten.flatten_order_lines(nested.raw_documents(spark, d)))
+    return shape.order_items(flatten.flatten_order_lines(nested.landed_documents(spark, d)))
 
 
 # --- de-duplication (O-46, O-47) ----------------------------------------------------
@@ -486,7 +485,7 @@ FROM (SELECT m.old_sku, m.new_sku,
       FROM ({_MAPPING_SQL}) m JOIN part p ON m.p_partkey = p.p_partkey) x
 """)
 def q_append_log_defaults(spark: SparkSession, d: str) -> DataFrame:
-    """Log rows with column defaults (reason, stamp) and serial ids (O-62, O-58)."""
+    """The log that the composed migration publishes: column defaults and serial ids (O-58, O-62, O-63)."""
     p = sv.table(spark, d, "part").select(
         F.concat(F.lit("SQ"), F.lpad(F.col("p_partkey").cast("string"), 7, "0")).alias("old_sku"),
         "p_partkey", "p_name")
@@ -494,58 +493,53 @@ def q_append_log_defaults(spark: SparkSession, d: str) -> DataFrame:
             .select("old_sku", "new_sku",
                     F.when(F.col("p_partkey") % 3 != 0,
                            F.concat(F.lit("E-commerce migration - "), F.col("p_name"))).alias("migration_reason")))
-    log_schema = T.StructType([T.StructField(c.name, c.dtype) for c in schemas.SKU_MIGRATION_LOG.columns
-                               if c.name != "migration_id"])
-    defaults = {"migration_reason": schemas.SKU_MIGRATION_LOG.column("migration_reason").default,
-                "migration_date": CHANGE_STAMP}
-    shaped = tables.with_defaults(rows, log_schema, defaults)
-    return shape.assign_ids(shaped, "migration_id", ["old_sku", "new_sku"], start=1).select(
-        "migration_id", "old_sku", "new_sku", "migration_date", "migration_reason")
+    root = scratch_path(spark, "migration")
+    migration.publish_seed(spark, root, sv.shop_products_df(spark, d), sv.shop_bom_df(spark, d).withColumn("modified_at", F.lit(sv.CATALOG_STAMP).cast("timestamp")))
+    migration.run_migration(root, _legacy_keys(spark, d), _new_products(spark, d), rows, None, "m1", at=CHANGE_STAMP, on_conflict="ignore")
+    return snapshots.current(spark, root).read(spark, "log")
 
 
 # --- data quality and contracts (O-36, O-48..O-52, O-64..O-68) ------------------------
 
-def _dq_oracle_rows() -> str:
-    parts = []
-    for r in quality.ORDER_LINE_RULES:
-        name = r.name.replace("'", "''")
-        if isinstance(r, quality.RowCount):
-            actual = "CAST(COUNT(*) AS DOUBLE)"
-            ok = f"COUNT(*) {r.op} {r.value}"
-        elif isinstance(r, quality.Completeness):
-            actual = f"CASE WHEN COUNT(*) = 0 THEN 1.0 ELSE CAST(COUNT({r.column}) AS DOUBLE) / COUNT(*) END"
-            ok = f"({actual}) {r.op} {r.value}"
-        else:
-            nn = f"COUNT({r.column})"
-            good = f"COUNT(*) FILTER (WHERE {r.column} {r.op} {r.value})"
-            actual = f"CASE WHEN {nn} = 0 THEN 1.0 ELSE CAST({good} AS DOUBLE) / {nn} END"
-            ok = f"({actual}) = 1.0"
-        parts.append(f"SELECT '{name}' AS rule, CASE WHEN {ok} THEN 'Passed' ELSE 'Failed' END AS outcome, "
-                     f"{actual} AS actual FROM dq_lines")
-    return "\nUNION ALL\n".join(parts)
+_DQ_SQL = """
+WITH m AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n, COUNT(order_id) / n AS has_id, COUNT(customer_email) / n AS has_mail,
+    COUNT(product_quantity) / n AS has_quantity, COUNT(product_price) / n AS has_price, COUNT(order_total) / n AS has_total,
+    SUM(CASE WHEN product_quantity > 0 THEN 1.0 ELSE 0.0 END) / COUNT(product_quantity) AS quantity_positive,
+    SUM(CASE WHEN product_price < 0 THEN 0.0 ELSE 1.0 END) / COUNT(product_price) AS price_not_negative FROM dq_lines)
+SELECT rule, CASE WHEN good THEN 'Passed' ELSE 'Failed' END AS outcome, CAST(actual AS DOUBLE) AS actual FROM (
+  SELECT 'RowCount > 0' AS rule, n > 0 AS good, n AS actual FROM m
+  UNION ALL SELECT 'Completeness "order_id" = 1.0', has_id = 1, has_id FROM m
+  UNION ALL SELECT 'Completeness "customer_email" = 1.0', has_mail = 1, has_mail FROM m
+  UNION ALL SELECT 'Completeness "product_quantity" = 1.0', has_quantity = 1, has_quantity FROM m
+  UNION ALL SELECT 'Completeness "product_price" = 1.0', has_price = 1, has_price FROM m
+  UNION ALL SELECT 'Completeness "order_total" = 1.0', has_total = 1, has_total FROM m
+  UNION ALL SELECT 'ColumnValues "product_quantity" > 0', quantity_positive = 1, quantity_positive FROM m
+  UNION ALL SELECT 'ColumnValues "product_price" >= 0', price_not_negative = 1, price_not_negative FROM m)
+"""
 
 
 _DQ_CTE = (("dq_lines", fixtures.DQ_LINES_SQL),)
 
 
-@register("dq_outcomes", sv.with_views(_dq_oracle_rows(), "shop_orders", "shop_items", extra=_DQ_CTE))
+@register("dq_outcomes", sv.with_views("SELECT * FROM (" + _DQ_SQL + ")", "shop_orders", "shop_items", extra=_DQ_CTE))
 def q_dq_outcomes(spark: SparkSession, d: str) -> DataFrame:
     return quality.evaluate_rules(fixtures.dq_lines(spark, d))
 
 
-def _dq_row_sql() -> str:
-    cases = []
-    for r in quality.ORDER_LINE_RULES:
-        if isinstance(r, quality.Completeness):
-            cases.append(f"CASE WHEN {r.column} IS NULL THEN '{r.name}' END")
-        elif isinstance(r, quality.ColumnValues):
-            cases.append(f"CASE WHEN {r.column} IS NOT NULL AND NOT ({r.column} {r.op} {r.value}) THEN '{r.name}' END")
-    n = " + ".join(f"(CASE WHEN ({c}) IS NOT NULL THEN 1 ELSE 0 END)" for c in cases)
-    return (f"SELECT order_id, product_sku, l_linenumber, CAST({n} AS INTEGER) AS n_failed, "
-            f"concat_ws('; ', {', '.join(cases)}) AS failed FROM dq_lines")
+_DQ_ROW_SQL = """
+SELECT order_id, product_sku, l_linenumber, CAST(len(f) AS INTEGER) AS n_failed, array_to_string(f, '; ') AS failed
+FROM (SELECT *, list_filter([
+    CASE WHEN order_id IS NULL THEN 'Completeness "order_id" = 1.0' END,
+    CASE WHEN customer_email IS NULL THEN 'Completeness "customer_email" = 1.0' END,
+    CASE WHEN product_quantity IS NULL THEN 'Completeness "product_quantity" = 1.0' END,
+    CASE WHEN product_price IS NULL THEN 'Completeness "product_price" = 1.0' END,
+    CASE WHEN order_total IS NULL THEN 'Completeness "order_total" = 1.0' END,
+    CASE WHEN product_quantity <= 0 THEN 'ColumnValues "product_quantity" > 0' END,
+    CASE WHEN product_price < 0 THEN 'ColumnValues "product_price" >= 0' END], lambda x: x IS NOT NULL) AS f FROM dq_lines)
+"""
 
 
-@register("dq_row_outcomes", sv.with_views(_dq_row_sql(), "shop_orders", "shop_items", extra=_DQ_CTE))
+@register("dq_row_outcomes", sv.with_views(_DQ_ROW_SQL, "shop_orders", "shop_items", extra=_DQ_CTE))
 def q_dq_row_outcomes(spark: SparkSession, d: str) -> DataFrame:
     rows = quality.row_outcomes(fixtures.dq_lines(spark, d))
     return rows.select("order_id", "product_sku", "l_linenumber",
@@ -553,40 +547,62 @@ def q_dq_row_outcomes(spark: SparkSession, d: str) -> DataFrame:
                        F.array_join("failed_rules", "; ").alias("failed"))
 
 
+# Written out per table: column -> the longest text, or the declared type; ! marks NOT NULL.
+_DECLARED = {
+    "orders": "order_id! 50, order_number! 50, created_on! timestamp, modified_on! timestamp, fulfilled_on timestamp, customer_email! 100, customer_name! 100, "
+              "shipping_city 100, shipping_state 50, shipping_country 50, fulfillment_status! 20, discount_total! numeric, refund_total! numeric, order_total! numeric",
+    "order_items": "order_id! 50, product_sku! 50, product_id! 50, product_name! 255, product_quantity! smallint, product_price! numeric, product_color 255",
+    "products": "product_sku! 50, product_id! 50, product_name! 255, product_color! 255, created_at timestamp, modified_at timestamp",
+    "bill_of_materials": "product_sku! 50, material_piece! 255, material_color! 50, material_quantity! smallint, is_fabric! boolean",
+    "sku_migration_log": "migration_id! bigint, old_sku 50, new_sku 50, migration_date timestamp, migration_reason 255",
+}
+_MISSING = {"order_items": ["order_item_id"], "bill_of_materials": ["material_id", "created_at", "modified_at"]}
+_UNIQUE = {"orders": ["order_id", "order_number"], "products": ["product_sku"], "sku_migration_log": ["migration_id"]}
+
+
 def _contract_sql() -> str:
-    cols = [c.name for c in schemas.ORDERS.columns]
-    parts = []
-    for check, col in contracts.column_checks(schemas.ORDERS, cols):
-        c = schemas.ORDERS.column(col)
-        if check == "not_null":
-            cond = f"{col} IS NULL"
-        elif check.startswith("max_length"):
-            cond = f"length(CAST({col} AS VARCHAR)) > {c.max_len}"
-        else:
-            cond = f"abs(CAST({col} AS DOUBLE)) >= 1e8"
-        parts.append(f"SELECT 'orders' AS table_name, '{check}' AS \"check\", '{col}' AS column_name, "
-                     f"CAST(COUNT(*) FILTER (WHERE {cond}) AS BIGINT) AS violations FROM bad")
-    for ks in [schemas.ORDERS.key, *schemas.ORDERS.unique]:
-        k = ", ".join(ks)
-        parts.append(f"SELECT 'orders', 'unique', '{','.join(ks)}', CAST(COUNT(*) AS BIGINT) FROM "
-                     f"(SELECT {k} FROM bad GROUP BY {k} HAVING COUNT(*) > 1) d")
-    return "\nUNION ALL\n".join(parts)
-
-
-@register("contract_violations", sv.with_views(_contract_sql(), "shop_orders",
-                                               extra=(("bad", fixtures.BAD_ORDERS_SQL),)))
+    kinds = {"numeric": ("numeric_10_2", "DECIMAL(10,2)"), "smallint": ("type_smallint", "SMALLINT"), "bigint": ("type_bigint", "BIGINT"),
+             "boolean": ("type_boolean", "BOOLEAN"), "timestamp": ("type_timestamp", "TIMESTAMP")}
+    rows = []
+
+    def add(table: str, check: str, column: str, cond: str) -> None:
+        rows.append(f"SELECT '{table}' AS table_name, '{check}' AS \"check\", '{column}' AS column_name, "
+                    f"CAST(COUNT(*) FILTER (WHERE {cond}) AS BIGINT) AS violations FROM bad_{table}")
+
+    for table, declared in _DECLARED.items():
+        for name, kind in (x.split() for x in declared.split(", ")):
+            column = name.rstrip("!")
+            if name.endswith("!"):
+                add(table, "not_null", column, f"{column} IS NULL")
+            if kind.isdigit():
+                add(table, f"max_length_{kind}", column, f"length({column}) > {kind}")
+            else:
+                add(table, kinds[kind][0], column, f"{column} IS NOT NULL AND TRY_CAST(CAST({column} AS VARCHAR) AS {kinds[kind][1]}) IS NULL")
+        rows += [f"SELECT '{table}', 'missing_column', '{c}', CAST(1 AS BIGINT)" for c in _MISSING.get(table, [])]
+        rows += [f"SELECT '{table}', 'unique', '{k}', CAST(COUNT(*) AS BIGINT) FROM (SELECT {k} FROM bad_{table} GROUP BY {k} HAVING COUNT(*) > 1)"
+                 for k in _UNIQUE.get(table, [])]
+    return "\nUNION ALL\n".join(rows)
+
+
+@register("contract_violations", sv.with_views(_contract_sql(), "shop_orders", "shop_items", "shop_products", "shop_bom", extra=tuple(
+    (f"bad_{name}", sql) for name, sql in fixtures.BAD_SQL.items())))
 def q_contract_violations(spark: SparkSession, d: str) -> DataFrame:
-    bad = fixtures.bad_orders(spark, d)
-    return contracts.check_contract(bad, schemas.ORDERS).unionByName(
-        contracts.key_violations(bad, schemas.ORDERS))
+    """All five tables with faults against their contracts, by declared type."""
+    out = None
+    for name, df in fixtures.bad_tables(spark, d).items():
+        contract = schemas.CONTRACTS[name]
+        found = contracts.check_contract(df, contract)
+        keys = contracts.key_violations(df, contract)
+        found = found if keys is None else found.unionByName(keys)
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 @register("fk_orphans", sv.with_views("""
 SELECT 'order_items->orders' AS relation, i.order_id AS key_value FROM shop_items i
 WHERE NOT EXISTS (SELECT 1 FROM shop_orders o WHERE o.order_id = i.order_id)
 UNION ALL
-SELECT 'bill_of_materials->products', b.product_sku FROM shop_bom b
-WHERE NOT EXISTS (SELECT 1 FROM shop_products p WHERE p.product_sku = b.product_sku AND p.p_partkey % 7 <> 0)
+SELECT 'bill_of_materials->products', 'ZZ' || b.product_sku FROM shop_bom b WHERE CAST(substr(b.product_sku, 3) AS BIGINT) % 7 = 0
 UNION ALL
 SELECT 'orders without items', o.order_id FROM shop_orders o
 WHERE NOT EXISTS (SELECT 1 FROM shop_items i WHERE i.order_id = o.order_id)
@@ -594,8 +610,8 @@ WHERE NOT EXISTS (SELECT 1 FROM shop_items i WHERE i.order_id = o.order_id)
 def q_fk_orphans(spark: SparkSession, d: str) -> DataFrame:
     orders = sv.shop_order_headers_df(spark, d)
     items = sv.shop_items_df(spark, d)
-    catalog = sv.shop_products_df(spark, d, drop_every=7)
-    bom = sv.shop_bom_df(spark, d)
+    catalog = sv.shop_products_df(spark, d)
+    bom = sv.shop_bom_df(spark, d).withColumn("product_sku", sv.unknown_sku(F.col("product_sku")))
 
     def tag(df: DataFrame, rel: str, col: str) -> DataFrame:
         return df.select(F.lit(rel).alias("relation"), F.col(col).alias("key_value"))
@@ -699,24 +715,87 @@ def q_date_partitioned_write(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+_HEADER_SQL = """SELECT DISTINCT order_id, order_number, created_on, modified_on, fulfilled_on, customer_email, customer_name, shipping_city,
+  shipping_state, shipping_country, fulfillment_status, discount_total, refund_total, order_total FROM"""
+_ITEM_SQL = f"""SELECT order_id, product_id, product_sku, product_name, product_quantity, product_price, product_color
+FROM (SELECT DISTINCT * FROM ({_FLAT_SQL}) f) x"""
+
+
+def _ingested(spark: SparkSession, d: str, max_files: int | None) -> ingest.Tables:
+    """The landed files through the composed stream job into new tables."""
+    root = scratch_path(spark, "ingest")
+    tables_ = ingest.Tables(f"{root}/tables")
+    # Customer mails and amounts of the test documents are all there; the rules gate.
+    ingest.run_stream(spark, nested.landed(spark, d), tables_, f"{root}/checkpoint", max_files_per_trigger=max_files)
+    return tables_
+
+
+@register("ingest_orders", sv.with_views(f"{_HEADER_SQL} ({_FLAT_SQL}) f", "shop_orders", "shop_items"))
+def q_ingest_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders after a stream run of two files a micro-batch over sub-folders whose files hold orders of all dates (O-01, O-02, O-56)."""
+    return ingest.read_orders(spark, _ingested(spark, d, 2)).drop("created_month", "part_value")
+
+
+@register("ingest_items", sv.with_views(_ITEM_SQL, "shop_orders", "shop_items"))
+def q_ingest_items(spark: SparkSession, d: str) -> DataFrame:
+    """Items of the same run: one high-water mark holds for all its micro-batches (O-55)."""
+    return ingest.read_items(spark, _ingested(spark, d, 2)).drop("order_item_id")
+
+
+@register("ingest_items_one_batch", sv.with_views(_ITEM_SQL, "shop_orders", "shop_items"))
+def q_ingest_items_one_batch(spark: SparkSession, d: str) -> DataFrame:
+    """Items of a run without a limit of files: the same rows."""
+    return ingest.read_items(spark, _ingested(spark, d, None)).drop("order_item_id")
+
+
+@register("ingest_moved_orders", sv.with_views(f"""
+SELECT order_id, CASE WHEN CAST(substr(order_id, 2) AS BIGINT) % 5 = 0 THEN created_on + INTERVAL 45 DAY ELSE created_on END AS created_on,
+  modified_on, CASE WHEN CAST(substr(order_id, 2) AS BIGINT) % 5 = 0 THEN 'MOVED' ELSE fulfillment_status END AS fulfillment_status
+FROM ({_HEADER_SQL} ({_FLAT_SQL}) f) h""", "shop_orders", "shop_items"))
+def q_ingest_moved_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs; in the second every fifth order was created 45 days later: each key stays once, in its new month (O-56)."""
+    tables_ = ingest.Tables(scratch_path(spark, "ingest"))
+    docs = nested.landed_documents(spark, d)
+    ingest.run_batch(docs, tables_, "run-1")
+
+    def moved(o):
+        later = F.date_format(F.timestamp_add("DAY", F.lit(45), F.to_timestamp(o["createdOn"])), nested.ISO)
+        hit = F.substring(o["id"], 2, 30).cast("long") % 5 == 0
+        return (o.withField("createdOn", F.when(hit, later).otherwise(o["createdOn"]))
+                .withField("fulfillmentStatus", F.when(hit, "MOVED").otherwise(o["fulfillmentStatus"])))
+
+    ingest.run_batch(docs.withColumn("result", F.transform("result", moved)), tables_, "run-2")
+    return ingest.read_orders(spark, tables_).select("order_id", "created_on", "modified_on", "fulfillment_status")
+
+
+@register("ingest_failed_outcomes", sv.with_views("""
+SELECT rule, outcome, CAST(actual AS DOUBLE) AS actual FROM (
+  SELECT 'RowCount > 0' AS rule, 'Passed' AS outcome, COUNT(*) AS actual FROM l
+  UNION ALL SELECT unnest(['Completeness "order_id" = 1.0', 'Completeness "customer_email" = 1.0', 'Completeness "product_quantity" = 1.0',
+    'Completeness "product_price" = 1.0', 'Completeness "order_total" = 1.0', 'ColumnValues "product_quantity" > 0',
+    'ColumnValues "product_price" >= 0', 'ColumnValues "out_of_range_amounts" = 0']), 'Passed', 1
+  UNION ALL SELECT 'ColumnValues "malformed_amounts" = 0', 'Failed', AVG(CASE WHEN o_orderkey % 13 = 0 THEN 0.0 ELSE 1.0 END) FROM l
+  UNION ALL SELECT 'ColumnValues "corrupt_record" = null', 'Passed', 0)
+""", "shop_orders", "shop_items", extra=(("l", "SELECT o.o_orderkey FROM shop_orders o JOIN shop_items i ON o.order_id = i.order_id"),)))
+def q_ingest_failed_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """The published outcomes of a run that the gate stops (every thirteenth order has a malformed amount) (O-30, O-53, O-54)."""
+    tables_ = ingest.Tables(scratch_path(spark, "ingest"))
+    try:
+        ingest.run_batch(nested.landed_documents(spark, d), tables_, "run-1", report_only=())
+    except quality.DataQualityError:
+        return quality.read_outcomes(spark, tables_.outcomes).select("rule", "outcome", "actual")
+    raise AssertionError("the gate let a failing run pass")
+
+
 @register("stream_ingest", sv.with_views(_FLAT_SQL, "shop_orders", "shop_items"))
 def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
-    """Raw documents landed as several JSON-lines files, picked up by the file
-    stream (checkpointed, archived after commit), flattened per micro-batch and
+    """The landed files picked up by the file stream (checkpointed), flattened per micro-batch and
     appended idempotently; the appended table is read back (O-02, O-01)."""
-    docs = nested.raw_documents(spark, d).select("doc_text")
-    landing = scratch_path(spark, "landing")
-    docs.repartition(4).write.text(landing)
-    out = scratch_path(spark, "flat")
-    stream = stream_files.stream_raw_orders(spark, landing, archive_dir=scratch_path(spark, "archive"),
-                                            max_files_per_trigger=1)
-    sink = stream_files.append_to_parquet(out)
-
-    def batch(df: DataFrame, batch_id: int) -> None:
-        sink(flatten.flatten_order_lines(df), batch_id)
-
-    stream_files.run_available(stream, batch, scratch_path(spark, "checkpoint"))
-    return spark.read.parquet(out).drop("batch_id")
+    root = scratch_path(spark, "stream")
+    stream = stream_files.stream_raw_orders(spark, nested.landed(spark, d), max_files_per_trigger=4)
+    sink = stream_files.append_to_parquet(f"{root}/flat")
+    stream_files.run_available(stream, lambda df, batch_id: sink(flatten.flatten_order_lines(df), batch_id), f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/flat").drop("batch_id")
 
 
 def _bundle_sql() -> str:

@@ -66,3 +66,41 @@ SELECT order_id,
        CASE WHEN o_orderkey % 401 = 0 THEN CAST(100000000 AS DECIMAL(12,2))
             ELSE CAST(order_total AS DECIMAL(12,2)) END AS order_total
 FROM shop_orders"""
+
+
+def bad_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The five tables with faults: ``bad_orders``, quantities beyond SMALLINT, prices beyond the
+    type only after rounding, texts that are no numbers or stamps, over-long names, missing keys."""
+    k = F.substring("product_sku", 3, 30).cast("long")
+    items = sv.shop_items_df(spark, d, with_keys=True).select(
+        "order_id", "product_sku", F.when(k % 19 == 0, F.lit(None)).otherwise(F.col("product_id")).alias("product_id"), "product_name",
+        F.when(k % 23 == 0, F.lit(40000)).otherwise(F.col("product_quantity").cast("int")).alias("product_quantity"),
+        F.when(k % 29 == 0, "99999999.999").when(k % 31 == 0, "abc").otherwise(F.col("product_price").cast("string")).alias("product_price"), "product_color")
+    products = sv.shop_products_df(spark, d).withColumn("product_name", F.when(k % 37 == 0, F.repeat("product_name", 20)).otherwise(F.col("product_name")))
+    products = products.withColumn("created_at", F.when(k % 41 == 0, "soon").otherwise("2025-01-01 00:00:00"))
+    bom = (sv.shop_bom_df(spark, d).withColumn("is_fabric", F.when(k % 43 == 0, "perhaps").otherwise(F.col("is_fabric").cast("string")))
+           .withColumn("material_quantity", F.when(k % 47 == 0, F.lit(-32769)).otherwise(F.col("material_quantity").cast("int"))))
+    log = sv.shop_products_df(spark, d).select(
+        F.floor(k / 2).cast("long").alias("migration_id"), F.when(k % 53 == 0, F.repeat(F.lit("S"), 51)).otherwise(F.col("product_sku")).alias("old_sku"),
+        F.col("product_sku").alias("new_sku"), F.col("modified_at").alias("migration_date"), F.lit(None).cast("string").alias("migration_reason"))
+    return {"orders": bad_orders(spark, d), "order_items": items, "products": products, "bill_of_materials": bom, "sku_migration_log": log}
+
+
+_K = "CAST(substr(product_sku, 3) AS BIGINT)"
+BAD_SQL = {
+    "orders": BAD_ORDERS_SQL,
+    "order_items": f"""
+SELECT order_id, product_sku, CASE WHEN {_K} % 19 = 0 THEN NULL ELSE product_id END AS product_id, product_name,
+  CASE WHEN {_K} % 23 = 0 THEN 40000 ELSE CAST(product_quantity AS INTEGER) END AS product_quantity,
+  CASE WHEN {_K} % 29 = 0 THEN '99999999.999' WHEN {_K} % 31 = 0 THEN 'abc' ELSE CAST(product_price AS VARCHAR) END AS product_price, product_color
+FROM shop_items""",
+    "products": f"""
+SELECT product_sku, product_id, CASE WHEN {_K} % 37 = 0 THEN repeat(product_name, 20) ELSE product_name END AS product_name, product_color,
+  CASE WHEN {_K} % 41 = 0 THEN 'soon' ELSE '2025-01-01 00:00:00' END AS created_at, TIMESTAMP '2025-01-01' AS modified_at FROM shop_products""",
+    "bill_of_materials": f"""
+SELECT product_sku, material_piece, material_color, CASE WHEN {_K} % 47 = 0 THEN -32769 ELSE CAST(material_quantity AS INTEGER) END AS material_quantity,
+  CASE WHEN {_K} % 43 = 0 THEN 'perhaps' ELSE CAST(is_fabric AS VARCHAR) END AS is_fabric FROM shop_bom""",
+    "sku_migration_log": f"""
+SELECT {_K} // 2 AS migration_id, CASE WHEN {_K} % 53 = 0 THEN repeat('S', 51) ELSE product_sku END AS old_sku, product_sku AS new_sku,
+  TIMESTAMP '2025-01-01' AS migration_date, CAST(NULL AS VARCHAR) AS migration_reason FROM shop_products""",
+}

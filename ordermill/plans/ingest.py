@@ -1,26 +1,28 @@
 """Raw documents -> order and item tables: the composed ingest job (section 3.1).
 
-Per batch: flatten once and keep the flat lines for the three consumers (DQ
-aggregate, order headers, line items); gate on the rules; de-duplicate;
-upsert orders into the month partitions the batch touches; append items
-newer than the high-water mark as a new committed segment. All outputs are keyed by the
-batch id, so a replayed batch changes nothing.
+A run flattens its documents once; publishes the outcomes of all rules and then gates
+on them; upserts orders by key and appends the items newer than the high-water
+mark, which is taken once per run over all its documents. Orders and items
+become visible together by one pointer; a run id that is done changes nothing.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.operators import quality
 from ordermill.operators.flatten import flatten_order_lines
-from ordermill.operators.quality import ORDER_LINE_RULES, append_outcomes, dq_gate
 from ordermill.operators.shape import assign_ids, distinct_rows, latest_per_key, order_headers, order_items
 from ordermill.operators.tables import newer_than, upsert, upsert_counts
 from ordermill.schemas import WATERMARK_FLOOR
-from ordermill.sources import segments, versioned
+from ordermill.session import remove, require_utc
+from ordermill.sources import snapshots
+from ordermill.sources.raw import CORRUPT
+from ordermill.sources.sinks import write_staging
+from ordermill.streaming.files import append_to_parquet, run_available, stream_raw_orders
 
 
 @dataclass
@@ -29,10 +31,6 @@ class Tables:
 
     root: str
 
-    @property
-    def orders(self) -> str:
-        return f"{self.root}/orders"
-
     @property
     def items(self) -> str:
         return f"{self.root}/order_items"
@@ -41,77 +39,147 @@ class Tables:
     def outcomes(self) -> str:
         return f"{self.root}/dq_outcomes"
 
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/quarantine"
 
-def _empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:
-    return spark.createDataFrame([], df.schema)
+    @property
+    def landed(self) -> str:
+        return f"{self.root}/landed"
 
 
-# Orders are kept per month of creation: a batch mostly touches recent
-# months, so the upsert reads and rewrites those months only. ``created_on``
-# of an order must not change between snapshots (it is its creation time).
+# Orders are kept per month of creation, so that an upsert reads and rewrites only
+# the months in which its orders are or were.
 PART_COL = "created_month"
 ITEM_ORDER = ["order_id", "product_sku", "product_id", "product_price", "product_quantity",
               "product_name", "product_color"]
+#: Rules of a run: those of the lines, and amounts and documents that cannot be read.
+RULES = (*quality.ORDER_LINE_RULES, quality.ColumnValues("out_of_range_amounts", "=", 0), quality.ColumnValues("malformed_amounts", "=", 0))
+CORRUPT_RULE = f'ColumnValues "{CORRUPT}" = null'
+#: Reported but not gated on: malformed amounts count as 0 (D1).
+REPORT_ONLY = (RULES[-1].name,)
+
+
+def read_orders(spark: SparkSession, tables: Tables) -> DataFrame | None:
+    """Current orders."""
+    now = snapshots.current(spark, tables.root)
+    return now.read(spark, "orders") if now else None
+
 
+def read_items(spark: SparkSession, tables: Tables) -> DataFrame | None:
+    """Items of all published runs."""
+    done = snapshots.pointers(spark, tables.root)
+    if done is None:
+        return None
+    return spark.read.parquet(tables.items).join(done.select("run_id").distinct(), "run_id", "left_semi").drop("run_id")
 
-def run_batch(raw: DataFrame, tables: Tables, batch_id: int, dedupe: str = "rows",
-              rules=ORDER_LINE_RULES) -> dict:
-    """Process one batch of raw documents; returns run metrics.
 
-    Cost is proportional to the batch and to the months it touches, not to
-    the tables: the order upsert reads only touched month partitions, and
-    the item high-water mark and next surrogate id come from the item commit
-    log (each append records its row count and largest ``created_on``).
+def _months(df: DataFrame) -> list[str]:
+    """Months of a batch: a short list."""
+    return sorted(r[0] for r in df.select(PART_COL).distinct().collect())
+
+
+def run_batch(raw: DataFrame, tables: Tables, run_id: str, dedupe: str = "rows", by_item_id: bool = False,
+              rules=RULES, report_only=REPORT_ONLY, accept_corrupt: bool = False) -> dict:
+    """Process one run of raw documents; returns its metrics.
+
+    ``dedupe`` as in ``flatten_order_lines``. ``by_item_id`` tells lines of one order apart by the
+    source's item id, so that two equal items are kept; without it equal lines are one (D4)
+    and ``lines_collapsed`` counts what that drops.
+    Unreadable documents (``raw`` with the corrupt-record column) go to the quarantine
+    and fail the run unless ``accept_corrupt``. A run that fails publishes its outcomes and nothing else.
     """
     spark = raw.sparkSession
-    version = f"b{batch_id:012d}"
-    flat = flatten_order_lines(raw, dedupe=dedupe).persist(StorageLevel.MEMORY_AND_DISK)
+    require_utc(spark)
+    known = snapshots.current(spark, tables.root, run_id)
+    if known is not None:
+        return {k: int(v) for k, v in known.facts.items() if k != "mark"}
+    work = f"{tables.root}/work/{run_id}"
     try:
-        outcomes = dq_gate(flat, rules)
-        append_outcomes(outcomes, tables.outcomes, run_id=f"batch-{batch_id}")
-        lines = distinct_rows(flat)
-
-        headers = order_headers(lines)
-        staged = latest_per_key(headers, ["order_id"], ["modified_on"],
-                                tie_break=[F.col("order_number").desc(), F.col("order_total").desc()])
-        staged = staged.withColumn(
-            PART_COL, F.coalesce(F.date_format("created_on", "yyyy-MM"), F.lit("unknown")))
-        # distinct months of one batch: a short list
-        touched = [r[0] for r in staged.select(PART_COL).distinct().collect()]
-        target = versioned.read_parts(spark, tables.orders, touched)
-        if target is None:
-            target = _empty_like(spark, staged)
-        counts = upsert_counts(target, staged, ["order_id"]).first().asDict()
-        new_orders = upsert(target, staged, ["order_id"])
-        versioned.publish_parts(new_orders, tables.orders, PART_COL, version, touched)
-
-        appended_rows, mark = segments.log_summary(spark, tables.items)
-        incoming = order_items(lines)
-        fresh = newer_than(incoming, F.lit(mark or WATERMARK_FLOOR).cast("timestamp"))
-        fresh = assign_ids(fresh, "order_item_id", ITEM_ORDER, start=appended_rows + 1)
-        counts["items_appended"] = segments.append_segment(
-            fresh, tables.items, version, mark_col="created_on", drop=("created_on",))
+        flat = spark.read.parquet(write_staging(flatten_order_lines(raw, dedupe=dedupe, keep_item_id=True, amount_checks=True), f"{work}/flat"))
+        outcomes = quality.evaluate_rules(flat, rules)
+        if CORRUPT in raw.columns:
+            # Spark reads the corrupt-record column of raw files only along with others.
+            bad = raw.filter(F.col(CORRUPT).isNotNull()).select("source_file", CORRUPT, F.size("result").alias("orders_read"))
+            n_bad = spark.read.parquet(write_staging(bad, f"{tables.quarantine}/run_id={run_id}")).count()
+            outcomes = outcomes.unionByName(spark.createDataFrame(
+                [(CORRUPT_RULE, "Failed" if n_bad else "Passed", float(n_bad))], "rule string, outcome string, actual double"))
+        # Evaluated once: published first, then gated on what was published.
+        published = quality.append_outcomes(outcomes, tables.outcomes, run_id)
+        quality.gate(published, ignore=(*report_only, *((CORRUPT_RULE,) if accept_corrupt else ())))
+
+        counts, paths, facts = _change(flat, tables, run_id, work, by_item_id)
+        snapshots.commit(spark, tables.root, run_id, paths, facts)
         return counts
     finally:
-        flat.unpersist()
-
-
-def read_orders(spark: SparkSession, tables: Tables) -> DataFrame | None:
-    """Current orders table (latest version of every month)."""
-    return versioned.read_parts(spark, tables.orders)
+        remove(spark, work)
+
+
+def _change(flat: DataFrame, tables: Tables, run_id: str, work: str, by_item_id: bool) -> tuple[dict, dict, dict]:
+    """Write the orders and items of a run; returns metrics, folders and facts for the pointer."""
+    spark = flat.sparkSession
+    before = snapshots.current(spark, tables.root) or snapshots.Snapshot("", {}, {})
+    plain = flat.drop("out_of_range_amounts", "malformed_amounts")
+    lines = distinct_rows(plain)
+    if not by_item_id:
+        lines = distinct_rows(plain.drop("line_item_id"))
+    headers = order_headers(lines)
+    # The last columns make the order total: rows that tie are equal.
+    rest = [F.col(c).desc_nulls_last() for c in headers.columns if c not in ("order_id", "modified_on")]
+    staged = latest_per_key(headers, ["order_id"], [F.col("modified_on").desc_nulls_last()], tie_break=rest)
+    staged = staged.withColumn(PART_COL, F.coalesce(F.date_format("created_on", "yyyy-MM"), F.lit("unknown")))
+    staged = spark.read.parquet(write_staging(staged, f"{work}/staged"))
+
+    old = before.read(spark, "orders")
+    # Months that orders come to, and months that they leave.
+    touched = set(_months(staged))
+    if old is not None:
+        touched |= set(_months(old.select("order_id", PART_COL).join(staged.select("order_id"), "order_id", "left_semi")))
+    paths = dict(before.paths)
+    here = [paths.pop(f"orders/{m}") for m in sorted(touched) if f"orders/{m}" in paths]
+    target = spark.read.parquet(*here) if here else staged.limit(0)
+    counts = upsert_counts(target, staged, ["order_id"]).first().asDict()
+    folder = f"{tables.root}/orders/run={run_id}"
+    new = upsert(target, staged, ["order_id"]).withColumn("part_value", F.col(PART_COL))
+    new.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part_value").parquet(folder)
+    paths |= {f"orders/{m}": f"{folder}/part_value={m}" for m in _months(spark.read.parquet(folder))} if counts["affected"] else {}
+
+    mark = before.facts.get("mark", WATERMARK_FLOOR)
+    done = int(before.facts.get("items_total", 0))
+    fresh = newer_than(order_items(lines), F.lit(mark).cast("timestamp"))
+    fresh = assign_ids(fresh, "order_item_id", ITEM_ORDER, start=done + 1)
+    items = spark.read.parquet(write_staging(fresh, f"{work}/items"))
+    summary = items.agg(F.count(F.lit(1)).alias("n"), F.max("created_on").cast("string").alias("mark")).first()
+    write_staging(items.drop("created_on"), f"{tables.items}/run_id={run_id}")
+    counts["items_appended"] = summary["n"]
+    counts["lines_collapsed"] = flat.count() - lines.count()
+    facts = {k: str(v) for k, v in counts.items()} | {"items_total": str(done + summary["n"]), "mark": max(mark, summary["mark"] or mark)}
+    return counts, paths, facts
 
 
 def run_stream(spark: SparkSession, landing: str, tables: Tables, checkpoint: str,
-               archive_dir: str | None = None, dedupe: str = "rows",
-               max_files_per_trigger: int | None = None) -> None:
+               archive_dir: str | None = None, max_files_per_trigger: int | None = None, **options) -> dict | None:
     """Process every raw file landed since the last run, once, then stop (O-02).
 
-    The file source's checkpoint records processed files; each micro-batch runs
-    ``run_batch`` under its batch id, whose outputs are versioned by that id,
-    so a batch replayed after a failure changes nothing.
+    The stream only picks the files up: its micro-batches land their documents
+    under the batch id. All documents that no published run has taken are then one run, with
+    one high-water mark, so how many files a micro-batch holds does not matter,
+    and what a failed run left is taken up by the next. Returns the run's metrics, None if nothing is pending.
     """
-    from ordermill.streaming.files import run_available, stream_raw_orders
-
-    stream = stream_raw_orders(spark, landing, archive_dir=archive_dir,
-                               max_files_per_trigger=max_files_per_trigger)
-    run_available(stream, lambda df, batch_id: run_batch(df, tables, batch_id, dedupe=dedupe), checkpoint)
+    stream = stream_raw_orders(spark, landing, archive_dir=archive_dir, max_files_per_trigger=max_files_per_trigger)
+    run_available(stream, append_to_parquet(tables.landed), checkpoint)
+    now = snapshots.current(spark, tables.root)
+    taken = int(now.run_id.rsplit("-", 1)[1]) if now else -1
+    try:
+        landed = spark.read.parquet(tables.landed).filter(F.col("batch_id") > taken)
+    except Exception as e:  # nothing was ever landed
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+    last = landed.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return None
+    return run_batch(landed.drop("batch_id"), tables, f"through-{last}", **options)
+
+
+__all__ = ["Tables", "run_batch", "run_stream", "read_orders", "read_items", "RULES", "REPORT_ONLY"]

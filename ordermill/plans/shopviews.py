@@ -11,8 +11,6 @@ as SQL text for the DuckDB oracle. They are written independently on purpose.
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,34 +45,9 @@ BOM_PIECES_SCHEMA = T.StructType([
 CATALOG_STAMP = "2025-01-01 00:00:00"
 
 
-# Fact tables whose scan is spread over the cores when the input has fewer
-# files than the session has task slots (see ``table``).
-FACT_TABLES = ("lineitem", "orders")
-
-
-# One resolved DataFrame per (session, table path), like a catalog entry: the
-# given tables are fixed read-only inputs, so the file listing and footer read
-# happen once per session. Only the lazy plan is kept, never data.
-_RESOLVED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. A fact table stored as fewer files than task slots (the
-    test tables are one file with one row group, which Spark cannot split) is
-    redistributed round-robin right after the scan, so the work before the
-    first shuffle uses every core. Column pruning and filters still apply
-    below the redistribution; with many input files nothing is added."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    known = _RESOLVED.setdefault(spark, {})
-    if path in known:
-        return known[path]
-    df = spark.read.parquet(path)
-    if name in FACT_TABLES:
-        slots = spark.sparkContext.defaultParallelism
-        if len(df.inputFiles()) < slots:
-            df = df.repartition(slots)
-    known[path] = df
-    return df
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _color(key: F.Column, default: str) -> F.Column:
@@ -144,12 +117,9 @@ def shop_items_df(spark: SparkSession, sf_dir: str, with_keys: bool = False) ->
     return j.select(*cols)
 
 
-def shop_products_df(spark: SparkSession, sf_dir: str, drop_every: int | None = None) -> DataFrame:
-    """Catalog from ``part``; ``drop_every=n`` leaves out every n-th part key,
-    giving a catalog that misses some ordered SKUs (O-71)."""
+def shop_products_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog from ``part``."""
     p = table(spark, sf_dir, "part")
-    if drop_every:
-        p = p.filter(F.col("p_partkey") % drop_every != 0)
     k = F.col("p_partkey")
     stamp = F.lit(CATALOG_STAMP).cast("timestamp")
     return p.select(
@@ -166,6 +136,11 @@ def bom_pieces_df(spark: SparkSession) -> DataFrame:
     return literal_table(spark, BOM_PIECES, BOM_PIECES_SCHEMA)
 
 
+def unknown_sku(sku: F.Column) -> F.Column:
+    """The SKU, or for every seventh part key one that no catalog has."""
+    return F.when(F.substring(sku, 3, 7).cast("long") % 7 == 0, F.concat(F.lit("ZZ"), sku)).otherwise(sku)
+
+
 def shop_bom_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     # The piece list is a literal of a few rows: a proven size bound, so it is broadcast.

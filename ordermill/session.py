@@ -74,9 +74,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/ordermill-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file handling in tests."""
-    return path[5:] if path.startswith("file:") else path
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, in whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def require_utc(spark: SparkSession) -> None:
@@ -85,4 +87,4 @@ def require_utc(spark: SparkSession) -> None:
         raise RuntimeError(f"session time zone must be UTC, got {tz}")
 
 
-__all__ = ["get_session", "shared_dir", "scratch_path", "local_path", "require_utc", "DEFAULT_CONF"]
+__all__ = ["get_session", "shared_dir", "scratch_path", "remove", "require_utc", "DEFAULT_CONF"]
