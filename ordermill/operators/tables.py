@@ -222,6 +222,7 @@ def migration_counts(products: DataFrame, log: DataFrame, name_col: str = "produ
                      suffix: str = LEGACY_SUFFIX) -> DataFrame:
     """Validation counts of the catalog migration: legacy, new, log entries (O-63, O-29)."""
     like = F.col(name_col).endswith(suffix)
+    # The names of the three classes.
     per_class = class_counts(products, {"Legacy products": like, "New products": ~like})
     entries = log.agg(F.count(F.lit(1)).alias("count")).select(F.lit("Migration entries").alias("category"), "count")
     return per_class.unionByName(entries)

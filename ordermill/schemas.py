@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+# The field names of the source's documents.
 MONEY = T.StructType([
     T.StructField("currency", T.StringType()),
     T.StructField("value", T.StringType()),

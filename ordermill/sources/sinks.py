@@ -3,7 +3,7 @@
 Writes go to Parquet (or CSV for reports) directories. A file-based target is
 written as a whole new directory and never rewritten in place: overwriting the
 Parquet path being read fails (D19), so table changes go through
-``ordermill.sources.versioned``.
+``ordermill.sources.snapshots``.
 """
 
 from __future__ import annotations
@@ -40,7 +40,8 @@ def with_date_parts(df: DataFrame, date_col: Column | str | None = None,
     if date_col is not None:
         d = F.to_date(F.col(date_col) if isinstance(date_col, str) else date_col)
     else:
-        d = F.lit(str(run_date or _dt.date.today())).cast("date")
+        # without a run date: the session's current day (the session is in UTC)
+        d = F.current_date() if run_date is None else F.lit(str(run_date)).cast("date")
     return (df.withColumn("year", F.date_format(d, "yyyy"))
               .withColumn("month", F.date_format(d, "MM"))
               .withColumn("day", F.date_format(d, "dd")))

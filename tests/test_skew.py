@@ -72,7 +72,8 @@ def test_hot_order_documents_are_bounded_and_whole(spark):
     stats = entries.groupBy("order_id").agg(F.count(F.lit(1)).alias("entries"),
                                             F.sum(F.size("lineItems")).alias("items"),
                                             F.max(F.size("lineItems")).alias("largest"))
-    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",  # as if large
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
