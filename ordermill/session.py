@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -52,7 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Read from the session; only a local session without one gets a fresh
-    temporary folder (tests). A cluster without it is a configuration error,
+    temporary folder (tests), which goes when the process ends. A cluster without it is a configuration error,
     because a machine-local folder is not visible to other executors.
     """
     sc = spark.sparkContext
@@ -63,6 +65,7 @@ def shared_dir(spark: SparkSession) -> str:
             if not _is_local(spark):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             d = tempfile.mkdtemp(prefix="ordermill-ckpt-")
+            atexit.register(shutil.rmtree, d, ignore_errors=True)
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d
