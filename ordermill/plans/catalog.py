@@ -798,25 +798,33 @@ def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{root}/flat").drop("batch_id")
 
 
-def _bundle_sql() -> str:
-    def sub(name: str, col: str) -> str:
-        return (f"SELECT '{name}' AS report, CAST(COUNT(*) AS BIGINT) AS row_count, "
-                f"CAST(SUM({col}) AS BIGINT) AS quantity_total FROM ({ORACLE[name]}) x")
-    return "\nUNION ALL\n".join([sub("pending_orders", "quantity"), sub("order_schedule", "quantity"),
-                                 sub("cut_list", "total_material_needed")])
-
-
-@register("report_bundle", _bundle_sql())
+@register("report_bundle", sv.with_views("""
+SELECT 'pending_orders' AS report, row_number() OVER (ORDER BY product_price DESC, product_sku, product_name, product_color) AS place,
+  product_sku AS label, CAST(SUM(product_quantity) AS BIGINT) AS quantity
+FROM shop_items WHERE order_id IN (FROM pending_keys) GROUP BY product_sku, product_name, product_color, product_price
+UNION ALL
+SELECT 'order_schedule', row_number() OVER (ORDER BY ordered_on, product_price DESC, product_sku, product_name, product_color),
+  strftime(ordered_on, '%Y-%m-%d') || ' ' || product_sku, CAST(SUM(product_quantity) AS BIGINT)
+FROM shop_items JOIN days USING (order_id) GROUP BY ordered_on, product_sku, product_name, product_color, product_price
+UNION ALL
+SELECT 'cut_list', row_number() OVER (ORDER BY b.material_piece, b.material_color, t.product_name, t.product_color, t.product_sku),
+  b.material_piece || ' ' || b.material_color || ' ' || t.product_name, CAST(SUM(b.material_quantity) * any_value(t.ordered) AS BIGINT)
+FROM shop_bom b JOIN (
+  SELECT c.product_sku, c.product_name, c.product_color, SUM(CAST(i.product_quantity AS BIGINT)) AS ordered
+  FROM shop_products c JOIN shop_items i ON c.product_sku = i.product_sku WHERE i.order_id IN (FROM pending_keys) GROUP BY 1, 2, 3) t
+  ON b.product_sku = t.product_sku
+GROUP BY b.material_piece, b.material_color, t.product_name, t.product_color, t.product_sku
+""", "shop_orders", "shop_items", "shop_products", "shop_bom", extra=(_PENDING_KEYS, _DAYS)))
 def q_report_bundle(spark: SparkSession, d: str) -> DataFrame:
-    """The three reports written as dated CSV files from one shared join, then
-    read back and summarized (O-09, O-08)."""
-    root = scratch_path(spark, "reports")
-    paths = bundle.run_report_bundle(sv.shop_order_headers_df(spark, d), sv.shop_items_df(spark, d),
-                                     sv.shop_products_df(spark, d), sv.shop_bom_df(spark, d),
-                                     root, RUN_DATE)
-    qty = {"pending_orders": "quantity", "order_schedule": "quantity", "cut_list": "total_material_needed"}
-    frames = [spark.read.option("header", True).csv(paths[n])
-              .agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col(c).cast("bigint")).alias("quantity_total"))
-              .select(F.lit(n).alias("report"), "row_count", "quantity_total")
-              for n, c in qty.items()]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+    """The three reports as dated files, read back row by row with their place in the report (O-08, O-09, O-43..O-45)."""
+    paths = bundle.run_report_bundle(sv.shop_order_headers_df(spark, d), sv.shop_items_df(spark, d), sv.shop_products_df(spark, d), sv.shop_bom_df(spark, d),
+                                     scratch_path(spark, "reports"), RUN_DATE, fmt="parquet")
+    shown = {"pending_orders": (F.col("product_sku"), "quantity"),
+             "order_schedule": (F.concat_ws(" ", F.date_format("ordered_on", "yyyy-MM-dd"), "product_sku"), "quantity"),
+             "cut_list": (F.concat_ws(" ", "material_piece", "material_color", "product_name"), "total_material_needed")}
+    out = None
+    for name, (label, quantity) in shown.items():
+        rows = sinks.with_place(spark.read.parquet(paths[name]))
+        rows = rows.select(F.lit(name).alias("report"), "place", label.alias("label"), F.col(quantity).cast("bigint").alias("quantity"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

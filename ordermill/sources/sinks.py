@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,3 +88,15 @@ def write_report(df: DataFrame, root: str, name: str, run_date: _dt.date | str,
     w.save(out)
     return out
 
+
+def with_place(written: DataFrame) -> DataFrame:
+    """Rows of a sorted Parquet folder with ``place``, their number (from 1) in it.
+
+    A file's rows follow those of the files before it by name; the counts per file
+    are one row per write task.
+    """
+    rows = written.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    files = files.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
+    return rows.join(files, "_file").withColumn("place", F.col("_before") + F.col("_row") + 1).drop("_file", "_row", "_before")
