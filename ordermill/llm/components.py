@@ -1,7 +1,7 @@
 """Connected components as a distributed union-find.
 
-Every round contracts the graph: each task reduces its own edges to a
-spanning forest, each node then follows its best neighbour, and the edges
+Every round contracts the graph: each task reduces its batches of edges to
+spanning forests, each node then follows its best neighbour, and the edges
 between different followers form the next, smaller graph. "Best" is by hash,
 so a chain of nodes in sorted order shrinks as fast as any other.
 """

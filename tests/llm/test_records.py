@@ -135,3 +135,20 @@ def test_pipeline_stages(spark):
     empty = table(spark, SMOKE, "documents").limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, empty, SMOKE).count() == 0
+
+
+def test_queries_match_their_sql(spark):
+    import duckdb
+
+    from ordermill.llm import queries
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
+    for name, sql in queries.ORACLE.items():
+        df = queries.QUERIES[name](spark, SMOKE)
+        rel = con.sql(sql)
+        columns = sorted(df.columns)
+        assert sorted(rel.columns) == columns, name
+        mine = sorted(str([r[c] for c in columns]) for r in df.collect())
+        assert mine == sorted(str([r[rel.columns.index(c)] for c in columns]) for r in rel.fetchall()), name
