@@ -14,6 +14,7 @@ pairs of a group, only links.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,8 +87,6 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     bits = bitmap(wanted.select(F.pmod(F.xxhash64(wanted.columns[0]), F.lit(SLOTS))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
         for batch in batches:
             slot = batch.column("slot").to_numpy()
             on = np.flatnonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
@@ -141,16 +140,20 @@ def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _tile(percent: int):
+def listed(col: pa.ListArray) -> list[np.ndarray]:
+    """The entries of a list column."""
+    off, flat = col.offsets.to_numpy(), col.values.to_numpy()
+    return [flat[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
+
+
+def _tile(percent: int, to_sets):
     def run(table: pa.Table) -> pa.Table:
         """Links inside one tile (between its chunks, or inside its only chunk), reduced to a forest."""
         side = table.column("side").to_numpy()
-        col = table.column("items").combine_chunks()
-        off, flat = col.offsets.to_numpy(), col.values.to_numpy()
-        sets = [flat[off[i]:off[i + 1]] for i in range(len(side))]
+        sets = to_sets(table.column("items").combine_chunks())
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1) if (side == 1).any() else left
-        size = np.diff(off)
+        size = np.array([len(x) for x in sets])
         both = common([sets[i] for i in left], [sets[i] for i in right])
         a, b = np.nonzero(enough(both, size[left][:, None], size[right][None, :], percent))
         a, b = left[a], right[b]
@@ -161,10 +164,11 @@ def _tile(percent: int):
     return run
 
 
-def tile_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def tile_links(members: DataFrame, sets: DataFrame, percent: int, to_sets=listed) -> DataFrame:
     """Links between members of a group that are not connected yet.
 
-    ``members``: ``key``, ``n``, ``group``, ``comp``. Large components are cut in chunks of their own,
+    ``members``: ``key``, ``n``, ``group``, ``comp``; ``sets``: ``key`` and ``items``, whose column
+    ``to_sets`` makes a list of sorted distinct numbers. Large components are cut in chunks of their own,
     the members of small ones share chunks; each pair of chunks is a tile, but
     for two of one component.
     """
@@ -181,7 +185,7 @@ def tile_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     placed = (members.join(own.select("group", "comp", "lot"), ["group", "comp"]).join(count, (F.col("group") == F.col("g2")) & F.col("lot").eqNullSafe(F.col("l2")))
               .select("key", "group", F.struct(F.coalesce("lot", F.lit(b"")).alias("lot"), F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("part")).alias("chunk")))
     rows = placed.join(tiles, ["group", "chunk"]).join(sets, "key").select(F.xxhash64("group", "x", "y").alias("tile"), "group", "x", "y", "side", "key", "items")
-    return rows.groupBy("tile", "group", "x", "y").applyInArrow(_tile(percent), "a binary, b binary")
+    return rows.groupBy("tile", "group", "x", "y").applyInArrow(_tile(percent, to_sets), "a binary, b binary")
 
 
 def unconnected(pairs: DataFrame, links: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -208,7 +212,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, matches: int = MATC
     """
     rows = written(signed(docs), "signatures")
     classes = written(rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
-    pairs = written(hub_pairs(prefix_postings(classes, matches)), "hub-pairs")
+    pairs = written(hub_pairs(written(prefix_postings(classes, matches), "prefixes")), "hub-pairs")
     nodes = written(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "candidates")
     sets = written(full_sets(docs, nodes.join(classes, "key").select("rep")).join(nodes, "key", "left_semi"), "sets")
     links = written(confirm_pairs(pairs, classes, sets, matches, percent), "links")
