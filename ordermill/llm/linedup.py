@@ -29,6 +29,8 @@ BANDS = 12
 ROWS = 3
 #: Postings that one group of the band exchange gets on average at most.
 GROUP_POSTINGS = 1_000_000
+#: Bands of up to so many lines are compared pair by pair.
+SMALL_BAND = 32
 
 _SECOND = np.random.default_rng(4021).integers(1, 1 << 63, 256, dtype=np.uint64)
 _MUL = textkit._SLOT[:8]
@@ -121,44 +123,46 @@ def _post(groups: int):
                 continue
             key, node, hub = _stars(np.concatenate(keys), np.concatenate(nodes))
             pairs = node != hub
-            for kind, a, b in ((0, key[~pairs], node[~pairs]), (1, hub[pairs], node[pairs])):
-                to = (b if kind else a) % np.uint64(groups)
+            # Hubs go to the group of their band's key, the lines that follow them to any.
+            for kind, on, to in ((0, ~pairs, key), (1, pairs, node)):
+                to, a, b = to[on] % np.uint64(groups), key[on], node[on]
                 order = np.argsort(to, kind="stable")
                 to, a, b = to[order], a[order], b[order]
+                c = hub[on][order] if kind else b[:0]
                 cut = np.append(np.flatnonzero(np.diff(to, prepend=np.uint64(1 << 63))), len(to))
                 part = list(zip(cut[:-1], cut[1:], strict=True))
                 if part:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([int(to[i]) for i, _ in part]), pa.array([kind] * len(part), pa.int32()),
-                         pa.array([a[i:j].tobytes() for i, j in part], pa.binary()), pa.array([b[i:j].tobytes() for i, j in part], pa.binary())],
-                        ["grp", "kind", "a", "b"])
+                         *(pa.array([x[i:j].tobytes() for i, j in part], pa.binary()) for x in (a, b, c))],
+                        ["grp", "kind", "posting", "node", "hub"])
     return run
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Candidate pairs of a group: hubs that share a band's key, and the pairs found before."""
+    """Candidate pairs of a group with the band's key: hubs that share it, and the pairs found before."""
     kind = table.column("kind").to_numpy()
 
     def joined(name: str, k: int) -> np.ndarray:
         return np.frombuffer(b"".join(x for x, y in zip(table.column(name).to_pylist(), kind, strict=True) if y == k), np.uint64)
 
-    key, node, hub = _stars(joined("a", 0), joined("b", 0))
+    key, node, hub = _stars(joined("posting", 0), joined("node", 0))
     far = node != hub
-    pair = np.unique(np.column_stack([np.concatenate([hub[far], joined("a", 1)]), np.concatenate([node[far], joined("b", 1)])]), axis=0)
-    return pa.table({"a": _binary(pair[:, 0].copy()), "b": _binary(pair[:, 1].copy())})
+    cols = [np.concatenate(x) for x in ((key[far], joined("posting", 1)), (hub[far], joined("hub", 1)), (node[far], joined("node", 1)))]
+    return pa.table({"posting": pa.array(cols[0].view(np.int64)), "a": _binary(cols[1]), "b": _binary(cols[2])})
 
 
-def candidate_pairs(docs: DataFrame, n_lines: int) -> DataFrame:
-    """``a``, ``b``: pairs (each line with the hub of a band it shares) of distinct lines."""
+def candidate_stars(docs: DataFrame, n_lines: int) -> DataFrame:
+    """``posting``, ``a``, ``b``: every band that two or more distinct lines share, as pairs of a hub and a line that connect them."""
     groups = max(64, -(-n_lines * BANDS // GROUP_POSTINGS))
-    packed = docs.select("text").mapInArrow(_post(groups), "grp long, kind int, a binary, b binary")
-    return packed.groupBy("grp").applyInArrow(_meet, "a binary, b binary").distinct()
+    packed = docs.select("text").mapInArrow(_post(groups), "grp long, kind int, posting binary, node binary, hub binary")
+    return packed.groupBy("grp").applyInArrow(_meet, "posting long, a binary, b binary")
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``key``, ``items``: the distinct shingles of the wanted lines (``key``: their hash).
+def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``key``, ``n`` (characters), ``items`` (the text) of the wanted lines (``key``: their hash).
 
-    A bitmap of fixed size keeps most other lines from being worked on.
+    A bitmap of fixed size keeps most other lines from being worked on. Texts, not sets, are moved: those are eight times as large.
     """
     # The key is a little-endian number; its low three bytes come first.
     byte = lambda i: F.conv(F.hex(F.substring("key", i, 1)), 16, 10).cast("long")
@@ -170,34 +174,85 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for s in textkit.slices(batch.column("text")):
                 own = Lines(s)
                 _, first = np.unique(own.h1, return_index=True)
-                if not len(first):
-                    continue
                 slot = (own.h1[first] & slots).astype(np.int64)
                 first = first[(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)]
                 if not len(first):
                     continue
-                flat, n = own.shingles(first)
-                ends = np.cumsum(n)
-                got = [np.unique(flat[b - k:b]) for b, k in zip(ends.tolist(), n.tolist(), strict=True)]
-                size = np.concatenate([[0], np.cumsum([len(u) for u in got])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [_binary(own.h1[first]), pa.ListArray.from_arrays(pa.array(size), pa.array(np.concatenate(got).view(np.int64)))], ["key", "items"])
+                n = own.char[own.end[first]] - own.char[own.start[first]]
+                raw = s.data.tobytes()
+                text = [raw[a:b].decode() for a, b in zip(own.start[first].tolist(), own.end[first].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([_binary(own.h1[first]), pa.array(n, pa.int64()), pa.array(text, pa.string())], ["key", "n", "items"])
+
+    found = docs.select("text").mapInArrow(run, "key binary, n long, items string")
+    return found.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("n").alias("n"), F.first("items").alias("items"))
+
+
+def _sets(flat: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    ends = np.cumsum(n)
+    return [np.unique(flat[b - k:b]) for b, k in zip(ends.tolist(), n.tolist(), strict=True)]
+
+
+def sets_of(lines: pa.Array) -> list[np.ndarray]:
+    """Sorted distinct shingles of each line."""
+    out: list[np.ndarray] = []
+    for s in textkit.slices(lines):
+        own = Lines(s)
+        out += _sets(*own.shingles(np.arange(len(own.text))))
+    return out
+
 
-    found = docs.select("text").mapInArrow(run, "key binary, items array<long>")
-    return found.join(wanted, "key", "left_semi").dropDuplicates(["key"])
+def _similar(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # A hub is in many pairs of a batch; its set is made once.
+            both = pa.concat_arrays([batch.column("ia"), batch.column("ib")]).dictionary_encode()
+            sets, code = sets_of(both.dictionary), both.indices.to_numpy()
+            keep = []
+            for i, j in zip(code[:batch.num_rows].tolist(), code[batch.num_rows:].tolist(), strict=True):
+                x, y = sets[i], sets[j]
+                # Sets whose sizes are too far apart need no comparison.
+                keep.append(100 * min(len(x), len(y)) >= percent * max(len(x), len(y))
+                            and neardup.enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent))
+            on = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(on), batch.column("b").filter(on)], ["a", "b"])
+    return run
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are similar enough."""
+    near = pairs.join(texts.toDF("a", "na", "ia"), "a").join(texts.toDF("b", "nb", "ib"), "b")
+    return near.select("a", "b", "ia", "ib").mapInArrow(_similar(percent), "a binary, b binary")
+
+
+def open_lists(stars: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of the bands of three or more lines that the links leave in several components:
+    ``posting``, ``key``, ``comp``, ``members`` (of the band)."""
+    comp = connected_components(links).toDF("key", "comp")
+    lists = stars.select("posting", F.col("a").alias("key")).union(stars.select("posting", "b")).distinct()
+    many = lists.groupBy("posting").agg(F.count(F.lit(1)).alias("members")).filter("members > 2")
+    lists = lists.join(many, "posting").join(comp, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    still = lists.groupBy("posting").agg((F.min("comp") != F.max("comp")).alias("still")).filter("still").select("posting")
+    return written(lists.join(still, "posting", "left_semi").select("posting", "key", "comp", "members"), "open-bands")
 
 
 def line_links(docs: DataFrame, n_lines: int, percent: int = PERCENT) -> DataFrame:
-    """Root of every line (by hash) that is linked with another one: ``node``, ``root``."""
-    pairs = written(candidate_pairs(docs, n_lines), "line-pairs")
+    """Root of every line (by hash) that is linked with another one: ``node``, ``root``.
+
+    First every band compares its lines with one hub. What that leaves unconnected inside a band is compared in full:
+    in bands of up to SMALL_BAND lines pair by pair, in larger ones in tiles.
+    """
+    stars = written(candidate_stars(docs, n_lines), "line-stars")
+    pairs = written(stars.select("a", "b").distinct(), "line-pairs")
     nodes = written(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "line-nodes")
-    sets = written(shingle_sets(docs, nodes), "line-sets")
-    size = sets.select("key", F.size("items").cast("long").alias("n"))
-    near = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    near = near.join(sets.toDF("a", "ia"), "a").join(sets.toDF("b", "ib"), "b")
-    links = written(near.filter(neardup.enough(F.size(F.array_intersect("ia", "ib")), F.col("na"), F.col("nb"), percent)).select("a", "b"), "line-links")
-    members = neardup.unconnected(pairs, links, size)
-    more = written(neardup.tile_links(members, sets, percent), "line-tiles")
+    texts = written(line_texts(docs, nodes), "line-texts")
+    links = written(confirmed(pairs, texts, percent), "line-links")
+    lists = open_lists(stars, links)
+    small = lists.filter(F.col("members") <= SMALL_BAND)
+    both = small.toDF("posting", "a", "ca", "ma").join(small.toDF("posting", "b", "cb", "mb"), "posting").filter("a < b and ca <> cb").select("a", "b").distinct()
+    tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = links.union(written(confirmed(both.join(tested, ["a", "b"], "left_anti"), texts, percent), "line-links-in-bands"))
+    large = lists.filter(F.col("members") > SMALL_BAND).join(texts.select("key", "n"), "key").select("key", "n", F.col("posting").alias("group"), "comp")
+    more = written(neardup.tile_links(written(large, "large-bands"), texts.select("key", "items"), percent, sets_of), "line-tiles")
     return connected_components(links.union(more))
 
 
