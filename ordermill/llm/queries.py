@@ -23,7 +23,7 @@ def op1_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates for secrets of each document, by hash, and the forest's verdict."""
     got = secrets.scan(table(spark, sf_dir, "documents"))
-    return got.select("doc_id", "place", F.length("value").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "probability", "secret")
+    return got.select("doc_id", "place", "part", F.length("value").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "probability", "secret")
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

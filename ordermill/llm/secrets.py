@@ -33,18 +33,40 @@ AGAINST = "example|sample|dummy|placeholder|changeme|test|fake|xxxx|sha1|sha256|
 EXAMPLE_PATH = "test|example|sample|mock|fixture|demo|doc"
 FEATURES = ("length", "digits", "upper", "lower", "other", "hex", "changes", "letter_digit", "longest_run", "distinct", "vowels",
             "dictionary", "path_depth", "path_example", "hint_before", "hint_inside", "hint_after", "against", "assigned", "quoted", "whole_word")
+#: What a word and its neighbours say, once for all matches inside the word.
+NEAR = ("hint_before", "hint_after", "against_near", "assigned_before", "whole_word", "address")
+#: Characters of the neighbouring words that a finding shows.
+SHOWN = 200
+
+
+def _says(column: str, pattern: str) -> Column:
+    return F.lower(F.col(column)).rlike(pattern)
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Long tokens of every text, a row each: ``doc_id``, ``path``, ``place`` (number of the word), ``value``,
-    ``word``, ``before`` (up to two words), ``after`` (one word). ``path`` is the column ``source``."""
+    """Long tokens of every text, a row for each match: ``doc_id``, ``path``, ``place`` (number of the word), ``part`` (number of
+    the match in the word), ``value``, ``lead``, ``before`` (up to two words), ``after`` (one word) and what the words say as a
+    whole (NEAR). ``path`` is the column ``source``.
+
+    ``lead`` is the text of the word before the match, from the match before it on; ``before`` and ``after``
+    show the SHOWN characters next to the word, while NEAR is taken from the whole words. So a word with many matches takes no more room than its text
+    and a bounded number of characters a match.
+    """
     words = docs.filter(F.col("text").rlike(CANDIDATE)).select("doc_id", F.col("source").alias("path"), F.split("text", SPACE).alias("w"))
     hit = F.transform("w", lambda x, i: F.when(x.rlike(CANDIDATE), i))
     at = words.withColumn("place", F.explode(F.filter(hit, lambda i: i.isNotNull())))
     near = lambda i: F.coalesce(F.get("w", F.col("place") + i), F.lit(""))
-    word = near(0)
-    return at.select("doc_id", "path", F.col("place").cast("long").alias("place"), F.regexp_extract(word, CANDIDATE, 1).alias("value"), word.alias("word"),
-                     F.concat_ws(" ", near(-2), near(-1)).alias("before"), near(1).alias("after"))
+    at = at.select("doc_id", "path", F.col("place").cast("long").alias("place"), near(0).alias("word"), F.concat_ws(" ", near(-2), near(-1)).alias("before"), near(1).alias("after"))
+    says = {
+        "hint_before": _says("before", HINTS), "hint_after": _says("after", HINTS), "against_near": _says("before", AGAINST) | _says("after", AGAINST),
+        "assigned_before": F.col("before").rlike("[=:]$"), "whole_word": F.col("word").rlike(f"^{CANDIDATE}$"), "address": F.col("word").rlike("^https?://"),
+    }
+    found = F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(1))
+    # The texts between the matches, the match before each and the match; behind the last match there is none.
+    pieces = F.arrays_zip(F.split("word", CANDIDATE, -1).alias("gap"), F.concat(F.array(F.lit("")), found).alias("last"), found.alias("value"))
+    at = at.select("doc_id", "path", "place", "word", F.right("before", F.lit(SHOWN)).alias("before"), F.left("after", F.lit(SHOWN)).alias("after"), *[c.alias(k) for k, c in says.items()])
+    at = at.select("doc_id", "path", "place", "before", "after", *NEAR, F.posexplode(pieces).alias("part", "m")).filter("m.value is not null")
+    return at.select("doc_id", "path", "place", F.col("part").cast("long").alias("part"), "m.value", F.concat("m.last", "m.gap").alias("lead"), "before", "after", *NEAR)
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY_WORDS) -> list[str]:
@@ -67,8 +89,7 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
     runs = F.regexp_extract_all(kinds, F.lit(r"((.)\2*)"), F.lit(1))
     # Longest words first: a pattern of bounded size.
     known = "|".join(sorted(words, key=lambda w: (-len(w), w))) or "$^"
-    hint = lambda c: F.lower(c).rlike(HINTS).cast("double")
-    lead = F.split_part(F.col("word"), F.col("value"), F.lit(1))
+    lead = F.col("lead")
     path = F.lower(F.coalesce("path", F.lit("")))
     cols = {
         "length": n, "digits": _count(v, "[0-9]") / n, "upper": _count(v, "[A-Z]") / n, "lower": _count(v, "[a-z]") / n, "other": _count(v, "[^A-Za-z0-9]") / n,
@@ -78,10 +99,9 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
         "vowels": _count(F.lower(v), "[aeiouy]") / n,
         "dictionary": 1 - F.length(F.regexp_replace(F.lower(v), known, "")) / n,
         "path_depth": _count(path, "/"), "path_example": path.rlike(EXAMPLE_PATH).cast("double"),
-        "hint_before": hint(F.col("before")), "hint_inside": hint(lead), "hint_after": hint(F.col("after")),
-        "against": F.lower(F.concat_ws(" ", "before", lead, "after")).rlike(AGAINST).cast("double"),
-        "assigned": (lead.rlike("[=:]") | F.col("before").rlike("[=:]$")).cast("double"),
-        "quoted": lead.rlike("[\"'`]$").cast("double"), "whole_word": (F.col("word") == v).cast("double"),
+        "hint_before": F.col("hint_before"), "hint_inside": _says("lead", HINTS), "hint_after": F.col("hint_after"),
+        "against": F.col("against_near") | _says("lead", AGAINST), "assigned": lead.rlike("[=:]") | F.col("assigned_before"),
+        "quoted": lead.rlike("[\"'`]$"), "whole_word": F.col("whole_word"),
     }
     return found.withColumns({k: F.coalesce(c.cast("double"), F.lit(0.0)) for k, c in cols.items()})
 
@@ -122,9 +142,9 @@ def known_findings(rows: DataFrame) -> DataFrame:
     1: an access key id in its fixed form, or a value of hex digits assigned to a name of HINTS.
     0: letters only and nothing assigned, or an address inside a path.
     """
-    assigned = F.concat_ws(" ", "before", F.split_part(F.col("word"), F.col("value"), F.lit(1)))
+    assigned = F.concat_ws(" ", "before", "lead")
     sure = F.col("value").rlike("^AKIA[0-9A-Z]{16}$") | (F.col("value").rlike("^[0-9a-f]{16,}$") & F.lower(assigned).rlike(f"(?:{HINTS})[^ ]* ?[=:] ?[\"']?$"))
-    plain = F.col("value").rlike(r"^[A-Za-z]+$") | F.col("word").rlike("^https?://")
+    plain = F.col("value").rlike(r"^[A-Za-z]+$") | F.col("address")
     return rows.withColumn("label", F.when(sure, 1).when(plain & ~sure & ~assigned.rlike("[=:] ?[\"']?$"), 0))
 
 
@@ -134,7 +154,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, limit: int = MAX_TR
     ``docs`` needs ``doc_id``, ``text`` and ``source`` (used as path). ``labelled``: findings with
     FEATURES, ``value``, ``before``, ``after`` and ``label``; without it, the candidates of
     ``docs`` whose form leaves no doubt are the labelled findings. Returns ``doc_id``, ``path``,
-    ``place``, ``value``, ``word``, ``before``, ``after``, FEATURES, ``probability``, ``secret``.
+    ``place``, ``part``, ``value``, ``lead``, ``before``, ``after``, FEATURES, ``probability``, ``secret`` and the rest of NEAR.
+    Every match inside a word is a candidate of its own: ``doc_id``, ``place`` and ``part`` name it.
 
     Null and empty texts have no candidates; a null ``source`` is an empty path; a null ``doc_id``
     is passed on; repeated rows give their candidates each. Other columns are

@@ -114,6 +114,29 @@ def test_secret_scan(spark):
     assert {r.doc_id for r in other if r.secret} == {i for i in range(300) if i % 3 == 0}
 
 
+def test_secret_scan_takes_every_match_of_a_word(spark):
+    rng = random.Random(7)
+    value = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    access = "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(16))
+    token = [f"eyJ{i}" + "".join(rng.choice("abcXYZ019_-") for _ in range(30)) for i in range(3)]
+    many = ",".join(f'"number_{i:012d}":"{i:040x}"' for i in range(2000))  # one word
+    texts = [f"export AWS_SECRET_ACCESS_KEY={value} now", f"so aws_secret_access_key='{value}'", f'{{"access_key_id":"{access}","secret_access_key":"{value}"}}',
+             f"Bearer {'.'.join(token)}", many, f"{value}:{value} x"]
+    table = spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    rows = secrets.known_findings(secrets.features(secrets.candidates(table), ["the"])).orderBy("doc_id", "place", "part").collect()
+    found = lambda i: [r for r in rows if r.doc_id == i]
+    assert [r.value for r in found(0)] == ["AWS_SECRET_ACCESS_KEY=", value] and [r.value for r in found(1)] == ["aws_secret_access_key=", value]
+    assert [r.value for r in found(2)] == [access, "secret_access_key", value] and [r.value for r in found(3)] == token
+    assert [r.value for r in found(4)] == [x for i in range(2000) for x in (f"number_{i:012d}", f"{i:040x}")]
+    assert [r.value for r in found(5)] == [value, value] and [r.lead for r in found(5)] == ["", f"{value}:"]
+    assert len({(r.doc_id, r.place, r.part) for r in rows}) == len(rows)
+    for i, lead in ((0, "AWS_SECRET_ACCESS_KEY="), (1, "aws_secret_access_key='"), (2, 'secret_access_key":"')):
+        last = found(i)[-1]
+        assert (last.lead, last.hint_inside, last.assigned, last.label) == (lead, 1, 1, 1)
+    assert all(r.hint_before == 1 and r.whole_word == 0 for r in found(3))
+    assert secrets.scan(table).count() == len(rows)
+
+
 def test_secret_scan_runs_natively(spark):
     plan = secrets.features(secrets.candidates(spark.read.parquet(f"{SMOKE}/documents.parquet")), ["the"])._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
