@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm import minhash, textkit
 from ordermill.llm.components import connected_components, roots
-from ordermill.llm.store import written
+from ordermill.llm.store import row_name, written
 
 COORDINATES = 32
 #: Sets with similarity 0.75 agree in 24 coordinates on average, in under 12 with a probability of 1e-6.
@@ -228,6 +228,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, matches: int = MATC
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One row of ``docs`` of every component. Rows that share the kept ``doc_id`` count as one document."""
-    kept = near_duplicates(docs, **options).filter("kept").select(F.col("doc_id").alias("kept_doc_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """One row of ``docs`` of every component, and every row without shingles.
+
+    Rows are told apart by ``doc_id`` and text: of a component the row with the smallest id stays (null ids last; of
+    texts under one id the one with the smallest digest), so different texts under one id or without an id are judged each.
+    """
+    name = "near_row_name"
+    named = docs.withColumn(name, row_name())
+    # The component step takes the name for the id.
+    kept = near_duplicates(named.select(F.col(name).alias("doc_id"), "text"), **options).filter("kept and n_shingles > 0")
+    one = named.join(kept.select(F.col("doc_id").alias(name)).distinct(), name, "left_semi").dropDuplicates([name])
+    blank = named.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return one.select(docs.columns).unionByName(blank.select(docs.columns))

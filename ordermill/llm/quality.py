@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm import rules, textkit
-from ordermill.llm.store import written
+from ordermill.llm.store import row_name, written
 
 FEATURES = ("log_bytes", "log_words", "upper", "digit", "stop", "comma", "mark", "symbol", "bar", "quote", "wide", "breaks",
             "word_length", "word_spread", "distinct", "top_word", "same_next", "upper_words", "symbol_words", "stop_words",
@@ -237,8 +237,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN)
 def passed(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject.
 
-    A document goes if its row is predicted 0. Rows that share a ``doc_id`` are judged by the best of them.
+    A row goes if it is predicted 0. Rows are told apart by ``doc_id`` and text, so different texts under one id or without an id are judged each.
     """
-    verdict = score_documents(docs, labels, limit).groupBy("doc_id").agg(F.max("predicted").alias("quality_pass")).filter("quality_pass = 1")
-    good = verdict.select(F.col("doc_id").alias("quality_doc_id"))
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["quality_doc_id"]), "left_semi")
+    name = "quality_row_name"
+    named = docs.withColumn(name, row_name())
+    stats = written(document_statistics(named.select(F.col(name).alias("doc_id"), "text")), "statistics")
+    model = fit(stats.select("doc_id.doc_id", "x"), labels, limit)
+    good = score(stats, model).filter("score >= 0.5").select(F.col("doc_id").alias(name)).distinct()
+    return named.join(good, name, "left_semi").select(docs.columns)

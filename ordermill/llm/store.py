@@ -7,7 +7,8 @@ computed again when an executor is lost. Folders live below the session's
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermill.session import scratch_path
 
@@ -23,3 +24,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def row_name() -> Column:
+    """What tells a document's rows apart: its id and the digest of its text. Rows with the same name are copies; a null id comes last."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.unhex(F.md5("text")).alias("digest"))

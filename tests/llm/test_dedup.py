@@ -54,6 +54,19 @@ def test_keep_one_keeps_columns_and_one_row_per_component(docs, no_docs):
     assert neardup.keep_one(no_docs).collect() == []
 
 
+def test_keep_one_decides_by_row(spark):
+    """Null ids and shared ids do not make one document of different texts."""
+    rng = random.Random(12)
+    text = [" ".join("k%d" % rng.randrange(10**6) for _ in range(40)) for _ in range(6)]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (None, text[2] + " end"), (None, ""), (None, None), (None, " "), (7, text[3]), (7, text[4]), (7, text[4]),
+            (1, text[2]), (2, text[4] + " end"), (9, text[5]), (8, text[5].upper()), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, key string").repartition(5)
+    want = [(None, text[0]), (None, text[1]), (None, ""), (None, None), (None, " "), (7, text[3]), (1, text[2]), (2, text[4] + " end"), (8, text[5].upper()), (3, ""), (3, "")]
+    kept = neardup.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, want))
+
+
 def test_tiles_find_links_that_no_hub_has(spark, monkeypatch):
     """Chains of near copies: neighbours are linked, ends are not; small chunks make many tiles."""
     monkeypatch.setattr(neardup, "CHUNK_SETS", 4)

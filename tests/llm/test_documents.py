@@ -79,6 +79,20 @@ def test_classifier_edge_cases(spark, docs, no_docs):
     assert quality.score_documents(no_docs, labels).collect() == []
 
 
+def test_passed_judges_every_row(spark):
+    """Rows without an id or under a shared id go or stay by their own text."""
+    given = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    texts = sorted({r.text for r in given.limit(60).collect() if r.text})
+    few = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(texts)], given.schema)
+    alone = {r.text for r in quality.passed(given.union(few), labels).filter(f"doc_id >= {10**9}").collect()}
+    assert alone and len(alone) < len(texts)
+    for shared in (None, 10**9):
+        rows = spark.createDataFrame([(shared, t) for t in [*texts, *texts[:5]]], given.schema)
+        got = quality.passed(given.union(rows), labels).filter("doc_id is null" if shared is None else f"doc_id = {shared}").collect()
+        assert sorted(r.text for r in got) == sorted([t for t in [*texts, *texts[:5]] if t in alone])
+
+
 def shares(sizes, weights=(1, 2, 3)):
     """Targets by cutting and resharing until none is above its cap."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
