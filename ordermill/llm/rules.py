@@ -27,7 +27,7 @@ CHUNK_BYTES = 4096
 #: compressed size over raw size of a whole document. Under the first band's
 #: length a ratio says nothing.
 BANDS = ((200, 0.30, 1.00), (1000, 0.25, 0.75), (4000, 0.22, 0.72), (16000, 0.20, 0.70))
-#: The same for a full chunk, and the largest share of chunks outside of it.
+#: The same for a chunk, and the largest share of chunks outside of it.
 CHUNK_BAND = (0.20, 0.75)
 MAX_BAD_CHUNKS = 0.34
 
@@ -87,7 +87,11 @@ def base_counts(s: textkit.Slice) -> dict[str, np.ndarray]:
 
 
 def compression(s: textkit.Slice) -> dict[str, np.ndarray]:
-    """Compressed over raw size of each text, and how many full chunks lie outside the chunk band."""
+    """Compressed over raw size of each text, and how many of its chunks lie outside the chunk band.
+
+    Chunks have CHUNK_BYTES; the last one of a text that is no multiple of it ends with the text and overlaps the one
+    before, so all bytes of a text of a chunk or more are covered by chunks of full size.
+    """
     press = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False).compress
     raw = s.data.tobytes()
     n = len(s)
@@ -98,7 +102,8 @@ def compression(s: textkit.Slice) -> dict[str, np.ndarray]:
         if b == a:
             continue
         ratio[i] = len(press(raw[a:b])) / (b - a)
-        for c in range(a, b - CHUNK_BYTES + 1, CHUNK_BYTES):
+        for c in range(a, b, CHUNK_BYTES) if b - a >= CHUNK_BYTES else ():
+            c = min(c, b - CHUNK_BYTES)
             chunks[i] += 1
             bad[i] += not low <= len(press(raw[c:c + CHUNK_BYTES])) / CHUNK_BYTES <= high
     return {"ratio": ratio, "n_chunks": chunks, "n_bad_chunks": bad}

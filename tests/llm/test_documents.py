@@ -43,6 +43,18 @@ def test_compression_bands(spark):
     assert got == {1: False, 2: True, 3: False}
 
 
+def test_chunks_cover_the_end_of_a_text(spark):
+    rng = np.random.default_rng(2)
+    prose = " ".join("%s%s" % (a, b) for a, b in zip(rng.choice(["the", "and", "of", "to", "tion", "re", "est"], 3000), rng.choice(["er", "ing", "ou", "hand", "men", "ly"], 3000), strict=True))
+    noise = "".join(chr(33 + c) for c in rng.integers(0, 94, 8192))
+    texts = {1: prose[:4096] + noise[:4000], 2: prose[:4096], 3: prose[:4095], 4: prose[:8192], 5: noise[:8192], 6: prose[:4096] + noise[:1], 7: ""}
+    got = {r.doc_id: (r.n_chunks, r.n_bad_chunks) for r in rules.quality_rules(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == {1: (2, 1), 2: (1, 0), 3: (0, 0), 4: (2, 0), 5: (2, 2), 6: (2, 0), 7: (0, 0)}
+    words = "".join(noise[i:i + 60] + " " for i in range(0, 3900, 60))
+    r = rules.quality_rules(spark.createDataFrame([(1, prose[:4096] + words)], "doc_id long, text string")).first()
+    assert 0.22 <= r.ratio <= 0.72 and r.n_bad_chunks == 1 and not r.kept and not r.base_failed  # inside the band as a whole
+
+
 def test_bpe_equals_the_library(spark, docs, doc_rows, no_docs):
     path = queries.vocabulary()
     lib = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
