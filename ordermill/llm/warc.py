@@ -106,14 +106,21 @@ class Members:
         self.out = data + self.out
 
 
-def _head(source: Members, end: bytes = b"\r\n\r\n", most: int = 1 << 20) -> bytes:
-    got = b""
-    while end not in got:
+def _head(source: Members, end: bytes = b"\r\n\r\n", start: bytes = b"WARC/") -> bytes:
+    """The record header, of any length; a member that does not start like a record is not searched."""
+    got, seen = [], b""
+    while True:
         piece = source.more()
-        if not piece or len(got) > most:
+        if not piece:
             raise Damaged("no end of the header")
-        got += piece
-    head, rest = got.split(end, 1)
+        # The end mark may begin in the piece before.
+        seen = seen[1 - len(end):] + piece
+        got.append(piece)
+        if len(got) == 1 and not piece.startswith(start[:len(piece)]):
+            raise Damaged("no WARC record")
+        if end in seen:
+            break
+    head, rest = b"".join(got).split(end, 1)
     source.back(rest)
     return head
 
@@ -276,7 +283,7 @@ def _reader(keep_payload: bool):
                 with fs.open_input_stream(at, compression=None) as stream:
                     for r in read_archive(stream, keep_payload):
                         rows.append(r | {"archive": path})
-                        held += len(r.get("payload") or b"")
+                        held += len(r.get("payload") or b"") + len(r.get("target_uri") or "")
                         if len(rows) >= 2000 or held >= 16 << 20:
                             yield batch_of(rows)
                             rows, held = [], 0

@@ -54,6 +54,21 @@ def test_warc_reader_tells_of_damage():
     assert "digest differs" in got[0]["error"]
 
 
+def test_warc_headers_of_any_length(spark):
+    long = "http://a/" + "x" * (2 << 20)
+    rows = [(1, "u", "one"), (2, long, "two"), (3, "u", "three"), (4, long + "é", "four"), (5, None, "five")]
+    got = warc.round_trip(spark, spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()
+    assert sorted((r.record_id, r.target_uri or "", bytes(r.payload), r.error) for r in got) == [(f"urn:page:{i}", u or "", h.encode(), None) for i, u, h in rows]
+    # The header's end on every side of the bounds of the pieces that are read.
+    for n in range(65536 - 300, 65536 - 220):
+        both = list(warc.read_archive(io.BytesIO(warc.record("urn:page:1", "response", b"a", "u" * n) + warc.record("urn:page:2", "response", b"b"))))
+        assert [r["error"] for r in both] == [None, None] and both[0]["target_uri"] == "u" * n
+    import gzip
+
+    assert "no WARC record" in list(warc.read_archive(io.BytesIO(gzip.compress(b"W" * (3 << 20)))))[0]["error"]
+    assert "no end" in list(warc.read_archive(io.BytesIO(gzip.compress(b"WARC/1.1" * (1 << 18)))))[0]["error"]
+
+
 def snapshots():
     rng = random.Random(4)
     turns = []
