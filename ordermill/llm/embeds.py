@@ -10,8 +10,12 @@ in the first block whose budget it meets, so none counts twice.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +35,7 @@ SLACK = 1e-4
 STRIPE = 128
 
 
+@functools.lru_cache(maxsize=8)
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
     """A random rotation of ``dim`` coordinates."""
     q, r = np.linalg.qr(np.random.default_rng(seed).normal(size=(dim, dim)))
@@ -55,12 +60,17 @@ def usable(v: Column) -> Column:
     return F.coalesce((F.size(v) > 0) & ~bad & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+def _by_length(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, vectors of one length at a time."""
+    size = pc.list_value_length(batch.column("v")).to_numpy(zero_copy_only=False)
+    for n in np.unique(size):
+        yield batch.take(pa.array(np.flatnonzero(size == n)))
+
+
 def _cells(cosine: float, blocks: int, grid: int):
     """Places every vector in its own cell of each block's grid, and as a guest in the later cells that its range reaches."""
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for b in batches for part in _by_length(b)):
             col = batch.column("v")
             dim = len(col[0])
             x = unit(col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), dim)) @ rotation(dim)
@@ -153,29 +163,21 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, blocks: int = BLOCK
     classes = written(good.groupBy("v").agg(F.min("vec_id").alias("rep_id"), F.count(F.lit(1)).alias("copies"))
                       .select(F.unhex(F.md5(F.to_json(F.struct("v")))).alias("rep"), "v", "rep_id", "copies"), "vector-classes")
     kind = classes.schema["v"].dataType.simpleString()
-    dims = [r[0] for r in classes.select(F.size("v")).distinct().limit(1000).collect()]
-    cells = None
-    for dim in sorted(dims):  # a batch of vectors has one dimension
-        part = classes.filter(F.size("v") == dim).select("rep", "copies", "v").mapInArrow(
-            _cells(cosine, blocks, grid), f"dim int, block int, cell long, guest boolean, rep binary, copies long, v {kind}")
-        cells = part if cells is None else cells.unionByName(part)
-    if cells is None:
-        links = rows.sparkSession.createDataFrame([], "rep binary, links long, near binary")
-    else:
-        cells = written(cells, "cells")
-        size = cells.groupBy("dim", "block", "cell").agg(
-            F.ceil(F.count(F.when(~F.col("guest"), 1)) / tile).cast("int").alias("homes"), F.ceil(F.count(F.when(F.col("guest"), 1)) / (2 * tile)).cast("int").alias("guests"))
-        at = cells.join(size.filter("homes > 0"), ["dim", "block", "cell"])
-        mine = F.pmod(F.xxhash64("rep"), F.when(F.col("guest"), F.col("guests")).otherwise(F.col("homes"))).cast("int")
-        # Chunk i of the homes meets itself, every later chunk, and every chunk of guests.
-        up_to = lambda n: F.sequence(F.lit(0), n - 1)
-        home = F.concat(
-            F.transform(up_to(F.col("homes")), lambda j: F.struct(F.least(j, F.col("mine")).alias("i"), F.greatest(j, F.col("mine")).alias("j"), (j < F.col("mine")).cast("int").alias("side"))),
-            F.transform(F.when(F.col("guests") > 0, up_to(F.col("guests"))).otherwise(F.array().cast("array<int>")),
-                        lambda j: F.struct(F.col("mine").alias("i"), (-1 - j).alias("j"), F.lit(0).alias("side"))))
-        guest = F.transform(up_to(F.col("homes")), lambda i: F.struct(i.alias("i"), (-1 - F.col("mine")).alias("j"), F.lit(1).alias("side")))
-        placed = at.withColumn("mine", mine).select("dim", "block", "cell", "rep", "copies", "v", F.inline(F.when(F.col("guest"), guest).otherwise(home)))
-        links = written(placed.groupBy("dim", "block", "cell", "i", "j").applyInArrow(_compare(cosine, blocks), "rep binary, links long, near binary"), "vector-links")
+    cells = written(classes.select("rep", "copies", "v").mapInArrow(
+        _cells(cosine, blocks, grid), f"dim int, block int, cell long, guest boolean, rep binary, copies long, v {kind}"), "cells")
+    size = cells.groupBy("dim", "block", "cell").agg(
+        F.ceil(F.count(F.when(~F.col("guest"), 1)) / tile).cast("int").alias("homes"), F.ceil(F.count(F.when(F.col("guest"), 1)) / (2 * tile)).cast("int").alias("guests"))
+    at = cells.join(size.filter("homes > 0"), ["dim", "block", "cell"])
+    mine = F.pmod(F.xxhash64("rep"), F.when(F.col("guest"), F.col("guests")).otherwise(F.col("homes"))).cast("int")
+    # Chunk i of the homes meets itself, every later chunk, and every chunk of guests.
+    up_to = lambda n: F.sequence(F.lit(0), n - 1)
+    home = F.concat(
+        F.transform(up_to(F.col("homes")), lambda j: F.struct(F.least(j, F.col("mine")).alias("i"), F.greatest(j, F.col("mine")).alias("j"), (j < F.col("mine")).cast("int").alias("side"))),
+        F.transform(F.when(F.col("guests") > 0, up_to(F.col("guests"))).otherwise(F.array().cast("array<int>")),
+                    lambda j: F.struct(F.col("mine").alias("i"), (-1 - j).alias("j"), F.lit(0).alias("side"))))
+    guest = F.transform(up_to(F.col("homes")), lambda i: F.struct(i.alias("i"), (-1 - F.col("mine")).alias("j"), F.lit(1).alias("side")))
+    placed = at.withColumn("mine", mine).select("dim", "block", "cell", "rep", "copies", "v", F.inline(F.when(F.col("guest"), guest).otherwise(home)))
+    links = written(placed.groupBy("dim", "block", "cell", "i", "j").applyInArrow(_compare(cosine, blocks), "rep binary, links long, near binary"), "vector-links")
     label = connected_components(links.select("rep", "near")).toDF("rep", "root")
     count = links.groupBy("rep").agg(F.sum("links").alias("links"))
     place = classes.select("rep", "rep_id", "copies", "v").join(label, "rep", "left").join(count, "rep", "left").withColumn("root", F.coalesce("root", "rep"))

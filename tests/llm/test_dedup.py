@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from ordermill.llm import embeds, linedup, neardup
 from ordermill.llm import components as C
@@ -149,3 +150,18 @@ def test_vectors_match_brute_force(spark):
         got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeds.near_vectors(table, tile=tile).collect()}
         assert got == want
     assert embeds.near_vectors(table.limit(0)).collect() == []
+
+
+def test_vectors_of_many_lengths(spark):
+    """A batch of over a thousand lengths gives every row; lengths up to 41 are compared to the end (rotations of long vectors take long)."""
+    rows = []
+    for n in range(2, 1052):
+        v = [1.0] + [0.0] * (n - 1)
+        rows += [(10 * n, v), (10 * n + 1, [1.0, 0.1] + [0.0] * (n - 2)), (10 * n + 2, [0.0] * (n - 1) + [1.0])]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([v for _, v in rows])], ["rep", "v"])
+    parts = list(embeds._by_length(batch))
+    assert len(parts) == 1050 and all(p.num_rows == 3 and len({len(v) for v in p.column("v").to_pylist()}) == 1 for p in parts)
+    assert sorted(i for p in parts for i in p.column("rep").to_pylist()) == sorted(i for i, _ in rows)
+    keep = [r for r in rows if r[0] < 420]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeds.near_vectors(spark.createDataFrame(keep, "vec_id long, embedding array<double>").repartition(2)).collect()}
+    assert got == {i: (1, i - i % 10) if i % 10 < 2 else (0, i) for i, _ in keep}
