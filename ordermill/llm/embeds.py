@@ -77,7 +77,7 @@ def _cells(cosine: float, blocks: int, grid: int):
             at = edges_of(dim, min(blocks, dim))
             for b, (lo, hi) in enumerate(zip(at, at[1:], strict=False)):
                 g = min(grid, hi - lo)
-                reach = np.sqrt(max(2 - 2 * cosine, 0) * (hi - lo) / dim) * (1 + SLACK) + SLACK
+                reach = np.sqrt(max(2 - 2 * cosine, 0) * (hi - lo) / dim + SLACK) + SLACK  # farther than any pair that _compare counts
                 side = 2 * reach
                 y = x[:, lo:lo + g]
                 cell = np.floor(y / side).astype(np.int64)
@@ -108,8 +108,13 @@ def _compare(cosine: float, blocks: int):
         v = table.column("v").combine_chunks()
         dim = len(v[0])
         x = unit(v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), dim))
-        y = (x @ rotation(dim)).astype(np.float32)
+        y = np.zeros(x.shape)
+        for k, axis in enumerate(rotation(dim)):  # in this order for every row, so that all tiles see the same distances
+            y += x[:, k:k + 1] * axis
+        y = y.astype(np.float32)
         at = edges_of(dim, min(blocks, dim))
+        # A pair counts in the first block within its limit; the grid and the search below reach farther than the limit.
+        limit = [max(2 - 2 * cosine, 0) * (hi - lo) / dim + SLACK / 2 for lo, hi in zip(at, at[1:], strict=False)]
         budget = [max(2 - 2 * cosine, 0) * (hi - lo) / dim + SLACK for lo, hi in zip(at, at[1:], strict=False)]
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1)
@@ -133,9 +138,9 @@ def _compare(cosine: float, blocks: int):
                 ok = np.einsum("ij,ij->i", x[p], x[q]) >= cosine
                 p, q = p[ok], q[ok]
                 d = (y[p] - y[q]) ** 2
-                for e in range(block):  # counted there
-                    early = d[:, at[e]:at[e + 1]].sum(axis=1) <= budget[e]
-                    p, q, d = p[~early], q[~early], d[~early]
+                for e in range(block + 1):
+                    counts = (d[:, at[e]:at[e + 1]].sum(axis=1) <= limit[e]) == (e == block)  # if earlier, it is counted there
+                    p, q, d = p[counts], q[counts], d[counts]
                 if len(p):
                     found.append(np.stack([p, q]))
         pair = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)

@@ -165,3 +165,21 @@ def test_vectors_of_many_lengths(spark):
     keep = [r for r in rows if r[0] < 420]
     got = {r.vec_id: (r.n_links, r.component_id) for r in embeds.near_vectors(spark.createDataFrame(keep, "vec_id long, embedding array<double>").repartition(2)).collect()}
     assert got == {i: (1, i - i % 10) if i % 10 < 2 else (0, i) for i, _ in keep}
+
+
+def test_pairs_at_the_edge_of_a_block_count_once(spark):
+    """Pairs whose distance in the first block lies at its budget, where the block is the whole grid."""
+    turn = embeds.rotation(8)
+    rows = []
+    for i, extra in enumerate(np.linspace(-2e-4, 2e-4, 201)):
+        angle = 2 * np.pi * i / 201
+        base = np.array([np.cos(angle), np.sin(angle), 0, 0, 0, 0, 0, 0]) * 0.6 + np.array([0, 0, 0, 0, 0, 0, 0.8 * np.cos(7 * angle), 0.8 * np.sin(7 * angle)])
+        near = base + np.array([-np.sin(angle), np.cos(angle), 0, 0, 0, 0, 0, 0]) * np.sqrt(0.05 + extra)
+        rows += [base @ turn.T, near @ turn.T]
+    x = np.array(rows)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeds.near_vectors(table).collect()}
+    assert got == {i: int(n) for i, n in enumerate(near.sum(axis=1))}
