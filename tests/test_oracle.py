@@ -13,7 +13,7 @@ import __spark_entry__ as E
 from ordermill.plans import catalog
 from ordermill.plans.shopviews import TABLES
 
-from conftest import SMOKE
+from given_tables import SMOKE
 
 
 def _norm(v):

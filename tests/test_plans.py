@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from ordermill.operators import reports, shape
 from ordermill.plans import shopviews as sv
 
-from conftest import SMOKE
+from given_tables import SMOKE
 
 
 def _plan(df) -> str:
