@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, chat, embeds, linedup, mixing, neardup, quality, rules, secrets, warc
+from ordermill.llm import bpe, chat, divergence, embeds, langid, linedup, mixing, neardup, quality, resample, rules, secrets, warc
 from ordermill.llm.store import table
 
 def vocabulary() -> str:
@@ -75,6 +75,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of each (lang, source) group from the other sources of its language, and its most typical terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of each document."""
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of each document, drawn towards the benchmark's words."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: The plan of the mix: targets, then large documents, then small ones, each by position in the order of the key.
 OP6_SQL = """
 WITH s AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
@@ -100,6 +115,51 @@ small3 AS (SELECT *, CAST(passes + CASE WHEN before + weight / 2.0 < goal - pass
 every AS (SELECT doc_id, size, n_rows, source_size, target, copies FROM big3 UNION ALL SELECT doc_id, size, n_rows, source_size, target, copies FROM small3)
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken FROM (SELECT *, unnest(range(n_rows)) FROM every)"""
 
+#: Every group against every kept term of its language, then against each other source.
+OP11_SQL = """
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS (SELECT lang, source, r, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+c AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN k ON t.lang = k.lang AND t.term = k.term GROUP BY ALL),
+g AS (SELECT s.lang, s.source, coalesce(o.total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d) s
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) o ON s.lang = o.lang AND s.source = o.source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1) // (g.total + l.v) AS HUGEINT) AS p,
+    CAST(1 + CAST(1000000000 AS HUGEINT) * (k.n + 1) // (l.total + l.v) AS HUGEINT) AS q
+  FROM g JOIN k ON g.lang = k.lang JOIN l ON l.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+m AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+x AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(m.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN m ON m.lang = a.lang AND m.source = a.source AND m.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM x) WHERE part = 'pair' OR rank <= 200"""
+
+#: The checksum goes byte by byte over each distinct word, with a table made from the polynomial.
+OP13_SQL = """
+WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), CAST(range(8) AS BIGINT[])),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS tab),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS word FROM d),
+bw AS (SELECT unnest(w) AS word FROM b),
+v AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+c AS (SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS INT), 2) AS BIGINT))),
+    lambda a, x: xor(a // 256, tab[CAST(xor(a, x) % 256 AS INT) + 1])), 4294967295) % 10000 AS bucket FROM v, tab),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN c USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bw JOIN c USING (word) GROUP BY bucket),
+g AS (SELECT k.bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM (SELECT bucket FROM s UNION SELECT bucket FROM t) k LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+o AS (SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM dw JOIN c USING (word) JOIN g USING (bucket) GROUP BY doc_id),
+r AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h FROM documents LEFT JOIN o USING (doc_id)),
+z AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM r),
+y AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_features >= 20) OVER () * 10 // 100 AS drawn FROM z)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM y"""
+
 QUERIES = {
     "op1_quality_score": op1_quality_score,
     "op2_secret_scan": op2_secret_scan,
@@ -111,6 +171,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_divergence_audit": op11_divergence_audit,
+    "op12_language_id": op12_language_id,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 ORACLE: dict[str, str] = {
     "op3_warc": """
@@ -124,6 +187,8 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id <> last THEN last END AS refers_to, true AS verified
 FROM d""",
     "op6_source_mix": OP6_SQL,
+    "op11_divergence_audit": OP11_SQL,
+    "op13_importance_resampling": OP13_SQL,
     "op5_chat_format": """
 WITH r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, count(*) OVER (PARTITION BY conv_id) AS n
   FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),

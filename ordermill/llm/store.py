@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.session import scratch_path
+from ordermill.session import remove, scratch_path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -21,6 +21,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(df: DataFrame) -> None:
+    """Delete the folder of a table that ``written`` returned and that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
+        remove(df.sparkSession, path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
