@@ -39,7 +39,7 @@ def features(s: textkit.Slice, runs: int, buckets: int) -> Iterator[tuple[np.nda
         if n <= 0:
             return
         whole = text[:n] == text[k - 1:]
-        run = word if k == 1 else pc.binary_join_element_wise(*[word.slice(j, n) for j in range(k)], " ").filter(pa.array(whole))
+        run = word if k == 1 else pc.binary_join_element_wise(*[word.slice(j, n) for j in range(k)], pa.scalar(" ", pa.large_string())).filter(pa.array(whole))
         coded = run.dictionary_encode()
         crc = np.fromiter(map(zlib.crc32, coded.dictionary.cast(pa.large_binary()).to_pylist()), np.int64, len(coded.dictionary))
         yield text[:n][whole], (crc % buckets)[coded.indices.to_numpy()]
