@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm import terms, textkit
-from ordermill.llm.store import written
+from ordermill.llm.store import beside, written
 
 #: Documents of a language that must hold a term.
 MIN_DOCUMENTS = 3
@@ -68,8 +68,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
 def kept_terms(counts: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """Counts of the kept terms with ``block``, ``number`` (from 0 in a block, by term) and the language's count ``lang_n``; ``first`` marks one row of each term."""
-    sizes = counts.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / BLOCK_COUNTS).alias("blocks"))
-    rows = (counts.filter("term is not null").join(sizes, "lang")
+    sizes = written(counts.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / BLOCK_COUNTS).alias("blocks")), "sizes")
+    rows = (counts.filter("term is not null").join(beside(sizes), "lang")
             .withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks"))).repartition("lang", "block"))
     same = Window.partitionBy("lang", "block", "term")
     rows = rows.select("*", F.sum("n_docs").over(same).alias("lang_docs"), F.sum("n").over(same).alias("lang_n"), F.min("source").over(same).alias("least"))
@@ -186,7 +186,7 @@ def pair_part(kept: DataFrame, groups: DataFrame) -> DataFrame:
 def term_part(kept: DataFrame, groups: DataFrame, top: int = TOP_TERMS) -> DataFrame:
     """Rows of part ``term``."""
     p, q = price(F.col("n"), F.col("own_total") + F.col("v")), price(F.col("lang_n"), F.col("lang_total") + F.col("v"))
-    rows = kept.select("lang", "source", "term", "n", "lang_n").join(groups.select("lang", "source", "own_total", "v", "lang_total"), ["lang", "source"])
+    rows = kept.select("lang", "source", "term", "n", "lang_n").join(beside(groups.select("lang", "source", "own_total", "v", "lang_total")), ["lang", "source"])
     rows = rows.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), p.alias("p"), q.alias("q")).filter("p > q")
     return _ranked(rows.select("lang", "source", "part", "item", chi(F.col("p"), F.col("q")).alias("value"))).filter(F.col("rank") <= top)
 

@@ -27,6 +27,15 @@ def removed(df: DataFrame) -> None:
         remove(df.sparkSession, path)
 
 
+#: Rows up to which a written table is broadcast.
+BESIDE_ROWS = 50_000
+
+
+def beside(df: DataFrame) -> DataFrame:
+    """A written table of short rows as the small side of a join: broadcast if it is counted to have at most BESIDE_ROWS rows, else as it is."""
+    return F.broadcast(df) if df.count() <= BESIDE_ROWS else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
