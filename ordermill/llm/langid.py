@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm import textkit
-from ordermill.llm.store import written
+from ordermill.llm.store import beside, written
 
 LENGTH = 3
 #: Texts that serve as landmarks, in equal parts from the languages (one of each at least).
@@ -139,10 +139,11 @@ def training_texts(docs: DataFrame, limit: int = MAX_TRAIN) -> tuple[list[str],
     """
     rows = docs.select("doc_id", "lang", "text").filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).filter(F.col("text").rlike(LETTER))
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = written(sizes, "sizes")
     langs = sorted(r.lang for r in sizes.collect())  # one row a language, which the model has to hold anyway
     quota = -(-limit // max(len(langs), 1))
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    some = rows.join(sizes, "lang").filter(place * F.col("n") < quota).select("lang", "text").distinct()
+    some = rows.join(beside(sizes), "lang").filter(place * F.col("n") < quota).select("lang", "text").distinct()
     return langs, written(some.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))), "train")
 
 
