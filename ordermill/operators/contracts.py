@@ -36,11 +36,23 @@ def column_checks(contract: Contract, columns: Sequence[str]) -> list[tuple[str,
     return out
 
 
+def _bounds(dtype: T.DataType) -> tuple[int, int] | None:
+    """Smallest and largest whole number of a declared type."""
+    if isinstance(dtype, T.ShortType | T.IntegerType | T.LongType):
+        top = 1 << {T.ShortType: 15, T.IntegerType: 31, T.LongType: 63}[type(dtype)]
+        return -top, top - 1
+    if isinstance(dtype, T.DecimalType):
+        top = 10 ** (dtype.precision - dtype.scale)
+        return 1 - top, top - 1
+    return None
+
+
 def violation(contract: Contract, check: str, column: str, kind: T.DataType | None = None) -> F.Column:
     """Row predicate: true where the row breaks ``check`` on ``column``.
 
-    Types are checked by a ``try_cast`` to the declared type: a value that does
+    Types are checked against the declared type: a value that does
     not fit (after rounding to the declared scale) or cannot be read breaks it.
+    Numbers are compared with the type's bounds; only other types, texts above all, go through ``try_cast``.
     ``kind`` is the column's actual type.
     """
     c = contract.column(column)
@@ -52,6 +64,14 @@ def violation(contract: Contract, check: str, column: str, kind: T.DataType | No
     if check.startswith(("numeric_", "type_")):
         if kind == c.dtype or isinstance(kind, T.TimestampNTZType) and isinstance(c.dtype, T.TimestampType):
             return F.lit(False)
+        bounds = _bounds(c.dtype)
+        if bounds and isinstance(kind, T.IntegralType):
+            low, high = bounds
+            return (col < low) | (col > high)
+        if isinstance(c.dtype, T.DecimalType) and isinstance(kind, T.DecimalType):
+            if kind.scale <= c.dtype.scale and kind.precision - kind.scale <= c.dtype.precision - c.dtype.scale:
+                return F.lit(False)  # every value of the type fits
+            return F.abs(F.round(col, c.dtype.scale)) >= F.lit(10 ** (c.dtype.precision - c.dtype.scale))
         # Through text: try_cast takes it to every declared type.
         return col.isNotNull() & col.cast("string").try_cast(c.dtype).isNull()
     raise ValueError(check)

@@ -20,7 +20,7 @@ from ordermill.operators import contracts, flatten, manifest, quality, reports,
 from ordermill.plans import bundle, fixtures, ingest, migration, nested
 from ordermill.plans import shopviews as sv
 from ordermill.session import scratch_path
-from ordermill.sources import raw, sinks, snapshots
+from ordermill.sources import keyed, raw, retention, sinks, snapshots
 from ordermill.streaming import files as stream_files
 from ordermill.plans.present import present
 
@@ -747,7 +747,7 @@ def _ingested(spark: SparkSession, d: str, max_files: int | None) -> ingest.Tabl
 @register("ingest_orders", sv.with_views(f"{_HEADER_SQL} ({_FLAT_SQL}) f", "shop_orders", "shop_items"))
 def q_ingest_orders(spark: SparkSession, d: str) -> DataFrame:
     """Orders after a stream run of two files a micro-batch over sub-folders whose files hold orders of all dates (O-01, O-02, O-56)."""
-    return ingest.read_orders(spark, _ingested(spark, d, 2)).drop("created_month", "part_value")
+    return ingest.read_orders(spark, _ingested(spark, d, 2))
 
 
 @register("ingest_items", sv.with_views(_ITEM_SQL, "shop_orders", "shop_items"))
@@ -767,7 +767,7 @@ SELECT order_id, CASE WHEN CAST(substr(order_id, 2) AS BIGINT) % 5 = 0 THEN crea
   modified_on, CASE WHEN CAST(substr(order_id, 2) AS BIGINT) % 5 = 0 THEN 'MOVED' ELSE fulfillment_status END AS fulfillment_status
 FROM ({_HEADER_SQL} ({_FLAT_SQL}) f) h""", "shop_orders", "shop_items"))
 def q_ingest_moved_orders(spark: SparkSession, d: str) -> DataFrame:
-    """Two runs; in the second every fifth order was created 45 days later: each key stays once, in its new month (O-56)."""
+    """Two runs; in the second every fifth order was created 45 days later: each key stays once (O-56)."""
     tables_ = ingest.Tables(scratch_path(spark, "ingest"))
     docs = nested.landed_documents(spark, d)
     ingest.run_batch(docs, tables_, "run-1")
@@ -782,6 +782,110 @@ def q_ingest_moved_orders(spark: SparkSession, d: str) -> DataFrame:
     return ingest.read_orders(spark, tables_).select("order_id", "created_on", "modified_on", "fulfillment_status")
 
 
+# --- tables kept by file, maintained reports, retention (O-56, O-63, O-69..O-72) ----------
+
+_BY_FILE_ROWS = 4000  # rows of a file, so that the test tables have several
+_RETURNED_SQL = f"""
+SELECT order_id, order_number, created_on + INTERVAL 45 DAY AS created_on, modified_on, fulfilled_on, customer_email, customer_name, shipping_city,
+  shipping_state, shipping_country, 'RETURNED' AS fulfillment_status, CAST(discount_total AS DOUBLE) AS discount_total,
+  CAST(refund_total AS DOUBLE) AS refund_total, CAST(order_total AS DOUBLE) AS order_total
+FROM shop_orders WHERE o_orderkey % 50 = 0"""
+
+
+@register("upsert_by_file", sv.with_views("""
+SELECT * FROM returned
+UNION ALL SELECT * FROM staged s WHERE NOT EXISTS (SELECT 1 FROM returned r WHERE r.order_id = s.order_id)
+UNION ALL SELECT * FROM base b WHERE NOT EXISTS (SELECT 1 FROM returned r WHERE r.order_id = b.order_id)
+  AND NOT EXISTS (SELECT 1 FROM staged s WHERE s.order_id = b.order_id)
+""", "shop_orders", extra=(*_UPSERT_CTES, ("returned", _RETURNED_SQL))))
+def q_upsert_by_file(spark: SparkSession, d: str) -> DataFrame:
+    """Two upserts into a keyed file table; the second moves orders to another date and repeats keys of the first (O-56, O-35)."""
+    root = scratch_path(spark, "by-file")
+    base, staged = _base_and_staged(spark, d)
+    orders = sv.shop_order_headers_df(spark, d)
+    returned = (orders.filter(F.substring("order_id", 2, 30).cast("long") % 50 == 0)
+                .withColumn("created_on", F.timestamp_add("DAY", F.lit(45), F.col("created_on"))).withColumn("fulfillment_status", F.lit("RETURNED")))
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        return spark.read.parquet(sinks.write_staging(df, f"{root}/{name}"))
+
+    version = keyed.create(written(base, "base"), "order_id", f"{root}/orders/run=1", _BY_FILE_ROWS)
+    version = keyed.upsert(version, written(staged, "staged"), f"{root}/orders/run=2", _BY_FILE_ROWS)
+    return keyed.upsert(version, written(returned, "returned"), f"{root}/orders/run=3", _BY_FILE_ROWS).read()
+
+
+#: Orders created before this time come with the first run; some of them as they were before they changed.
+FIRST_RUN_UNTIL = "1996-01-01T00:00:00"
+
+
+def _two_runs(spark: SparkSession, d: str) -> ingest.Tables:
+    """Two runs that keep the reports: older orders, of which every third was pending and every fourth dated
+    differently (so they change groups in the second run), then all orders as they are."""
+    tables_ = ingest.Tables(scratch_path(spark, "maintained"), reports=True, rows_per_file=_BY_FILE_ROWS)
+    docs = nested.landed_documents(spark, d)
+
+    def earlier(o):
+        key = F.substring(o["id"], 2, 30).cast("long")
+        was = F.date_format(F.timestamp_add("DAY", F.lit(-9), F.to_timestamp(o["createdOn"])), nested.ISO)
+        return (o.withField("fulfillmentStatus", F.when(key % 3 == 0, "PENDING").when(key % 3 == 1, "OPEN").otherwise(o["fulfillmentStatus"]))
+                .withField("createdOn", F.when((key % 4 == 0) & (o["createdOn"] < "1995"), was).otherwise(o["createdOn"])))
+
+    old = F.transform(F.filter("result", lambda o: o["createdOn"] < FIRST_RUN_UNTIL), earlier)
+    ingest.run_batch(docs.withColumn("result", old), tables_, "week-1")
+    ingest.run_batch(docs, tables_, "week-2")
+    return tables_
+
+
+_LINES = ("lines", f"SELECT DISTINCT * FROM ({_FLAT_SQL}) f")
+
+
+@register("maintained_pending", sv.with_views("""
+SELECT product_sku, product_name, product_color, product_price, CAST(SUM(product_quantity) AS BIGINT) AS quantity
+FROM lines WHERE upper(fulfillment_status) = 'PENDING' GROUP BY product_sku, product_name, product_color, product_price
+""", "shop_orders", "shop_items", extra=(_LINES,)))
+def q_maintained_pending(spark: SparkSession, d: str) -> DataFrame:
+    """Pending quantities after two runs, from the stored deltas alone (O-69)."""
+    return ingest.read_report(spark, _two_runs(spark, d), "pending")
+
+
+@register("maintained_schedule", sv.with_views("""
+SELECT date_trunc('day', created_on)::TIMESTAMP AS ordered_on, product_sku, product_name, product_color, product_price,
+  CAST(SUM(product_quantity) AS BIGINT) AS quantity
+FROM lines GROUP BY 1, product_sku, product_name, product_color, product_price
+""", "shop_orders", "shop_items", extra=(_LINES,)))
+def q_maintained_schedule(spark: SparkSession, d: str) -> DataFrame:
+    """Order schedule after two runs, from the deltas as compaction has merged them (O-70)."""
+    tables_ = _two_runs(spark, d)
+    ingest.compact(spark, tables_, "compact-1")
+    return ingest.read_report(spark, tables_, "schedule")
+
+
+@register("maintained_cut_list", sv.with_views("""
+SELECT b.material_piece, b.material_color, t.product_name, t.product_color,
+       CAST(SUM(b.material_quantity) * any_value(t.ordered) AS BIGINT) AS total_material_needed,
+       CAST(COUNT(*) * any_value(t.ordered) AS BIGINT) AS total_products_ordered
+FROM shop_bom b JOIN totals t ON t.product_sku = b.product_sku
+GROUP BY b.product_sku, b.material_piece, b.material_color, t.product_name, t.product_color
+""", "shop_orders", "shop_items", "shop_products", "shop_bom", extra=(_LINES, ("totals", """
+  SELECT c.product_sku, c.product_name, c.product_color, SUM(CAST(l.product_quantity AS BIGINT)) AS ordered
+  FROM shop_products c JOIN lines l ON l.product_sku = c.product_sku WHERE upper(l.fulfillment_status) = 'PENDING' GROUP BY 1, 2, 3"""))))
+def q_maintained_cut_list(spark: SparkSession, d: str) -> DataFrame:
+    """Materials cut list from the maintained pending quantities (O-72)."""
+    pending = ingest.read_report(spark, _two_runs(spark, d), "pending")
+    return reports.cut_list_from_base(pending, sv.shop_products_df(spark, d), sv.shop_bom_df(spark, d))
+
+
+@register("retained_items", sv.with_views("""
+SELECT order_id, product_id, product_sku, product_name, product_quantity, product_price, product_color FROM lines
+""", "shop_orders", "shop_items", extra=(_LINES,)))
+def q_retained_items(spark: SparkSession, d: str) -> DataFrame:
+    """Items of two runs after compaction, with only the newest pointer's files left (O-63)."""
+    tables_ = _two_runs(spark, d)
+    ingest.compact(spark, tables_, "compact-1")
+    retention.vacuum(spark, tables_.root, keep=1)
+    return ingest.read_items(spark, tables_).drop("order_item_id")
+
+
 @register("ingest_failed_outcomes", sv.with_views("""
 SELECT rule, outcome, CAST(actual AS DOUBLE) AS actual FROM (
   SELECT 'RowCount > 0' AS rule, 'Passed' AS outcome, COUNT(*) AS actual FROM l

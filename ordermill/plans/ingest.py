@@ -10,16 +10,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.operators import quality
+from ordermill.operators import deltas, quality
 from ordermill.operators.flatten import flatten_order_lines
 from ordermill.operators.shape import assign_ids, distinct_rows, latest_per_key, order_headers, order_items
-from ordermill.operators.tables import newer_than, upsert, upsert_counts
+from ordermill.operators.tables import newer_than
 from ordermill.schemas import WATERMARK_FLOOR
 from ordermill.session import remove, require_utc
-from ordermill.sources import snapshots
+from ordermill.sources import keyed, retention, snapshots
 from ordermill.sources.raw import CORRUPT
 from ordermill.sources.sinks import write_staging
 from ordermill.streaming.files import append_to_parquet, run_available, stream_raw_orders
@@ -27,9 +27,11 @@ from ordermill.streaming.files import append_to_parquet, run_available, stream_r
 
 @dataclass
 class Tables:
-    """Folder layout of the target tables."""
+    """Folder layout of the target tables; with ``reports`` every run keeps the reports up to date."""
 
     root: str
+    reports: bool = False
+    rows_per_file: int = keyed.ROWS_PER_FILE
 
     @property
     def items(self) -> str:
@@ -48,9 +50,6 @@ class Tables:
         return f"{self.root}/landed"
 
 
-# Orders are kept per month of creation, so that an upsert reads and rewrites only
-# the months in which its orders are or were.
-PART_COL = "created_month"
 ITEM_ORDER = ["order_id", "product_sku", "product_id", "product_price", "product_quantity",
               "product_name", "product_color"]
 #: Rules of a run: those of the lines, and amounts and documents that cannot be read.
@@ -58,29 +57,40 @@ RULES = (*quality.ORDER_LINE_RULES, quality.ColumnValues("out_of_range_amounts",
 CORRUPT_RULE = f'ColumnValues "{CORRUPT}" = null'
 #: Reported but not gated on: malformed amounts count as 0 (D1).
 REPORT_ONLY = (RULES[-1].name,)
+#: Reports that runs maintain; the cut list is made of the pending one.
+REPORTS = {"pending": deltas.pending_report, "schedule": deltas.schedule_report}
+#: Metrics of a run, kept as facts of its pointer row.
+METRICS = ("inserted", "updated", "affected", "items_appended", "lines_collapsed")
+LANDED_THROUGH = "landed_through"
+
+
+def version_of(spark: SparkSession, tables: Tables, name: str, now: snapshots.Snapshot | None = None) -> keyed.Version | None:
+    """The current version of ``orders`` or ``items``, or that of a snapshot."""
+    now = now or snapshots.current(spark, tables.root)
+    return keyed.open_version(spark, now.paths[name]) if now and name in now.paths else None
 
 
 def read_orders(spark: SparkSession, tables: Tables) -> DataFrame | None:
     """Current orders."""
-    now = snapshots.current(spark, tables.root)
-    return now.read(spark, "orders") if now else None
+    version = version_of(spark, tables, "orders")
+    return version.read() if version else None
 
 
 def read_items(spark: SparkSession, tables: Tables) -> DataFrame | None:
     """Items of all published runs."""
-    done = snapshots.pointers(spark, tables.root)
-    if done is None:
-        return None
-    return spark.read.parquet(tables.items).join(done.select("run_id").distinct(), "run_id", "left_semi").drop("run_id")
+    version = version_of(spark, tables, "items")
+    return version.read() if version else None
 
 
-def _months(df: DataFrame) -> list[str]:
-    """Months of a batch: a short list."""
-    return sorted(r[0] for r in df.select(PART_COL).distinct().collect())
+def read_report(spark: SparkSession, tables: Tables, name: str) -> DataFrame | None:
+    """The groups of a maintained report (``pending`` or ``schedule``) as of the last run."""
+    now = snapshots.current(spark, tables.root)
+    state = now.read(spark, f"reports/{name}") if now else None
+    return deltas.current_groups(state) if state is not None else None
 
 
 def run_batch(raw: DataFrame, tables: Tables, run_id: str, dedupe: str = "rows", by_item_id: bool = False,
-              rules=RULES, report_only=REPORT_ONLY, accept_corrupt: bool = False) -> dict:
+              rules=RULES, report_only=REPORT_ONLY, accept_corrupt: bool = False, landed_through: int | None = None) -> dict:
     """Process one run of raw documents; returns its metrics.
 
     ``dedupe`` as in ``flatten_order_lines``. ``by_item_id`` tells lines of one order apart by the
@@ -88,15 +98,16 @@ def run_batch(raw: DataFrame, tables: Tables, run_id: str, dedupe: str = "rows",
     and ``lines_collapsed`` counts what that drops.
     Unreadable documents (``raw`` with the corrupt-record column) go to the quarantine
     and fail the run unless ``accept_corrupt``. A run that fails publishes its outcomes and nothing else.
+    ``landed_through`` is the last landed batch that the run takes (``run_stream``); every run carries it on.
     """
     spark = raw.sparkSession
     require_utc(spark)
     known = snapshots.current(spark, tables.root, run_id)
     if known is not None:
-        return {k: int(v) for k, v in known.facts.items() if k != "mark"}
+        return {k: int(known.facts[k]) for k in METRICS}
     work = f"{tables.root}/work/{run_id}"
     try:
-        flat = spark.read.parquet(write_staging(flatten_order_lines(raw, dedupe=dedupe, keep_item_id=True, amount_checks=True), f"{work}/flat"))
+        flat, n_flat = _staged(flatten_order_lines(raw, dedupe=dedupe, keep_item_id=True, amount_checks=True), f"{work}/flat")
         outcomes = quality.evaluate_rules(flat, rules)
         if CORRUPT in raw.columns:
             # Spark reads the corrupt-record column of raw files only along with others.
@@ -108,55 +119,112 @@ def run_batch(raw: DataFrame, tables: Tables, run_id: str, dedupe: str = "rows",
         published = quality.append_outcomes(outcomes, tables.outcomes, run_id)
         quality.gate(published, ignore=(*report_only, *((CORRUPT_RULE,) if accept_corrupt else ())))
 
-        counts, paths, facts = _change(flat, tables, run_id, work, by_item_id)
+        before = snapshots.current(spark, tables.root) or snapshots.Snapshot("", {}, {})
+        counts, paths, facts = _change(flat, n_flat, tables, before, run_id, work, by_item_id)
+        through = landed_through if landed_through is not None else before.facts.get(LANDED_THROUGH)
+        if through is not None:
+            facts[LANDED_THROUGH] = str(through)
         snapshots.commit(spark, tables.root, run_id, paths, facts)
         return counts
     finally:
         remove(spark, work)
 
 
-def _change(flat: DataFrame, tables: Tables, run_id: str, work: str, by_item_id: bool) -> tuple[dict, dict, dict]:
-    """Write the orders and items of a run; returns metrics, folders and facts for the pointer."""
+def _staged(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Write an intermediate table; the table read back and its rows, counted by the write."""
+    seen = Observation()
+    write_staging(df.observe(seen, F.count(F.lit(1)).alias("n")), path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), int(seen.get.get("n") or 0)
+
+
+def _change(flat: DataFrame, n_flat: int, tables: Tables, before: snapshots.Snapshot, run_id: str, work: str, by_item_id: bool) -> tuple[dict, dict, dict]:
+    """Write the orders, items and report deltas of a run; returns metrics, folders and facts for the pointer."""
     spark = flat.sparkSession
-    before = snapshots.current(spark, tables.root) or snapshots.Snapshot("", {}, {})
     plain = flat.drop("out_of_range_amounts", "malformed_amounts")
-    lines = distinct_rows(plain)
-    if not by_item_id:
-        lines = distinct_rows(plain.drop("line_item_id"))
+    lines, n_lines = _staged(distinct_rows(plain if by_item_id else plain.drop("line_item_id")), f"{work}/lines")
     headers = order_headers(lines)
     # The last columns make the order total: rows that tie are equal.
     rest = [F.col(c).desc_nulls_last() for c in headers.columns if c not in ("order_id", "modified_on")]
-    staged = latest_per_key(headers, ["order_id"], [F.col("modified_on").desc_nulls_last()], tie_break=rest)
-    staged = staged.withColumn(PART_COL, F.coalesce(F.date_format("created_on", "yyyy-MM"), F.lit("unknown")))
-    staged = spark.read.parquet(write_staging(staged, f"{work}/staged"))
-
-    old = before.read(spark, "orders")
-    # Months that orders come to, and months that they leave.
-    touched = set(_months(staged))
-    if old is not None:
-        touched |= set(_months(old.select("order_id", PART_COL).join(staged.select("order_id"), "order_id", "left_semi")))
-    paths = dict(before.paths)
-    here = [paths.pop(f"orders/{m}") for m in sorted(touched) if f"orders/{m}" in paths]
-    target = spark.read.parquet(*here) if here else staged.limit(0)
-    counts = upsert_counts(target, staged, ["order_id"]).first().asDict()
-    folder = f"{tables.root}/orders/run={run_id}"
-    new = upsert(target, staged, ["order_id"]).withColumn("part_value", F.col(PART_COL))
-    new.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part_value").parquet(folder)
-    paths |= {f"orders/{m}": f"{folder}/part_value={m}" for m in _months(spark.read.parquet(folder))} if counts["affected"] else {}
+    # An order without an id fails the gate; where that rule is left out it is in no order table.
+    headers = headers.filter("order_id is not null")
+    staged, n_staged = _staged(latest_per_key(headers, ["order_id"], [F.col("modified_on").desc_nulls_last()], tie_break=rest), f"{work}/staged")
+
+    paths = {"orders": f"{tables.root}/orders/run={run_id}", "items": f"{tables.items}/run={run_id}"}
+    old_orders, old_items = (version_of(spark, tables, name, before) if before.run_id else None for name in ("orders", "items"))
+    touched = keyed.holding(old_orders, staged.select("order_id")) if old_orders else []
+    if old_orders is None:
+        orders = keyed.create(staged, "order_id", paths["orders"], tables.rows_per_file)
+        n_updated = 0
+    else:
+        orders = keyed.upsert(old_orders, staged, paths["orders"], tables.rows_per_file, touched, checked=True)
+        n_updated = keyed.updated(old_orders, orders, n_staged)
 
     mark = before.facts.get("mark", WATERMARK_FLOOR)
     done = int(before.facts.get("items_total", 0))
     fresh = newer_than(order_items(lines), F.lit(mark).cast("timestamp"))
     fresh = assign_ids(fresh, "order_item_id", ITEM_ORDER, start=done + 1)
-    items = spark.read.parquet(write_staging(fresh, f"{work}/items"))
-    summary = items.agg(F.count(F.lit(1)).alias("n"), F.max("created_on").cast("string").alias("mark")).first()
-    write_staging(items.drop("created_on"), f"{tables.items}/run_id={run_id}")
-    counts["items_appended"] = summary["n"]
-    counts["lines_collapsed"] = flat.count() - lines.count()
-    facts = {k: str(v) for k, v in counts.items()} | {"items_total": str(done + summary["n"]), "mark": max(mark, summary["mark"] or mark)}
+    summary = fresh.agg(F.count(F.lit(1)).alias("n"), F.max("created_on").cast("string").alias("mark")).first()
+    fresh = fresh.drop("created_on")
+    if old_items is None:
+        keyed.create(fresh, "order_id", paths["items"], tables.rows_per_file)
+    else:
+        keyed.append(old_items, fresh, paths["items"], tables.rows_per_file)
+    if tables.reports:
+        paths |= _reports(spark, tables, before, run_id, old_orders, old_items, orders, touched, staged, fresh)
+
+    counts = {"inserted": n_staged - n_updated, "updated": n_updated, "affected": n_staged,
+              "items_appended": summary["n"], "lines_collapsed": n_flat - n_lines}
+    facts = {k: str(v) for k, v in counts.items()} | {"items_total": str(done + summary["n"]), "mark": max(mark, summary["mark"] or mark), "keyed": "orders,items"}
     return counts, paths, facts
 
 
+def _reports(spark: SparkSession, tables: Tables, before: snapshots.Snapshot, run_id: str, old_orders: keyed.Version | None, old_items: keyed.Version | None,
+             orders: keyed.Version, touched: list[str], staged: DataFrame, fresh: DataFrame) -> dict[str, str]:
+    """Deltas of the maintained reports, next to those of earlier runs; without any the reports begin with the whole tables."""
+    paths = {k: p for k, p in before.paths.items() if k.startswith("reports/")}
+    if old_orders is None or not paths:
+        was, now, existing = staged.limit(0), orders.read(), fresh.limit(0)
+        fresh = fresh if old_items is None else old_items.read().unionByName(fresh)
+    else:
+        was, now = keyed.lookup(old_orders, staged.select("order_id"), touched), staged
+        moved = None
+        for report in REPORTS.values():
+            keys = deltas.moved_orders(report(), was, now).select("order_id")
+            moved = keys if moved is None else moved.unionByName(keys)
+        moved, _ = _staged(moved.distinct(), f"{tables.root}/work/{run_id}/moved")
+        existing = keyed.lookup(old_items, moved)
+    for name, report in REPORTS.items():
+        path = f"{tables.root}/reports/{name}/run={run_id}"
+        write_staging(deltas.report_delta(report(), was, now, existing, fresh), path)
+        paths[f"reports/{name}/{run_id}"] = path
+    return paths
+
+
+def compact(spark: SparkSession, tables: Tables, run_id: str) -> bool:
+    """Merge small files of orders and items and all deltas of each report; False if there is nothing to merge.
+
+    Contents, mark and facts stay; a crash before the pointer row leaves everything as it was.
+    """
+    now = snapshots.current(spark, tables.root)
+    if now is None or snapshots.current(spark, tables.root, run_id) is not None:
+        return False
+    paths = dict(now.paths)
+    for name, folder in (("orders", f"{tables.root}/orders/run={run_id}"), ("items", f"{tables.items}/run={run_id}")):
+        if retention.compact_keyed(version_of(spark, tables, name, now), folder, tables.rows_per_file) is not None:
+            paths[name] = folder
+    for name in REPORTS:
+        parts = [k for k in paths if k.startswith(f"reports/{name}/")]
+        if len(parts) > 1:
+            path = retention.compact_deltas(now.read(spark, f"reports/{name}"), f"{tables.root}/reports/{name}/run={run_id}")
+            for k in parts:
+                del paths[k]
+            paths[f"reports/{name}/{run_id}"] = path
+    if paths == now.paths:
+        return False
+    snapshots.commit(spark, tables.root, run_id, paths, now.facts | dict.fromkeys(METRICS, "0"))
+    return True
+
+
 def run_stream(spark: SparkSession, landing: str, tables: Tables, checkpoint: str,
                archive_dir: str | None = None, max_files_per_trigger: int | None = None, **options) -> dict | None:
     """Process every raw file landed since the last run, once, then stop (O-02).
@@ -169,7 +237,7 @@ def run_stream(spark: SparkSession, landing: str, tables: Tables, checkpoint: st
     stream = stream_raw_orders(spark, landing, archive_dir=archive_dir, max_files_per_trigger=max_files_per_trigger)
     run_available(stream, append_to_parquet(tables.landed), checkpoint)
     now = snapshots.current(spark, tables.root)
-    taken = int(now.run_id.rsplit("-", 1)[1]) if now else -1
+    taken = int(now.facts.get(LANDED_THROUGH, -1)) if now else -1
     try:
         landed = spark.read.parquet(tables.landed).filter(F.col("batch_id") > taken)
     except Exception as e:  # nothing was ever landed
@@ -179,7 +247,7 @@ def run_stream(spark: SparkSession, landing: str, tables: Tables, checkpoint: st
     last = landed.agg(F.max("batch_id")).first()[0]
     if last is None:
         return None
-    return run_batch(landed.drop("batch_id"), tables, f"through-{last}", **options)
+    return run_batch(landed.drop("batch_id"), tables, f"through-{last}", landed_through=last, **options)
 
 
-__all__ = ["Tables", "run_batch", "run_stream", "read_orders", "read_items", "RULES", "REPORT_ONLY"]
+__all__ = ["Tables", "run_batch", "run_stream", "compact", "read_orders", "read_items", "read_report", "version_of", "RULES", "REPORT_ONLY", "REPORTS"]
