@@ -67,7 +67,7 @@ def violation(contract: Contract, check: str, column: str, kind: T.DataType | No
         bounds = _bounds(c.dtype)
         if bounds and isinstance(kind, T.IntegralType):
             low, high = bounds
-            return (col < low) | (col > high)
+            return F.lit(False) if high >= (1 << 63) - 1 else (col < low) | (col > high)
         if isinstance(c.dtype, T.DecimalType) and isinstance(kind, T.DecimalType):
             if kind.scale <= c.dtype.scale and kind.precision - kind.scale <= c.dtype.precision - c.dtype.scale:
                 return F.lit(False)  # every value of the type fits

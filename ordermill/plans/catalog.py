@@ -21,6 +21,7 @@ from ordermill.plans import bundle, fixtures, ingest, migration, nested
 from ordermill.plans import shopviews as sv
 from ordermill.session import scratch_path
 from ordermill.sources import keyed, raw, retention, sinks, snapshots
+from ordermill.streaming import events as event_stream
 from ordermill.streaming import files as stream_files
 from ordermill.plans.present import present
 
@@ -499,6 +500,23 @@ def q_append_log_defaults(spark: SparkSession, d: str) -> DataFrame:
     return snapshots.current(spark, root).read(spark, "log")
 
 
+@register("migration_published", f"""
+WITH catalog AS ({_CATALOG_SQL}), fresh AS ({_NEW_PRODUCTS_SQL})
+{_LEGACY_SQL}
+UNION ALL SELECT * FROM fresh f WHERE NOT EXISTS (SELECT 1 FROM catalog c WHERE c.product_sku = f.product_sku)
+""")
+def q_migration_published(spark: SparkSession, d: str) -> DataFrame:
+    """The catalog that the composed migration publishes after its counts were checked (O-59, O-60, O-63)."""
+    root = scratch_path(spark, "migration")
+    catalog, fresh, legacy = sv.shop_products_df(spark, d), _new_products(spark, d), _legacy_keys(spark, d)
+    mapping = _mapping(spark, d).select("old_sku", "new_sku", F.lit(None).cast("string").alias("migration_reason"))
+    migration.publish_seed(spark, root, catalog, sv.shop_bom_df(spark, d).withColumn("modified_at", F.lit(sv.CATALOG_STAMP).cast("timestamp")))
+    n_legacy, n_all = legacy.count(), catalog.join(fresh.select("product_sku"), "product_sku", "full_outer").count()
+    expected = {"Legacy products": n_legacy, "New products": n_all - n_legacy, "Migration entries": mapping.count()}
+    migration.run_migration(root, legacy, fresh, mapping, expected, "m1", at=CHANGE_STAMP, on_conflict="ignore")
+    return snapshots.current(spark, root).read(spark, "products")
+
+
 # --- data quality and contracts (O-36, O-48..O-52, O-64..O-68) ------------------------
 
 _DQ_SQL = """
@@ -526,6 +544,16 @@ def q_dq_outcomes(spark: SparkSession, d: str) -> DataFrame:
     return quality.evaluate_rules(fixtures.dq_lines(spark, d))
 
 
+@register("dq_merged_outcomes", ORACLE["dq_outcomes"])
+def q_dq_merged_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """The same outcomes merged from the stored states of three runs, each over the lines of some orders; no line is read again (O-48..O-51, O-54)."""
+    path = scratch_path(spark, "dq-states")
+    lines = fixtures.dq_lines(spark, d)
+    for run in range(3):
+        quality.append_states(quality.rule_states(lines.filter(F.pmod(F.xxhash64("order_id"), F.lit(3)) == run)), path, f"run-{run}")
+    return quality.outcomes_of(quality.read_states(spark, path))
+
+
 _DQ_ROW_SQL = """
 SELECT order_id, product_sku, l_linenumber, CAST(len(f) AS INTEGER) AS n_failed, array_to_string(f, '; ') AS failed
 FROM (SELECT *, list_filter([
@@ -692,6 +720,30 @@ def q_report_manifest(spark: SparkSession, d: str) -> DataFrame:
     return manifest.report_manifest(kept, MANIFEST_RUN_DATE, RECIPIENTS).drop("event")
 
 
+@register("stream_manifest", f"""
+WITH ev AS (
+  SELECT replace(replace({_EVENT_KEY_SQL}, '%3A', ':'), '%2F', '/') AS key
+  FROM (SELECT page_id, DATE '2025-01-01' + CAST(page_id AS INTEGER) AS d,
+               CASE WHEN page_id % 5 = 0 THEN '.csv' WHEN page_id % 5 = 1 THEN '.XLSX' ELSE '.xlsx' END AS ext
+        FROM pages) p),
+kept AS (SELECT DISTINCT key, string_split(key, '/') AS parts FROM ev WHERE lower(key) LIKE '%.xlsx'),
+dated AS (SELECT key, parts, CASE WHEN len(parts) >= 4 THEN parts[2] || '-' || parts[3] || '-' || parts[4] ELSE '{MANIFEST_RUN_DATE}' END AS report_date FROM kept)
+SELECT 'reports-bucket' AS bucket, key, parts[len(parts)] AS file_name, report_date,
+       strftime(COALESCE(try_strptime(report_date, '%Y-%m-%d'), TIMESTAMP '{MANIFEST_RUN_DATE}'), '%B %d, %Y') AS display_date,
+       'Orders Report - ' || report_date AS subject, unnest(string_split('{RECIPIENTS}', ',')) AS recipient
+FROM dated
+""")
+def q_stream_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest from a stream of events that arrive more than once: one row per file and recipient (O-73..O-76)."""
+    root = scratch_path(spark, "events")
+    events = _storage_events(spark, d).select(F.col("event").alias("value"))
+    for delivery in range(2):  # every event is delivered twice
+        events.write.mode("append").text(f"{root}/landing")
+    stream = event_stream.stream_events(spark, f"{root}/landing", max_files_per_trigger=1)
+    stream_files.run_available(event_stream.unique_files(stream), event_stream.manifest_sink(f"{root}/manifest", MANIFEST_RUN_DATE, RECIPIENTS), f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/manifest").drop("batch_id")
+
+
 # --- sinks, streaming, report set (O-01..O-03, O-08, O-09) -----------------------------
 
 RUN_DATE = "2025-06-30"

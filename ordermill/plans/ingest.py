@@ -41,6 +41,10 @@ class Tables:
     def outcomes(self) -> str:
         return f"{self.root}/dq_outcomes"
 
+    @property
+    def states(self) -> str:
+        return f"{self.root}/dq_states"
+
     @property
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
@@ -89,6 +93,14 @@ def read_report(spark: SparkSession, tables: Tables, name: str) -> DataFrame | N
     return deltas.current_groups(state) if state is not None else None
 
 
+def table_outcomes(spark: SparkSession, tables: Tables, rules=RULES) -> DataFrame | None:
+    """Outcomes of the rules over the lines of all published runs, merged from the runs' states without reading a line."""
+    done = snapshots.pointers(spark, tables.root)
+    if done is None:
+        return None
+    return quality.outcomes_of(quality.read_states(spark, tables.states).join(done.select("run_id").distinct(), "run_id", "left_semi"), rules)
+
+
 def run_batch(raw: DataFrame, tables: Tables, run_id: str, dedupe: str = "rows", by_item_id: bool = False,
               rules=RULES, report_only=REPORT_ONLY, accept_corrupt: bool = False, landed_through: int | None = None) -> dict:
     """Process one run of raw documents; returns its metrics.
@@ -117,6 +129,7 @@ def run_batch(raw: DataFrame, tables: Tables, run_id: str, dedupe: str = "rows",
                 [(CORRUPT_RULE, "Failed" if n_bad else "Passed", float(n_bad))], "rule string, outcome string, actual double"))
         # Evaluated once: published first, then gated on what was published.
         published = quality.append_outcomes(outcomes, tables.outcomes, run_id)
+        quality.append_states(quality.rule_states(flat, rules), tables.states, run_id)
         quality.gate(published, ignore=(*report_only, *((CORRUPT_RULE,) if accept_corrupt else ())))
 
         before = snapshots.current(spark, tables.root) or snapshots.Snapshot("", {}, {})
@@ -250,4 +263,4 @@ def run_stream(spark: SparkSession, landing: str, tables: Tables, checkpoint: st
     return run_batch(landed.drop("batch_id"), tables, f"through-{last}", landed_through=last, **options)
 
 
-__all__ = ["Tables", "run_batch", "run_stream", "compact", "read_orders", "read_items", "read_report", "version_of", "RULES", "REPORT_ONLY", "REPORTS"]
+__all__ = ["Tables", "run_batch", "run_stream", "compact", "read_orders", "read_items", "read_report", "table_outcomes", "version_of", "RULES", "REPORT_ONLY", "REPORTS"]

@@ -301,3 +301,40 @@ def test_outcomes_rerun_replaces_its_own_rows(spark, tmp_dir):
     back = spark.read.parquet(path)
     assert back.count() == 4
     assert sorted(r.run_id for r in back.select("run_id").distinct().collect()) == ["batch-0", "batch-1"]
+
+
+def test_merged_rule_states_equal_the_evaluation_of_the_whole(spark):
+    rows = spark.createDataFrame([(None, 1.0, 0), ("a", None, 0), ("b", -1.0, 1), ("c", 2.0, 2), (None, None, 2)], "k string, v double, part int")
+    rules = (quality.RowCount(">", 4), quality.RowCount("<", 5), quality.Completeness("k", ">=", 0.6), quality.Completeness("k", "=", 1.0), quality.ColumnValues("v", ">=", 0), quality.ColumnValues("v", ">", -2))
+
+    def shown(df):
+        return sorted((r.rule, r.outcome, r.actual) for r in df.collect())
+
+    for parts in ([0, 1, 2], [0, 1, 2, 3]):  # part 3 has no rows
+        states = None
+        for p in parts:
+            own = quality.rule_states(rows.filter(F.col("part") == p), rules)
+            states = own if states is None else states.unionByName(own)
+        assert shown(quality.outcomes_of(states, rules)) == shown(quality.evaluate_rules(rows, rules))
+    empty = rows.limit(0)
+    assert shown(quality.outcomes_of(quality.rule_states(empty, rules), rules)) == shown(quality.evaluate_rules(empty, rules))
+
+
+def test_number_columns_are_checked_by_bounds(spark):
+    from ordermill import schemas
+    from ordermill.operators import contracts
+
+    def broken(column, ddl, values):
+        contract = schemas.CONTRACTS["order_items"]
+        df = spark.createDataFrame([(v,) for v in values], f"{column} {ddl}")
+        checks = [k for k, c in contracts.column_checks(contract, df.columns) if k.startswith(("numeric", "type"))]
+        assert len(checks) == 1
+        return [r[0] for r in df.select(F.coalesce(contracts.violation(contract, checks[0], column, df.schema[column].dataType), F.lit(False))).collect()]
+
+    from decimal import Decimal as D
+    assert broken("product_quantity", "int", [32767, 32768, -32768, -32769, None]) == [False, True, False, True, False]
+    assert broken("product_quantity", "bigint", [2**40, 5]) == [True, False]
+    assert broken("product_quantity", "string", ["7", "x", "40000", None]) == [False, True, True, False]
+    assert broken("product_price", "decimal(14,4)", [D("99999999.9949"), D("99999999.9950"), D("-100000000"), None]) == [False, True, True, False]
+    assert broken("product_price", "decimal(8,2)", [D("5.00")]) == [False]
+    assert broken("product_price", "bigint", [99999999, 100000000]) == [False, True]
