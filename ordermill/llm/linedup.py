@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm import minhash, neardup, textkit
 from ordermill.llm.components import connected_components
-from ordermill.llm.store import written
+from ordermill.llm.store import packed, written
 
 #: Characters in a shingle, and in the shortest line that takes part (without white space around it).
 SHINGLE = 8
@@ -280,7 +280,8 @@ def deduplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     whole count as one and all keep what that one keeps. Other columns pass through whatever their
     names, but for ``dropped_lines``, which is replaced. An empty table gives an empty result.
     """
-    docs = docs.drop("dropped_lines")
+    columns = [c for c in docs.columns if c != "dropped_lines"]
+    docs = docs.select("doc_id", "text", packed(docs, ("text", "dropped_lines")).alias("row"))
     version = F.xxhash64("text")
     found = docs.select("doc_id", "text", version.alias("version")).mapInArrow(
         _occurrences, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, version long, line long, key binary")
@@ -294,17 +295,21 @@ def deduplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     drops = (lines.join(again, "key").filter(~at.eqNullSafe(F.col("stays"))).groupBy("doc_id", "version")
              .agg(F.sort_array(F.collect_set("line")).alias("dropped_lines")).toDF("drop_doc_id", "drop_version", "dropped_lines"))
     both = docs.join(drops, docs["doc_id"].eqNullSafe(F.col("drop_doc_id")) & (version == F.col("drop_version")), "left")
-    both = both.select(*[docs[f"`{c}`"] for c in docs.columns], "dropped_lines")
-    return both.mapInArrow(_rebuild, both.schema)
+    both = both.select("text", "row", "dropped_lines")
+    return both.mapInArrow(_rebuild, both.schema).select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in columns], "dropped_lines")
 
 
 def without_copied_lines(docs: DataFrame, **options) -> DataFrame:
     """The documents after line deduplication, with the columns of ``docs``; ``n_chars``, if there is one, follows a changed text.
 
-    A document that loses all its visible text this way goes: all of it stays elsewhere.
+    A document that loses all its visible text this way goes: all of it stays elsewhere. Null and empty texts
+    stay as they are; all other columns pass through whatever their names (a ``dropped_lines`` of ``docs`` too); an empty
+    table gives an empty result; texts are read whole at any length.
     """
-    got = deduplicate_lines(docs, **options)
-    if "n_chars" in docs.columns:
+    got = deduplicate_lines(docs.select("doc_id", "text", packed(docs, ("text",)).alias("given")), **options)
+    got = got.filter(F.col("dropped_lines").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    given = {c: F.col("given")[c] for c in docs.columns if c != "text"} | {"text": F.col("text")}
+    if "n_chars" in given:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
-        got = got.withColumn("n_chars", F.when(F.col("dropped_lines").isNotNull(), size).otherwise(F.col("n_chars")))
-    return got.filter(F.col("dropped_lines").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*[f"`{c}`" for c in docs.columns])
+        given["n_chars"] = F.when(F.col("dropped_lines").isNotNull(), size).otherwise(given["n_chars"])
+    return got.select(*[given[c].alias(c) for c in docs.columns])

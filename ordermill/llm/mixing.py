@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm.store import written
+from ordermill.llm.store import packed, written
 
 #: Largest number of times that a document may be taken.
 MAX_REPEAT = 3
@@ -33,6 +33,8 @@ COARSE = 200
 #: About so many documents share a bucket of the random order.
 BUCKET_DOCS = 2000
 SHARDS = 16
+#: ``mix_documents`` deals to more shards where one would hold more than so many words of the input (about 200 MB).
+SHARD_WORDS = 1 << 25
 BLOCK_WORDS = 50_000
 SEED = 7
 
@@ -230,10 +232,15 @@ def _numbered(blocks: DataFrame, block_words: int) -> DataFrame:
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix: every row as often as the mix takes it, with the columns of ``docs``.
 
-    Columns that are not used pass through untouched, whatever their names.
+    Rows come as they were dealt: the rows of a shard lie in one partition, in the order of its local shuffle, copies apart from each other.
+    All columns pass through untouched whatever their names. Null and empty texts have size 0 and are taken as their place in the
+    order says; rows that agree in doc_id, source and size go together; an empty table gives an empty result; texts of any length count whole.
     """
-    times = mix(measured(docs), **options).filter("copy is not null").groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n"))
-    times = times.toDF("mix_doc_id", "mix_source", "mix_size", "mix_n")
-    size = F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.join(times, docs["doc_id"].eqNullSafe(F.col("mix_doc_id")) & docs["source"].eqNullSafe(F.col("mix_source")) & (size == F.col("mix_size")))
-    return rows.select(*[docs[f"`{c}`"] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("mix_n").cast("int"))).alias("mix_copy")).drop("mix_copy")
+    sizes = written(measured(docs), "mix-words")
+    words = sizes.agg(F.sum("size")).first()[0] or 0
+    copies = mix(sizes, **{"shards": max(SHARDS, -(-words // SHARD_WORDS)), **options}).filter("copy is not null").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("src"), F.col("size").alias("words"), "shard", "place")
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.select("doc_id", "source", size.alias("size"), packed(docs).alias("row"))
+    met = F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("src")) & (F.col("size") == F.col("words"))
+    return rows.join(copies, met).repartition("shard").sortWithinPartitions("shard", "place").select("row.*")

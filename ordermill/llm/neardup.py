@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm import minhash, textkit
 from ordermill.llm.components import connected_components, roots
-from ordermill.llm.store import row_name, written
+from ordermill.llm.store import packed, row_name, written
 
 COORDINATES = 32
 #: Sets with similarity 0.75 agree in 24 coordinates on average, in under 12 with a probability of 1e-6.
@@ -232,11 +232,12 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     Rows are told apart by ``doc_id`` and text: of a component the row with the smallest id stays (null ids last; of
     texts under one id the one with the smallest digest), so different texts under one id or without an id are judged each.
+    Null, empty and blank texts stay, each row of them; rows repeated whole are one row of a component. All columns pass through whatever
+    their names; an empty table gives an empty result; texts are compared whole at any length.
     """
-    name = "near_row_name"
-    named = docs.withColumn(name, row_name())
+    named = docs.select(packed(docs).alias("row"), row_name().alias("name"), "text")
     # The component step takes the name for the id.
-    kept = near_duplicates(named.select(F.col(name).alias("doc_id"), "text"), **options).filter("kept and n_shingles > 0")
-    one = named.join(kept.select(F.col("doc_id").alias(name)).distinct(), name, "left_semi").dropDuplicates([name])
+    kept = near_duplicates(named.select(F.col("name").alias("doc_id"), "text"), **options).filter("kept and n_shingles > 0")
+    one = named.join(kept.select(F.col("doc_id").alias("name")).distinct(), "name", "left_semi").dropDuplicates(["name"])
     blank = named.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    return one.select(docs.columns).unionByName(blank.select(docs.columns))
+    return one.select("row").unionByName(blank.select("row")).select("row.*")

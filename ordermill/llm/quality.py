@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm import rules, textkit
-from ordermill.llm.store import row_name, written
+from ordermill.llm.store import packed, written
 
 FEATURES = ("log_bytes", "log_words", "upper", "digit", "stop", "comma", "mark", "symbol", "bar", "quote", "wide", "breaks",
             "word_length", "word_spread", "distinct", "top_word", "same_next", "upper_words", "symbol_words", "stop_words",
@@ -149,12 +149,17 @@ def training_rows(stats: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -
 
     Labels of one document are averaged; null labels and null ids do not count.
     """
+    return stats.join(known_labels(labels, limit), "doc_id").select("doc_id", "x", "y")
+
+
+def known_labels(labels: DataFrame, limit: int = MAX_TRAIN) -> DataFrame:
+    """``doc_id``, ``y`` of at most about ``limit`` labelled documents outside the held-out third."""
     known = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.avg("quality").alias("y")))
     share = min(1.0, limit / max(known.count(), 1))
     if share < 1:
         known = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return stats.join(known, "doc_id").select("doc_id", "x", "y")
+    return known
 
 
 def fit(stats: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN, seed: int = SEED) -> Model:
@@ -237,11 +242,19 @@ def score_documents(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN)
 def passed(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject.
 
-    A row goes if it is predicted 0. Rows are told apart by ``doc_id`` and text, so different texts under one id or without an id are judged each.
+    A row goes if it is predicted 0; every row is judged by its own text in the pass that reads it, so repeated ids, null ids
+    and repeated rows need no rule. Null and empty texts are scored like others. All columns pass through whatever their
+    names; an empty table gives an empty result; texts are read whole at any length.
     """
-    name = "quality_row_name"
-    named = docs.withColumn(name, row_name())
-    stats = written(document_statistics(named.select(F.col(name).alias("doc_id"), "text")), "statistics")
-    model = fit(stats.select("doc_id.doc_id", "x"), labels, limit)
-    good = score(stats, model).filter("score >= 0.5").select(F.col("doc_id").alias(name)).distinct()
-    return named.join(good, name, "left_semi").select(docs.columns)
+    # About ``limit`` ids at most: the statistics of the training rows are made beside a broadcast of bounded size.
+    learnt = docs.select("doc_id", "text").join(F.broadcast(known_labels(labels, limit).select("doc_id")), "doc_id", "left_semi")
+    model = fit(document_statistics(learnt), labels, limit)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in textkit.slices(batch.column("text")):
+                fine = pa.array(model.score(statistics(s)) >= 0.5)
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(s.lo, len(s)).filter(fine)], ["row"])
+
+    rows = docs.select(packed(docs).alias("row"), "text")
+    return rows.mapInArrow(good, rows.select("row").schema).select("row.*")

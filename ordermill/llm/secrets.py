@@ -53,10 +53,11 @@ def candidates(docs: DataFrame) -> DataFrame:
     and a bounded number of characters a match.
     """
     words = docs.filter(F.col("text").rlike(CANDIDATE)).select("doc_id", F.col("source").alias("path"), F.split("text", SPACE).alias("w"))
-    hit = F.transform("w", lambda x, i: F.when(x.rlike(CANDIDATE), i))
-    at = words.withColumn("place", F.explode(F.filter(hit, lambda i: i.isNotNull())))
-    near = lambda i: F.coalesce(F.get("w", F.col("place") + i), F.lit(""))
-    at = at.select("doc_id", "path", F.col("place").cast("long").alias("place"), near(0).alias("word"), F.concat_ws(" ", near(-2), near(-1)).alias("before"), near(1).alias("after"))
+    near = lambda i: F.coalesce(F.get("w", i), F.lit(""))
+    # Each matching word with its neighbours: the rows carry these, not the text's array of words.
+    hit = F.filter(F.transform("w", lambda x, i: F.when(x.rlike(CANDIDATE), F.struct(
+        i.cast("long").alias("place"), x.alias("word"), F.concat_ws(" ", near(i - 2), near(i - 1)).alias("before"), near(i + 1).alias("after")))), lambda x: x.isNotNull())
+    at = words.select("doc_id", "path", F.inline(hit))
     says = {
         "hint_before": _says("before", HINTS), "hint_after": _says("after", HINTS), "against_near": _says("before", AGAINST) | _says("after", AGAINST),
         "assigned_before": F.col("before").rlike("[=:]$"), "whole_word": F.col("word").rlike(f"^{CANDIDATE}$"), "address": F.col("word").rlike("^https?://"),

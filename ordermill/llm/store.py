@@ -41,6 +41,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """A column of the given table, whatever its name."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def packed(docs: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """All columns of ``docs`` (but ``without``) as one struct, so that no name of theirs can clash with another one."""
+    return F.struct(*[column(c).alias(c) for c in docs.columns if c not in without])
+
+
 def row_name() -> Column:
     """What tells a document's rows apart: its id and the digest of its text. Rows with the same name are copies; a null id comes last."""
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.unhex(F.md5("text")).alias("digest"))

@@ -190,3 +190,62 @@ def test_queries_match_their_sql(spark):
         assert sorted(rel.columns) == columns, name
         mine = sorted(str([r[c] for c in columns]) for r in df.collect())
         assert mine == sorted(str([r[rel.columns.index(c)] for c in columns]) for r in rel.fetchall()), name
+
+
+def test_stages_pass_columns_of_any_name(spark):
+    """Dotted names, names that the operators use themselves, null and repeated rows: values unchanged."""
+    import corpus_pipeline as P
+    from ordermill.llm.store import column, table, written
+
+    odd = ["a.b", "row", "name", "given", "near_row_name", "quality_row_name", "dropped_lines", "drop_doc_id", "drop_version", "mix_copy", "mix_doc_id", "mix_n",
+           "copy", "shard", "place", "id", "src", "size", "words", "rows", "key", "x", "score", "line", "version", "copies", "b`c", "component_id", "kept"]
+    docs = table(spark, SMOKE, "documents").filter("doc_id < 60")
+    docs = docs.union(docs.limit(1).select(F.lit(None).cast("long"), F.lit(None).cast("string"), "lang", F.lit(None).cast("string"), F.lit(0).cast("long")))
+    docs = docs.select("*", *[F.concat(F.lit(f"{i}/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for i, c in enumerate(odd)])
+    docs = written(docs, "odd")
+    for name, stage in P.STAGES:
+        got = stage(spark, docs, SMOKE)
+        if name == P.STAGES[-1][0]:
+            assert got.columns == ["doc_id", "token_ids"] and got.count() == docs.count()
+            continue
+        assert got.columns == docs.columns and [f.dataType for f in got.schema] == [f.dataType for f in docs.schema], name
+        rows = got.select("doc_id", *[column(c).alias(f"c{i}") for i, c in enumerate(odd)]).collect()
+        assert rows, name
+        for r in rows:
+            assert list(r)[1:] == [f"{i}/{'-' if r.doc_id is None else r.doc_id}" for i in range(len(odd))], name
+
+
+def test_secret_scan_grows_with_the_text(spark):
+    """Every word of a text of megabytes matches: rows carry their own words only."""
+    text = " ".join(f"word_{i:036x}" for i in range(60000))
+    table = spark.createDataFrame([(1, text, "src")], "doc_id long, text string, source string")
+    got = secrets.candidates(table)
+    assert got.count() == 60000
+    assert "w#" not in got._jdf.queryExecution().optimizedPlan().toString().split("Generate inline")[0]
+    some = got.filter("place = 777").first()
+    assert (some.value, some.before, some.after) == (f"word_{777:036x}", f"word_{775:036x} word_{776:036x}", f"word_{778:036x}")
+
+
+def test_mix_is_dealt_by_shard_and_shuffled(spark):
+    """The written mix holds whole shards in the order of their places; the tree says which."""
+    from ordermill.llm import mixing
+
+    docs = spark.createDataFrame([(i, "w " * (5 + i % 40), f"s{i % 3}") for i in range(400)], "doc_id long, text string, source string")
+    sizes = mixing.measured(docs)
+    want = mixing.mix(sizes, shards=4, block_words=50).filter("copy is not null")
+    order = {}
+    for r in want.collect():
+        order.setdefault(r.shard, []).append((r.place, r.doc_id))
+    order = {k: [i for _, i in sorted(v)] for k, v in order.items()}
+    assert sorted(order) == [0, 1, 2, 3] and all(v != sorted(v) for v in order.values())
+    parts = mixing.mix_documents(docs, shards=4, block_words=50).select("doc_id", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("m")).collect()
+    got = {}
+    for r in sorted(parts, key=lambda r: r.m):
+        got.setdefault(r.p, []).append(r.doc_id)
+    # a partition is a run of whole shards, each in its order
+    pieces = sorted(sum((v for v in order.values()), []))
+    assert sorted(sum(got.values(), [])) == pieces
+    for ids in got.values():
+        while ids:
+            shard = next(v for v in order.values() if ids[:len(v)] == v)
+            ids = ids[len(shard):]
