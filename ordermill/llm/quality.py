@@ -254,7 +254,8 @@ def passed(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> DataFr
         for batch in batches:
             for s in textkit.slices(batch.column("text")):
                 fine = pa.array(model.score(statistics(s)) >= 0.5)
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(s.lo, len(s)).filter(fine)], ["row"])
+                yield batch.slice(s.lo, len(s)).filter(fine)
 
-    rows = docs.select(packed(docs).alias("row"), "text")
-    return rows.mapInArrow(good, rows.select("row").schema).select("row.*")
+    rows = docs.select("text", packed(docs, ("text",)).alias("row"))
+    got = rows.mapInArrow(good, rows.schema)
+    return got.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
