@@ -58,8 +58,8 @@ def test_filters_and_pruning_reach_scan(spark):
     o = sv.shop_order_headers_df(spark, SMOKE)
     df = o.filter(F.col("created_on") < F.lit("1996-01-01").cast("timestamp_ntz")).select("order_id")
     p = _plan(df)
-    # the stamp is computed in the view, so only the null check of its column reaches the scan
-    assert "PushedFilters: [IsNotNull(o_orderdate)" in p
+    # the stamp is computed in the view, so only the null checks of its columns reach the scan, in any order
+    assert "IsNotNull(o_orderdate)" in p.split("PushedFilters: [")[1].split("]")[0]
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in p
 
 
