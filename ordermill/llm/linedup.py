@@ -44,34 +44,52 @@ def _binary(values: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(ends), pa.py_buffer(values)])
 
 
+def _stripped(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans without outer white space; a span of nothing else is empty."""
+    start, end = start.copy(), end.copy()
+    for side, at, step in ((start, 0, 1), (end, -1, -1)):
+        left = np.flatnonzero(start < end)
+        for _ in range(8):
+            left = left[textkit._SPACE[data[side[left] + at]]]
+            if not len(left):
+                break
+            side[left] += step
+            left = left[start[left] < end[left]]
+        if len(left):  # long runs: by the places of all other bytes
+            seen = np.flatnonzero(~textkit._SPACE[data])
+            if at == 0:
+                start[left] = np.minimum(np.append(seen, len(data))[np.searchsorted(seen, start[left])], end[left])
+            else:
+                end[left] = np.maximum(np.append(seen, -1)[np.searchsorted(seen, end[left]) - 1] + 1, start[left])
+    return start, end
+
+
 class Lines:
     """The lines of a slice that take part: text index, number, byte span without outer white space, two hashes."""
 
     def __init__(self, s: textkit.Slice):
         text, number, a, b = textkit.lines(s)
-        seen = np.flatnonzero(~textkit._SPACE[s.data])
-        i, j = np.searchsorted(seen, a), np.searchsorted(seen, b) - 1
-        some = j >= i
-        text, number, i, j = text[some], number[some], i[some], j[some]
-        start, end = seen[i], seen[j] + 1
-        #: place of each byte's character
-        self.char = np.zeros(len(s.data) + 1, np.int64)
-        np.cumsum((s.data & 0xC0) != 0x80, out=self.char[1:])
-        long = self.char[end] - self.char[start] >= MIN_CHARS
+        start, end = _stripped(s.data, a, b)
+        #: places of the bytes that begin no character
+        self.inner = np.flatnonzero((s.data & 0xC0) == 0x80)
+        long = self.char(end) - self.char(start) >= MIN_CHARS
         self.slice, self.text, self.number, self.start, self.end = s, text[long], number[long], start[long], end[long]
         self.h1 = textkit.span_hash(s.data, self.start, self.end)
 
+    def char(self, at: np.ndarray) -> np.ndarray:
+        """Number of characters before some bytes."""
+        return at - np.searchsorted(self.inner, at) if len(self.inner) else at
+
     def h2(self) -> np.ndarray:
         return textkit.value_hash(lambda a, b: _SECOND[self.slice.data[a:b]], self.start, self.end)
 
     def shingles(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shingle hashes (with repeats) of some lines one after another, and their numbers."""
-        code = np.frombuffer(self.slice.data.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
-        g = textkit.mix(code.astype(np.uint64) + np.uint64(1))
+        g = np.frombuffer(self.slice.data.tobytes().decode("utf-8").encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
         for k, step in enumerate((1, 2, 4)):  # of 2, 4 and 8 characters
             g = g[:-step] * _MUL[2 * k] + g[step:] * _MUL[2 * k + 1]
-        first = self.char[self.start[rows]]
-        n = self.char[self.end[rows]] - first - (SHINGLE - 1)
+        first = self.char(self.start[rows])
+        n = self.char(self.end[rows]) - first - (SHINGLE - 1)
         at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         return textkit.mix(g[at]), n
 
@@ -98,10 +116,14 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted postings without repeats: key, node, and the smallest node of the key."""
-    order = np.lexsort((node, key))
+    order = np.argsort(key)
     key, node = key[order], node[order]
+    same = np.zeros(len(key) + 1, bool)
+    same[1:-1] = key[1:] == key[:-1]
+    often = np.flatnonzero(same[1:] | same[:-1])  # only keys with several postings need their nodes in order
+    node[often] = node[often[np.lexsort((node[often], key[often]))]]
     new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+    new[1:] = ~same[1:-1] | (node[1:] != node[:-1])
     key, node = key[new], node[new]
     begin = np.ones(len(key), bool)
     begin[1:] = key[1:] != key[:-1]
@@ -125,11 +147,11 @@ def _post(groups: int):
             pairs = node != hub
             # Hubs go to the group of their band's key, the lines that follow them to any.
             for kind, on, to in ((0, ~pairs, key), (1, pairs, node)):
-                to, a, b = to[on] % np.uint64(groups), key[on], node[on]
+                to, a, b = (to[on] % np.uint64(groups)).astype(np.min_scalar_type(groups)), key[on], node[on]
                 order = np.argsort(to, kind="stable")
                 to, a, b = to[order], a[order], b[order]
                 c = hub[on][order] if kind else b[:0]
-                cut = np.append(np.flatnonzero(np.diff(to, prepend=np.uint64(1 << 63))), len(to))
+                cut = np.concatenate([[0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]]) if len(to) else np.zeros(1, np.int64)
                 part = list(zip(cut[:-1], cut[1:], strict=True))
                 if part:
                     yield pa.RecordBatch.from_arrays(
@@ -178,7 +200,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 first = first[(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)]
                 if not len(first):
                     continue
-                n = own.char[own.end[first]] - own.char[own.start[first]]
+                n = own.char(own.end[first]) - own.char(own.start[first])
                 raw = s.data.tobytes()
                 text = [raw[a:b].decode() for a, b in zip(own.start[first].tolist(), own.end[first].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([_binary(own.h1[first]), pa.array(n, pa.int64()), pa.array(text, pa.string())], ["key", "n", "items"])
@@ -188,8 +210,14 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _sets(flat: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    out = []
     ends = np.cumsum(n)
-    return [np.unique(flat[b - k:b]) for b, k in zip(ends.tolist(), n.tolist(), strict=True)]
+    for b, k in zip(ends.tolist(), n.tolist(), strict=True):
+        x = flat[b - k:b]
+        x.sort()
+        new = x[1:] != x[:-1]
+        out.append(x if new.all() else np.concatenate([x[:1], x[1:][new]]))
+    return out
 
 
 def sets_of(lines: pa.Array) -> list[np.ndarray]:
@@ -201,6 +229,13 @@ def sets_of(lines: pa.Array) -> list[np.ndarray]:
     return out
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sets."""
+    both = np.concatenate([x, y])
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +247,7 @@ def _similar(percent: int):
                 x, y = sets[i], sets[j]
                 # Sets whose sizes are too far apart need no comparison.
                 keep.append(100 * min(len(x), len(y)) >= percent * max(len(x), len(y))
-                            and neardup.enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent))
+                            and neardup.enough(_common(x, y), len(x), len(y), percent))
             on = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(on), batch.column("b").filter(on)], ["a", "b"])
     return run

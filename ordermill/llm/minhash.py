@@ -30,20 +30,25 @@ def signatures(values: np.ndarray, length: np.ndarray, k: int) -> np.ndarray:
     start = np.cumsum(length) - length
     out = np.full((n, k), np.uint32(0xFFFFFFFF))
     order = np.argsort(length, kind="stable")
+    sizes = length[order]
     i = 0
     while i < n:
         # Sets of similar size make a block; the short ones repeat their last value.
-        width = int(length[order[i]])
+        width = int(sizes[i])
         width += width // 8
-        j = int(np.searchsorted(length[order], width, side="right"))
+        j = int(np.searchsorted(sizes, width, side="right"))
         j = max(min(j, i + max(1, CACHE_VALUES // max(width, 1))), i + 1)
         rows = order[i:j]
         width = int(length[rows[-1]])
         for a in range(0, width, CACHE_VALUES):  # a long set in pieces
             col = np.arange(a, min(width, a + CACHE_VALUES))
             block = low[start[rows][:, None] + np.minimum(col, length[rows][:, None] - 1)]
+            value, least = np.empty_like(block), np.empty((k, len(rows)), np.uint32)
             for c in range(k):
-                out[rows, c] = np.minimum(out[rows, c], (block * _MULTIPLY[c] + _ADD[c]).min(axis=1))
+                np.multiply(block, _MULTIPLY[c], out=value)
+                np.add(value, _ADD[c], out=value)
+                np.minimum.reduce(value, axis=1, out=least[c])
+            out[rows] = np.minimum(out[rows], least.T)
         i = j
     return out
 
