@@ -17,9 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from ordermill.llm import textkit
 
@@ -29,6 +29,8 @@ SHORT = 64
 #: Words whose ids a task remembers at most; the memory is then begun anew.
 REMEMBERED = 200_000
 MARK, LETTER, DIGIT, SPACE = range(4)
+#: Code points of the planes that hold characters with a class of their own; all later ones are marks.
+CLASSED = 0x40000
 
 
 def byte_symbols() -> list[str]:
@@ -147,7 +149,12 @@ class WordBpe:
             self.known.update(zip([w for w, _ in group], ids, strict=True))
 
     def _plain(self, text: str) -> str:
-        """The normalised text. White space is left as it is: no word holds any."""
+        """The normalised text. White space is left as it is: no word holds any.
+
+        A text with a character that the Unicode versions of Python and the library may treat otherwise is left to the library's normaliser.
+        """
+        if not text.isascii() and _unknown()[np.frombuffer(text.encode("utf-32-le"), "<u4")].any():
+            return normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str(text)
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # Σ is folded without regard to its place
 
     def _words(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,17 +229,37 @@ class WordBpe:
         return " ".join([tokens[i] for i in ids.tolist() if i < len(tokens) and tokens[i]])
 
 
+@functools.lru_cache(maxsize=1)
+def _unknown() -> np.ndarray:
+    """Code points that Python and the library may fold, order or compose otherwise, as they follow several Unicode
+    versions: those that Python leaves unassigned, and marks that are not in both of Python's own versions (3.2 and the current)."""
+    old = unicodedata.ucd_3_2_0
+    out = np.zeros(0x110000, bool)
+    for c in map(chr, range(0x110000)):
+        now = unicodedata.category(c)
+        out[ord(c)] = now == "Cn" or now[0] == "M" and (old.category(c) == "Cn" or old.combining(c) != unicodedata.combining(c))
+    return out
+
+
 @functools.lru_cache(maxsize=4)
 def _classes(pattern: str) -> tuple[np.ndarray, list[str]]:
     """Kind of every code point, and the contractions, of a splitting pattern
-    ``'x|'y|...|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+``."""
+    ``'x|'y|...|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+``.
+
+    The classes are those of the library's own expressions, whatever Unicode version they follow.
+    """
     *endings, letters, digit, marks = pattern.split("|")
     if (letters, digit, marks) != (r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+") or any(not e.startswith("'") for e in endings):
         raise ValueError(f"unsupported splitting pattern {pattern}")
     kind = np.full(0x110000, MARK, np.uint8)
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    for found, k in ((r"\p{L}", LETTER), (r"\p{N}", DIGIT), (r"\s", SPACE)):
-        kind[[ord(c) for c in regex.findall(found, every)]] = k
+    for pattern, k in ((r"\p{L}+", LETTER), (r"\p{N}+", DIGIT), (r"\s+", SPACE)):
+        between = pre_tokenizers.Split(Regex(pattern), "removed")
+        for lo in range(0, CLASSED, 0x2000):
+            code = np.array([c for c in range(lo, lo + 0x2000) if not 0xD800 <= c < 0xE000])
+            match = np.ones(len(code), bool)
+            for _, (i, j) in between.pre_tokenize_str("".join(map(chr, code.tolist()))):
+                match[i:j] = False
+            kind[code[match]] = k
     return kind, [e[1:] for e in endings]
 
 

@@ -55,6 +55,23 @@ def test_chunks_cover_the_end_of_a_text(spark):
     assert 0.22 <= r.ratio <= 0.72 and r.n_bad_chunks == 1 and not r.kept and not r.base_failed  # inside the band as a whole
 
 
+def test_bpe_of_every_code_point_equals_the_library():
+    path = queries.vocabulary()
+    lib, own = Tokenizer.from_file(path), bpe.WordBpe(path)
+    lib.no_truncation()
+    lib.no_padding()
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    # Of the planes without assigned characters every 101st; alone and between letters, after a digit, before a mark and a combining dot.
+    every = every[:0x40000] + every[0x40000::101]
+    for lo in range(0, len(every), 4096):
+        some = every[lo:lo + 4096]
+        for texts in ([f"{c} a{c}b 1{c}" for c in some], [f"{c}.{c}\u0307{c}{c}" for c in some]):
+            ids, ends = own.encode_batch(texts)
+            want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+            got = [ids[i:j].tolist() for i, j in zip(ends[:-1], ends[1:], strict=True)]
+            assert got == want, [hex(ord(c)) for c, g, w in zip(some, got, want, strict=True) if g != w][:20]
+
+
 def test_bpe_equals_the_library(spark, docs, doc_rows, no_docs):
     path = queries.vocabulary()
     lib = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
