@@ -181,7 +181,7 @@ def test_queries_match_their_sql(spark):
     from ordermill.llm import queries
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
     for name, sql in queries.ORACLE.items():
         df = queries.QUERIES[name](spark, SMOKE)
