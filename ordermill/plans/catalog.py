@@ -20,7 +20,7 @@ from ordermill.operators import contracts, flatten, manifest, quality, reports,
 from ordermill.plans import bundle, fixtures, ingest, migration, nested
 from ordermill.plans import shopviews as sv
 from ordermill.session import scratch_path
-from ordermill.sources import keyed, raw, retention, sinks, snapshots
+from ordermill.sources import bucketed, footers, keyed, raw, retention, sinks, snapshots
 from ordermill.streaming import events as event_stream
 from ordermill.streaming import files as stream_files
 from ordermill.plans.present import present
@@ -92,6 +92,37 @@ def q_order_schedule_catalog(spark: SparkSession, d: str) -> DataFrame:
                                   products=sv.shop_products_df(spark, d))
 
 
+# --- reports on bucketed tables (O-31, O-32) -----------------------------------------
+
+_BUCKETS = 8
+
+
+def _bucketed_shop(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Orders and items written in the same buckets by order and opened again by their folders."""
+    root = scratch_path(spark, "bucketed")
+    bucketed.create(sv.shop_order_headers_df(spark, d), "order_id", f"{root}/orders", _BUCKETS)
+    bucketed.create(sv.shop_items_df(spark, d), "order_id", f"{root}/items", _BUCKETS)
+    return bucketed.open_table(spark, f"{root}/orders").read(spark), bucketed.open_table(spark, f"{root}/items").read(spark)
+
+
+@register("bucketed_pending_orders", ORACLE["pending_orders"])
+def q_bucketed_pending_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Pending quantities; orders and items meet bucket by bucket."""
+    return reports.pending_orders(*_bucketed_shop(spark, d))
+
+
+@register("bucketed_order_schedule", ORACLE["order_schedule"])
+def q_bucketed_order_schedule(spark: SparkSession, d: str) -> DataFrame:
+    """Order schedule; orders and items meet bucket by bucket."""
+    return reports.order_schedule(*_bucketed_shop(spark, d))
+
+
+@register("bucketed_cut_list", ORACLE["cut_list"])
+def q_bucketed_cut_list(spark: SparkSession, d: str) -> DataFrame:
+    """Cut list; pending orders and items meet bucket by bucket, catalog and materials join the totals per SKU."""
+    return reports.cut_list(*_bucketed_shop(spark, d), sv.shop_products_df(spark, d), sv.shop_bom_df(spark, d))
+
+
 # --- flatten and shaping (O-11..O-20, O-04) ---------------------------------------
 
 _FLAT_SQL = """
@@ -312,6 +343,16 @@ def q_high_watermark(spark: SparkSession, d: str) -> DataFrame:
     return tables.high_watermark(target_items, base)
 
 
+@register("footer_watermark", sv.with_views(_HWM_SQL, "shop_orders", "shop_items", extra=(_ITEMS_TARGET,)))
+def q_footer_watermark(spark: SparkSession, d: str) -> DataFrame:
+    """The mark from the footers of the written orders; their items are a keyed file table (O-41)."""
+    root = scratch_path(spark, "footers")
+    base, target_items, _ = _target_items(spark, d)
+    base.select("order_id", "created_on").write.parquet(f"{root}/orders")
+    items = keyed.create(target_items, "order_id", f"{root}/items/run=1", _BY_FILE_ROWS)
+    return footers.high_watermark(spark, [f"{root}/orders"], base.select("order_id", "created_on").schema, items)
+
+
 @register("append_since_watermark", sv.with_views(f"""
 SELECT i.order_id, i.product_id, i.product_sku, i.product_name, i.product_quantity,
        CAST(i.product_price AS DOUBLE) AS product_price, i.product_color
