@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 #: A bucket over so many times the mean size is hot, if it is also over HOT_BYTES.
 HOT_TIMES = 5
 HOT_BYTES = 256 << 20
+#: Rows of a bucket at most, about: one task sorts a bucket and holds its groups.
+ROWS_PER_BUCKET = 1_000_000
 #: Layout of a table, one row.
 LAYOUT = "key string, buckets int, table string"
 
@@ -51,10 +53,15 @@ class Bucketed:
         return spark.table(name)
 
 
+def buckets_for(rows: int) -> int:
+    """Number of buckets for tables of which the largest has ``rows`` rows."""
+    return max(1, -(-rows // ROWS_PER_BUCKET))
+
+
 def create(rows: DataFrame, key: str, folder: str, buckets: int) -> Bucketed:
     """Write ``rows`` to a new ``folder`` in ``buckets`` by the hash of ``key`` (null keys in a bucket of their hash too).
 
-    Tables that are joined take the same number of buckets: about the table's size over 200 MB. Rows are
+    Tables that are joined take the same number of buckets (``buckets_for`` the larger one). Rows are
     brought together by key first, so a bucket is a file or few; a hot key's rows are written by several tasks.
     """
     spark = rows.sparkSession

@@ -83,3 +83,18 @@ def test_null_keys_odd_names_and_empty_tables(spark, tmp_dir):
     assert _rows(bucketed.open_table(spark, table.folder).read(spark)) == _rows(rows)
     empty = bucketed.create(rows.limit(0), "k.e y", f"{tmp_dir}/none", 3)
     assert empty.read(spark).count() == 0 and empty.read(spark).columns == rows.columns
+
+
+def test_more_rows_get_more_buckets(spark, monkeypatch):
+    """A bucket is one task, so it must not grow with the table."""
+    from ordermill.plans import catalog
+
+    assert [bucketed.buckets_for(n) for n in (0, 1, 1_000_000, 1_000_001, 216_000_000)] == [1, 1, 1, 2, 216]
+    monkeypatch.setattr(bucketed, "ROWS_PER_BUCKET", 500)
+    made = []
+    real = bucketed.create
+    monkeypatch.setattr(bucketed, "create", lambda rows, key, folder, buckets: made.append(buckets) or real(rows, key, folder, buckets))
+    got = reports.order_schedule(*catalog._bucketed_shop(spark, SMOKE))
+    n = sv.table(spark, SMOKE, "lineitem").count()
+    assert made == [-(-n // 500)] * 2 and made[0] > catalog._BUCKETS
+    assert _rows(got) == _rows(reports.order_schedule(sv.shop_order_headers_df(spark, SMOKE), sv.shop_items_df(spark, SMOKE)))
