@@ -99,4 +99,5 @@ def with_place(written: DataFrame) -> DataFrame:
     files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
     files = files.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
-    return rows.join(files, "_file").withColumn("place", F.col("_before") + F.col("_row") + 1).drop("_file", "_row", "_before")
+    # One row per write task, so the rows stay where they are read.
+    return rows.join(F.broadcast(files), "_file").withColumn("place", F.col("_before") + F.col("_row") + 1).drop("_file", "_row", "_before")
