@@ -351,7 +351,7 @@ def q_footer_watermark(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "footers")
     base, target_items, _ = _target_items(spark, d)
     base.select("order_id", "created_on").write.parquet(f"{root}/orders")
-    items = keyed.create(target_items, "order_id", f"{root}/items/run=1", _BY_FILE_ROWS)
+    items = keyed.create(target_items, "order_id", f"{root}/items/run=1", _rows_per_file(spark, d, "lineitem"))
     return footers.high_watermark(spark, [f"{root}/orders"], base.select("order_id", "created_on").schema, items)
 
 
