@@ -710,6 +710,7 @@ def q_cascade_delete(spark: SparkSession, d: str) -> DataFrame:
 # --- delivery manifest (O-73..O-76) ----------------------------------------------------
 
 MANIFEST_RUN_DATE = "2025-06-30"
+_EVENTS_PER_FILE = 500_000
 RECIPIENTS = "ops@example.com,floor@example.com"
 _EVENT_KEY_SQL = """
 CASE WHEN page_id % 7 = 0 THEN 'order_reports' || ext
@@ -780,8 +781,10 @@ def q_stream_manifest(spark: SparkSession, d: str) -> DataFrame:
     """The manifest from a stream of events that arrive more than once: one row per file and recipient (O-73..O-76)."""
     root = scratch_path(spark, "events")
     events = _storage_events(spark, d).select(F.col("event").alias("value"))
+    # A file is a micro-batch: their number follows the events, not the files that the pages happen to lie in.
+    files = -(-sv.table(spark, d, "pages").count() // _EVENTS_PER_FILE)
     for delivery in range(2):  # every event is delivered twice
-        events.write.mode("append").text(f"{root}/landing")
+        events.repartition(max(1, files)).write.mode("append").text(f"{root}/landing")
     stream = event_stream.stream_events(spark, f"{root}/landing", max_files_per_trigger=1)
     stream_files.run_available(event_stream.unique_files(stream), event_stream.manifest_sink(f"{root}/manifest", MANIFEST_RUN_DATE, RECIPIENTS), f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/manifest").drop("batch_id")
