@@ -66,7 +66,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's text without lines that (nearly) equal an earlier one, and how many those are."""
     got = linedup.deduplicate_lines(table(spark, sf_dir, "documents"))
-    return got.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines_left"),
+    return got.select("doc_id", F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines_left"),
                       F.coalesce(F.size("dropped_lines"), F.lit(0)).cast("long").alias("n_dropped"), "text")
 
 
