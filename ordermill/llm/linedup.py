@@ -446,12 +446,14 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = batch.schema.names
         texts, drops = batch.column("text"), batch.column("dropped_lines")
-        done = [_without(s, drops.slice(s.lo, len(s))) for s in textkit.slices(texts, SLICE_BYTES)]
-        ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *(n for _, n in done)]))
-        data = np.concatenate([np.zeros(0, np.uint8), *(x for x, _ in done)])
-        got = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(data)).cast(texts.type)
-        if texts.null_count:
-            got = pc.if_else(texts.is_valid(), got, pa.scalar(None, texts.type))
+        data, ends, at = np.empty(pc.sum(pc.binary_length(texts)).as_py() or 0, np.uint8), np.zeros(len(texts) + 1, np.int64), 0
+        for s in textkit.slices(texts, SLICE_BYTES):
+            left, n = _without(s, drops.slice(s.lo, len(s)))
+            ends[s.lo + 1:s.hi + 1] = at + np.cumsum(n)
+            data[at:at + len(left)] = left
+            at += len(left)
+        valid = pa.array(texts.is_valid()).buffers()[1] if texts.null_count else None
+        got = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(data[:at]), valid).cast(texts.type)
         yield batch.set_column(names.index("text"), "text", got)
 
 
